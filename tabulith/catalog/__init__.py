@@ -1 +1,29 @@
+"""Registered queries: each is an operator applied to whole tables, with the SQL it must equal."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function of (session, table folder) under ``name``."""
+    def register(function):
+        QUERIES[name] = function
+        if sql is not None:
+            SQL[name] = sql
+        return function
+    return register
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def load() -> None:
+    """Import every module that registers queries."""
+    from . import evaluation, modelling, profiling, selection, structure  # noqa: F401

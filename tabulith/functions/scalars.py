@@ -48,7 +48,7 @@ def format_cell(c, is_float: bool = True) -> Column:
     value = as_column(c)
     if not is_float:
         return F.coalesce(value.cast("string"), F.lit("—"))
-    shown = F.when(~F.isnan(value), F.format_string("%.4f", value))
+    shown = F.when(value.isNotNull() & ~F.isnan(value), F.format_string("%.4f", value))
     return F.coalesce(shown, F.lit("—"))
 
 

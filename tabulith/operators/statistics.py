@@ -131,7 +131,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, pref
     def both(i, j):
         a, b = _number(df, chosen[i]), _number(df, chosen[j])
         known = a.isNotNull() & b.isNotNull()
-        return F.corr(F.when(known, a), F.when(known, b))
+        a, b = F.when(known, a), F.when(known, b)
+        # built-in corr fails on a constant column in ANSI mode; here it is NULL
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
     stats = df.agg(*[both(i, j).alias(f"r_{i}_{j}") for i, j in pairs],
                    *[F.when(F.min(_number(df, c)) < F.max(_number(df, c)), F.lit(1.0)).alias(f"r_{i}_{i}")

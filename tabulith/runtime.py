@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -56,3 +57,13 @@ def rows_as_struct(long: DataFrame, key: str, value: str, names: list[str]) -> C
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A result-sized DataFrame (parameters, one metric row per model)."""
     return spark.createDataFrame(rows, schema)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for written results, below the checkpoint folder that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="tabulith-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
