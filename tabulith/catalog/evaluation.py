@@ -78,11 +78,11 @@ def brier(spark, d):
     return rounded(metrics.brier_score(rows, "y", "score", "calibrated"))
 
 
-@query("calibration_table", f"""{T_SCORED} SELECT id, y AS actual, round(score, 4) AS raw, round(0.4 + score / 2, 4) AS calibrated,
- round(0.4 + score / 2 - score, 4) AS diff FROM s ORDER BY id LIMIT 10""")
+@query("calibration_table", f"""{T_SCORED} SELECT id, y AS actual, round(score * 0.9871, 4) AS raw, round(0.4 + score / 2.0173, 4) AS calibrated,
+ round(0.4 + score / 2.0173 - score * 0.9871, 4) AS diff FROM s ORDER BY id LIMIT 10""")
 def calibration_table(spark, d):
-    rows = scored(spark, d).withColumn("calibrated", 0.4 + F.col("score") / 2)
-    return metrics.calibration_table(rows, ["id"], "y", "score", "calibrated")
+    rows = scored(spark, d).withColumn("calibrated", 0.4 + F.col("score") / 2.0173).withColumn("raw_score", F.col("score") * 0.9871)
+    return metrics.calibration_table(rows, ["id"], "y", "raw_score", "calibrated")
 
 
 @query("model_comparison", """WITH m AS (SELECT l_returnflag AS model, sqrt(avg((l_extendedprice - 1500.0 * l_quantity) ** 2)) AS rmse FROM lineitem GROUP BY 1)
@@ -162,12 +162,12 @@ def cluster_metrics(spark, d):
 # ---- closed forms of one-feature models -------------------------------------
 
 def price_line(spark, d):
-    """Quantity and price in thousands, so that penalties and coefficients are of similar size."""
-    rows = table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000.0).alias("y"))
+    """Quantity and a value that grows with it."""
+    rows = table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), (F.col("l_quantity") * F.col("l_extendedprice") / 100000.0).alias("y"))
     return VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
 
 
-LINE = """WITH t AS (SELECT l_quantity AS x, l_extendedprice / 1000.0 AS y FROM lineitem),
+LINE = """WITH t AS (SELECT l_quantity AS x, l_quantity * l_extendedprice / 100000.0 AS y FROM lineitem),
  m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM t)"""
 
 
@@ -188,13 +188,13 @@ def ridge_1d(spark, d):
     return rounded(linear.coefficients(linear.ridge(rows, "y", alpha=200000.0), rows, ["x"]), 4)
 
 
-@query("lasso_1d", line_sql("(sxy - 20.0) / sxx"))
+@query("lasso_1d", line_sql("sign(sxy) * greatest(abs(sxy) - 20.0, 0) / sxx"))
 def lasso_1d(spark, d):
     rows = price_line(spark, d)
     return rounded(linear.coefficients(linear.lasso(rows, "y", alpha=20.0), rows, ["x"]), 4)
 
 
-@query("enet_1d", line_sql("(sxy - 20.0 * 0.5) / (sxx + 20.0 * 0.5)"))
+@query("enet_1d", line_sql("sign(sxy) * greatest(abs(sxy) - 20.0 * 0.5, 0) / (sxx + 20.0 * 0.5)"))
 def enet_1d(spark, d):
     rows = price_line(spark, d)
     return rounded(linear.coefficients(linear.elastic_net(rows, "y", alpha=20.0, l1_ratio=0.5), rows, ["x"]), 4)

@@ -1,8 +1,9 @@
 """Boosted histogram trees on DataFrames: AdaBoost and second-order (Newton) boosting.
 
 Features are cut into quantile bins once. Growing one level of a tree is one aggregation
-of (node, feature, bin) over the whole table with partial sums per task; the best split of
-each node is found in Spark as well, so at most 2**depth rows reach the driver per level.
+of (node, feature, bin) over the whole table with partial sums per task. What reaches the
+driver is that histogram, whose size depends on nodes, features and bins (and is checked),
+never on the rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column, sigmoid
@@ -24,6 +25,7 @@ from ..runtime import cut_lineage, small_frame
 from .ordering import _edges, hash_uniform
 from .trees import importance_table
 
+MAX_HISTOGRAM = 4_000_000  # cells per level that may reach the driver
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, value double, gain double"
 
 
@@ -64,63 +66,72 @@ def _bin_features(df: DataFrame, features: Sequence[str], max_bins: int) -> tupl
 
 
 def newton_gain(lam: float, min_weight: float):
+    """Second-order gain of every split; a, b = sums of gradients and hessians."""
     def gain(left_a, left_b, a, b):
         right_a, right_b = a - left_a, b - left_b
-        value = left_a * left_a / (left_b + lam) + right_a * right_a / (right_b + lam) - a * a / (b + lam)
-        return F.when((left_b >= min_weight) & (right_b >= min_weight), value / 2)
+        value = left_a**2 / (left_b + lam) + right_a**2 / (right_b + lam) - a**2 / (b + lam)
+        return np.where((left_b >= min_weight) & (right_b >= min_weight), value / 2, -np.inf)
     return gain
 
 
 def gini_gain(left_a, left_b, a, b):
     """Drop of weighted Gini impurity; a = weight of positives, b = weight."""
-    def impurity(pos, all_):
-        return 2 * (pos / all_) * (1 - pos / all_) * all_
+    def impurity(pos, every):
+        return 2 * pos * (1 - pos / every)
     right_a, right_b = a - left_a, b - left_b
-    return F.when((left_b > 0) & (right_b > 0), impurity(a, b) - impurity(left_a, left_b) - impurity(right_a, right_b))
+    value = impurity(a, b) - impurity(left_a, left_b) - impurity(right_a, right_b)
+    return np.where((left_b > 0) & (right_b > 0), value, -np.inf)
+
+
+def _best_splits(hist: pd.DataFrame, gain, min_rows: int) -> Iterator[tuple]:
+    """Per node: (node, total a, total b, gain, feature, bin, left a, left b) of its best split."""
+    for node, rows in hist.groupby("node"):
+        best, total = None, None
+        for feature, part in rows.groupby("f"):
+            part = part.sort_values("bin")
+            la, lb, ln = (part[c].to_numpy(dtype=float).cumsum() for c in "abn")
+            total = total or (la[-1], lb[-1])
+            with np.errstate(divide="ignore", invalid="ignore"):
+                value = np.nan_to_num(gain(la, lb, la[-1], lb[-1]), nan=-np.inf)
+            # rounded, so that equal splits tie whatever order the sums were taken in
+            value = np.where((ln >= min_rows) & (ln[-1] - ln >= min_rows), np.round(value, 10), -np.inf)[:-1]
+            if len(value) and (best is None or value.max() > best[0]):
+                at = int(value.argmax())
+                best = (float(value[at]), int(feature), int(part["bin"].iloc[at]), float(la[at]), float(lb[at]))
+        yield (int(node), *total, *(best or (-np.inf, -1, -1, 0.0, 0.0)))
 
 
 def grow_tree(frame: DataFrame, a: str, b: str, features: Sequence[int], edges: list[list[float]], depth: int,
               gain, leaf_value, min_rows: int = 1, max_leaves: int | None = None, min_gain: float = 1e-12) -> Node:
-    """Grow one tree on columns ``a`` and ``b`` (sums decide gains and leaf values). One job per level.
+    """Grow one tree on columns ``a`` and ``b`` (their sums decide gains and leaf values). One job per level.
 
     ``max_leaves`` keeps the splits a best-leaf-first growth would have made: the best
     split of a node does not depend on the order of growth, so all are found level by
     level and then taken in order of gain.
     """
+    size = 2 ** (depth - 1) * sum(len(edges[i]) for i in features)
+    if size > MAX_HISTOGRAM:
+        raise ValueError(f"{size} histogram cells per level; use fewer bins or less depth")
     root = Node(0, 0.0)
     open_nodes = {0: root}
-    offered: dict[int, tuple] = {}
     for level in range(depth):
         placed = frame.withColumn("_node", _route(root, lambda n: F.lit(n.id)))
         if level:
             placed = placed.where(F.col("_node").isin(*open_nodes))
         cells = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_b{i}").alias("bin")) for i in features]))
-        hist = (placed.select("_node", F.col(a).alias("a"), F.col(b).alias("b"), cells.alias("c"))
-                .groupBy("_node", "c.f", "c.bin").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("n")))
-        path = Window.partitionBy("_node", "f")
-        so_far = path.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        sums = hist.select("_node", "f", "bin",
-                           *[F.sum(c).over(so_far).alias(f"l{c}") for c in "abn"],
-                           *[F.sum(c).over(path).alias(f"t{c}") for c in "abn"])
-        value = F.round(gain(F.col("la"), F.col("lb"), F.col("ta"), F.col("tb")), 10)
-        usable = (F.col("ln") >= min_rows) & (F.col("tn") - F.col("ln") >= min_rows)
-        scored = sums.withColumn("gain", F.when(usable, value))
-        best = scored.groupBy("_node").agg(
-            F.max("ta").alias("ta"), F.max("tb").alias("tb"),
-            F.max_by(F.struct("gain", "f", "bin", "la", "lb"),
-                     F.struct(F.coalesce("gain", F.lit(-1.0)), -F.col("f"), -F.col("bin"))).alias("s")).collect()
+        hist = (placed.select(F.col("_node").alias("node"), F.col(a).alias("a"), F.col(b).alias("b"), cells.alias("c"))
+                .groupBy("node", "c.f", "c.bin").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("n")))
         following = {}
-        for row in best:
-            node, s = open_nodes[row["_node"]], row["s"]
+        for number, ta, tb, value, feature, at, la, lb in _best_splits(hist.toPandas(), gain, min_rows):
+            node = open_nodes[number]
             if level == 0:
-                node.value = leaf_value(row["ta"], row["tb"])
-            if s["gain"] is None or s["gain"] <= min_gain:
+                node.value = leaf_value(ta, tb)
+            if value <= min_gain:
                 continue
-            node.feature, node.bin, node.gain = s["f"], s["bin"], s["gain"]
-            node.threshold = edges[s["f"]][s["bin"] + 1]
-            node.left = Node(2 * node.id + 1, leaf_value(s["la"], s["lb"]))
-            node.right = Node(2 * node.id + 2, leaf_value(row["ta"] - s["la"], row["tb"] - s["lb"]))
-            offered[node.id] = (node.gain, node)
+            node.feature, node.bin, node.gain = feature, at, value
+            node.threshold = edges[feature][at + 1]
+            node.left = Node(2 * node.id + 1, leaf_value(la, lb))
+            node.right = Node(2 * node.id + 2, leaf_value(ta - la, tb - lb))
             following |= {node.left.id: node.left, node.right.id: node.right}
         open_nodes = following
         if not open_nodes:
@@ -255,18 +266,16 @@ def expand_vector(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame
     return frame.withColumns({n: F.col("_slots")[i] for i, n in enumerate(names)}).drop("_slots")
 
 
-def _replace(old: DataFrame | None, new: DataFrame, cut: bool) -> DataFrame:
-    """Keep ``new`` for the next round; every so often write it out so that its history ends there."""
-    kept = cut_lineage(new) if cut else new.persist(StorageLevel.MEMORY_AND_DISK)
-    if not cut:
-        kept.count()
+def _settle(frame: DataFrame, old: DataFrame | None = None) -> DataFrame:
+    """Write the state of the loop out, so that neither its plan nor its history grows, and keep it at hand."""
+    settled = cut_lineage(frame).persist(StorageLevel.MEMORY_AND_DISK)
     if old is not None:
         old.unpersist()
-    return kept
+    return settled
 
 
 def adaboost(train: DataFrame, label: str, features: Sequence[str], rounds: int = 150, rate: float = 0.8,
-             depth: int = 1, max_bins: int = 64, checkpoint_every: int = 10) -> TreeEnsemble:
+             depth: int = 1, max_bins: int = 64, checkpoint_every: int = 5) -> TreeEnsemble:
     """Discrete AdaBoost of Gini trees on a 0/1 label.
 
     A round with weighted error e gets the weight rate * ln((1 - e) / e); rows it gets wrong
@@ -274,8 +283,8 @@ def adaboost(train: DataFrame, label: str, features: Sequence[str], rounds: int
     """
     binned, edges = _bin_features(train.where(as_column(label).isNotNull()), features, max_bins)
     bins = [f"_b{i}" for i, _ in enumerate(features)]
-    frame = binned.select(*bins, as_column(label).cast("double").alias("_y"), F.lit(1.0).alias("_w"))
-    frame = _replace(None, frame, cut=False)
+    state = _settle(binned.select(*bins, as_column(label).cast("double").alias("_y"), F.lit(1.0).alias("_w")))
+    frame = state  # the state and the rounds since it was written, as one expression
     model = TreeEnsemble(list(features), 0.0, "vote")
     for r in range(1, rounds + 1):
         weighted = frame.withColumn("_a", F.col("_w") * F.col("_y"))
@@ -295,16 +304,17 @@ def adaboost(train: DataFrame, label: str, features: Sequence[str], rounds: int
         alpha = rate * math.log((1 - error) / error)
         model.trees.append((alpha, tree))
         scale = 1.0 / row["w"]
-        grown = frame.withColumn("_w", F.col("_w") * scale * F.when(wrong, F.lit(math.exp(alpha))).otherwise(1.0))
-        frame = _replace(frame, grown, cut=r % checkpoint_every == 0)
-    frame.unpersist()
+        frame = frame.withColumn("_w", F.col("_w") * scale * F.when(wrong, F.lit(math.exp(alpha))).otherwise(1.0))
+        if r % checkpoint_every == 0 and r < rounds:
+            frame = state = _settle(frame, state)
+    state.unpersist()
     return model
 
 
 def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Sequence[str], trees: int = 200,
                  rate: float = 0.05, depth: int = 6, subsample: float = 0.8, colsample: float = 0.8, lam: float = 1.0,
                  min_weight: float = 1.0, min_rows: int = 1, growth: str = "level", leaves: int = 31,
-                 max_bins: int = 64, seed: int = 42, checkpoint_every: int = 10) -> TreeEnsemble:
+                 max_bins: int = 64, seed: int = 42, checkpoint_every: int = 5) -> TreeEnsemble:
     """Second-order boosting of the logistic loss on a 0/1 label.
 
     Each tree sees a fresh ``subsample`` of the rows (drawn by row hash) and ``colsample`` of
@@ -318,8 +328,8 @@ def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Seq
     base = math.log(share / (1 - share))
     bins = [f"_b{i}" for i, _ in enumerate(features)]
     keys = [as_column(c).alias(f"_id{i}") for i, c in enumerate(ids)]
-    frame = binned.select(*bins, *keys, as_column(label).cast("double").alias("_y"), F.lit(base).alias("_margin"))
-    frame = _replace(None, frame, cut=False)
+    state = _settle(binned.select(*bins, *keys, as_column(label).cast("double").alias("_y"), F.lit(base).alias("_margin")))
+    frame = state  # the state and the trees since it was written, as one expression
     rng = random.Random(seed)
     model = TreeEnsemble(list(features), base, "logit")
     take = max(1, round(colsample * len(features)))
@@ -333,8 +343,8 @@ def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Seq
                          lambda g, h: -g / (h + lam) if h + lam > 0 else 0.0, min_rows,
                          leaves if growth == "leaf" else None)
         model.trees.append((rate, tree))
-        if t + 1 < trees:
-            moved = frame.withColumn("_margin", F.col("_margin") + F.lit(rate) * _route(tree, lambda n: F.lit(n.value)))
-            frame = _replace(frame, moved, cut=(t + 1) % checkpoint_every == 0)
-    frame.unpersist()
+        frame = frame.withColumn("_margin", F.col("_margin") + F.lit(rate) * _route(tree, lambda n: F.lit(n.value)))
+        if (t + 1) % checkpoint_every == 0 and t + 1 < trees:
+            frame = state = _settle(frame, state)
+    state.unpersist()
     return model

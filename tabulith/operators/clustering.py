@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -270,8 +271,6 @@ def hierarchical(df: DataFrame, features: Sequence[str], k: int = 3, micro: int
 
 def distance_join_many(df: DataFrame, features: Sequence[str], centers: np.ndarray, out: str) -> DataFrame:
     """Number of the nearest of up to ``MAX_MICRO`` centers, by the model's own vectorised search."""
-    import pandas as pd
-
     norm = (centers**2).sum(1)
 
     @F.pandas_udf("int")

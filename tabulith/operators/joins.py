@@ -93,11 +93,15 @@ def coarse_keys(low: Sequence[Column], high: Sequence[Column], eps: float, side:
              for i in used]
     probes = F.transform(spans[0], lambda a: F.array(a))
     for span in spans[1:]:
-        probes = F.flatten(F.transform(probes, lambda head, span=span: F.transform(
-            span, lambda a, head=head: F.concat(head, F.array(a)))))
+        probes = _extended(probes, span)
     return home, probes
 
 
+def _extended(heads: Column, tails: Column) -> Column:
+    """Every array of ``heads`` with every element of ``tails`` appended."""
+    return F.flatten(F.transform(heads, lambda head: F.transform(tails, lambda a: F.concat(head, F.array(a)))))
+
+
 def radius_join(points: DataFrame, key: str, features: Sequence[str], eps: float) -> DataFrame:
     """Every pair (src, dst, distance) with src < dst and distance <= eps.
 

@@ -15,13 +15,14 @@ from ..runtime import small_frame
 
 
 def _linear(features: str, label: str, reg: float, mix: float, max_iter: int) -> LinearRegression:
-    # penalties below are stated on the raw coefficients, hence standardization off
+    # penalties below are stated on the raw coefficients, hence standardization off; the normal
+    # equations need one pass over the rows, and all iterations then run on a d x d matrix
     return LinearRegression(featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=mix,
-                            standardization=False, solver="l-bfgs", maxIter=max_iter, tol=1e-12)
+                            standardization=False, solver="normal", maxIter=max_iter, tol=1e-12)
 
 
 def _rows_and_spread(train: DataFrame, label: str) -> tuple[int, float]:
-    row = train.agg(F.count(as_column(label)).alias("n"), F.stddev_samp(as_column(label)).alias("s")).first()
+    row = train.agg(F.count(as_column(label)).alias("n"), F.stddev_pop(as_column(label)).alias("s")).first()
     return row["n"], float(row["s"] or 1.0)
 
 
@@ -53,14 +54,14 @@ def elastic_net(train: DataFrame, label: str, features: str = "features", alpha:
 def logistic(train: DataFrame, label: str, features: str = "features", max_iter: int = 1000):
     """Logistic regression without penalty."""
     return LogisticRegression(featuresCol=features, labelCol=label, regParam=0.0, standardization=False,
-                              maxIter=max_iter, tol=1e-10).fit(train)
+                              maxIter=max_iter, tol=1e-6).fit(train)
 
 
 def ridge_logistic(train: DataFrame, label: str, features: str = "features", c: float = 1.0, max_iter: int = 1000):
     """Logistic regression with penalty |w|^2 / 2 against c times the summed loss."""
     n, _ = _rows_and_spread(train, label)
     return LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0,
-                              standardization=False, maxIter=max_iter, tol=1e-10).fit(train)
+                              standardization=False, maxIter=max_iter, tol=1e-8).fit(train)
 
 
 def predict(model, df: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -164,6 +164,31 @@ def _sample_positions(positions: DataFrame, epoch: int) -> np.ndarray:
     return np.array([r["y"] for r in rows])
 
 
+def _fuzzy_push(sample: np.ndarray) -> Column:
+    """Mean repulsion of each row from the sampled positions under the fuzzy-graph curve."""
+    a, b = CURVE_A, CURVE_B
+
+    @F.pandas_udf("array<double>")
+    def push(y: pd.Series) -> pd.Series:
+        gap = np.array(y.tolist())[:, None, :] - sample[None, :, :]
+        sq = (gap**2).sum(2)
+        force = np.where(sq > 0, 2.0 * b / ((0.001 + sq) * (1.0 + a * np.maximum(sq, 1e-12) ** b)), 0.0)
+        return pd.Series(list(np.clip(gap * force[:, :, None], -4, 4).mean(1)))
+
+    return push("y")
+
+
+def _student_push(sample: np.ndarray, every: float) -> Column:
+    """Estimated sum over all rows of the Student-t repulsion and of its kernel."""
+    @F.pandas_udf("struct<f array<double>, z double>")
+    def push(y: pd.Series) -> pd.DataFrame:
+        gap = np.array(y.tolist())[:, None, :] - sample[None, :, :]
+        w = 1.0 / (1.0 + (gap**2).sum(2))
+        return pd.DataFrame({"f": list((gap * (w * w)[:, :, None]).sum(1) * every), "z": w.sum(1) * every - 1.0})
+
+    return push("y")
+
+
 def umap_layout(points: DataFrame, key: str, vector: str, dims: int = 2, neighbors: int = 15, epochs: int = 50,
                 rate: float = 1.0, negatives: int = 5) -> DataFrame:
     """Approximate layout of the fuzzy graph: (id, dim1..). Two joins and one aggregate per epoch."""
@@ -180,16 +205,8 @@ def umap_layout(points: DataFrame, key: str, vector: str, dims: int = 2, neighbo
     for epoch in range(epochs):
         sample = _sample_positions(positions, epoch)
 
-        @F.pandas_udf("array<double>")
-        def push(y: pd.Series, sample=sample) -> pd.Series:
-            here = np.array(y.tolist())
-            gap = here[:, None, :] - sample[None, :, :]
-            sq = (gap**2).sum(2)
-            force = np.where(sq > 0, 2.0 * b / ((0.001 + sq) * (1.0 + a * np.maximum(sq, 1e-12) ** b)), 0.0)
-            return pd.Series(list(np.clip(gap * force[:, :, None], -4, 4).mean(1)))
-
         pulled = (positions.join(_pull(graph, positions, attraction), "id", "left").join(degree, "id", "left")
-                  .withColumn("push", push("y")))
+                  .withColumn("push", _fuzzy_push(sample)))
         step = rate * (1.0 - epoch / epochs)
 
         def moved(i):
@@ -216,15 +233,8 @@ def tsne_layout(points: DataFrame, key: str, vector: str, dims: int = 2, perplex
         sample = _sample_positions(state, step)
         every = float(n) / len(sample)
 
-        @F.pandas_udf("struct<f array<double>, z double>")
-        def push(y: pd.Series, sample=sample, every=every) -> pd.DataFrame:
-            here = np.array(y.tolist())
-            gap = here[:, None, :] - sample[None, :, :]
-            w = 1.0 / (1.0 + (gap**2).sum(2))
-            return pd.DataFrame({"f": list((gap * (w * w)[:, :, None]).sum(1) * every), "z": w.sum(1) * every - 1.0})
-
         pulled = state.join(_pull(graph, state.select("id", "y"), lambda p, sq: boost * p / (1.0 + sq)), "id", "left")
-        pushed = cut_lineage(pulled.withColumn("r", push("y")))
+        pushed = cut_lineage(pulled.withColumn("r", _student_push(sample, every)))
         z = max(pushed.agg(F.sum("r.z").alias("z")).first()["z"], 1e-12)
 
         def velocity(i):

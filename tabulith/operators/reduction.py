@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +26,16 @@ class Components:
     loadings: np.ndarray
     shares: list[float]
     kept: int
+    model: PCAModel
+    signs: np.ndarray
 
     def transform(self, df: DataFrame, prefix: str = "PC", scaled: bool = False) -> DataFrame:
-        """Add PC1..PCk as plain column arithmetic. ``df`` is standardised first unless ``scaled``."""
+        """Add PC1..PCk. ``df`` is standardised first unless ``scaled``."""
         frame = df if scaled else scale_columns(df, self.features)
-        made = {}
-        for j in range(self.kept):
-            value = F.lit(0.0)
-            for i, f in enumerate(self.features):
-                value = value + as_column(f) * F.lit(float(self.loadings[i, j]))
-            made[f"{prefix}{j + 1}"] = value
-        return frame.withColumns(made)
+        vector = F.array(*[as_column(f).cast("double") for f in self.features])
+        moved = self.model.transform(frame.withColumn("_v", array_to_vector(vector))).withColumn("_p", vector_to_array("_p"))
+        return moved.withColumns({f"{prefix}{j + 1}": F.col("_p")[j] * F.lit(float(self.signs[j]))
+                                  for j in range(self.kept)}).drop("_v", "_p")
 
     def variance_table(self, df: DataFrame) -> DataFrame:
         rows = [(j + 1, float(s)) for j, s in enumerate(self.shares)]
@@ -55,18 +55,19 @@ def pca(df: DataFrame, features: Sequence[str], variance: float | None = 0.95, k
     sign of a component makes its largest loading positive.
     """
     frame = df if scaled else scale_columns(df, features)
-    frame = VectorAssembler(inputCols=list(features), outputCol="_v").transform(frame).select("_v")
+    frame = frame.select(array_to_vector(F.array(*[as_column(f).cast("double") for f in features])).alias("_v"))
     model = PCA(k=len(features), inputCol="_v", outputCol="_p").fit(frame)
     loadings = model.pc.toArray()
     top = np.abs(loadings).argmax(0)
-    loadings = loadings * np.sign(loadings[top, np.arange(loadings.shape[1])])
+    signs = np.where(loadings[top, np.arange(loadings.shape[1])] < 0, -1.0, 1.0)
+    loadings = loadings * signs
     shares = [float(s) for s in model.explainedVariance]
     if k is None:
-        table = Components(list(features), loadings, shares, 0).variance_table(df)
+        table = Components(list(features), loadings, shares, 0, model, signs).variance_table(df)
         # a rounding error must not ask for one component more than exist
         found = first_at_least(table, "component", "cumulative_variance", variance - 1e-12).first()[0]
         k = found or len(features)
-    return Components(list(features), loadings, shares, min(k, len(features)))
+    return Components(list(features), loadings, shares, min(k, len(features)), model, signs)
 
 
 def pca_reduce(df: DataFrame, features: Sequence[str], dim: int = 30) -> tuple[DataFrame, list[str]]:
