@@ -27,13 +27,13 @@ def scaled_items(spark, d):
 
 @query("fit_kmeans")
 def fit_kmeans(spark, d):
-    labels, _, inertia = clustering.kmeans(scaled_items(spark, d), RATES, n_init=3)
+    labels, _, inertia = clustering.kmeans(scaled_items(spark, d), RATES, n_init=2, max_iter=40)
     return clustering.cluster_distribution(labels, "cluster").withColumn("inertia", F.lit(inertia))
 
 
 @query("fit_kmeans_pp")
 def fit_kmeans_pp(spark, d):
-    labels, _, inertia = clustering.kmeans_pp(scaled_items(spark, d), RATES, n_init=3)
+    labels, _, inertia = clustering.kmeans_pp(scaled_items(spark, d), RATES, n_init=2, max_iter=40)
     return clustering.cluster_distribution(labels, "cluster").withColumn("inertia", F.lit(inertia))
 
 

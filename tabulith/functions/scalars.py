@@ -147,18 +147,30 @@ def bin_index(c, low, high, bins: int) -> Column:
 
 # ---- across the columns of one row, skipping NULL ---------------------------
 
-def _present(cols: Sequence[str]) -> Column:
-    values = F.array(*[as_column(c).cast("double") for c in cols])
-    return F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v))
+# sums and means are plain arithmetic, so that they stay inside generated code
+
+def _cells(cols: Sequence[str]) -> list[Column]:
+    values = [as_column(c).cast("double") for c in cols]
+    return [F.when(~F.isnan(v), v) for v in values]
+
+
+def _total(parts: Sequence[Column]) -> Column:
+    total = F.lit(0.0)
+    for p in parts:
+        total = total + p
+    return total
 
 
 def row_sum(cols: Sequence[str]) -> Column:
     """Sum of the present values, 0 when there is none."""
-    return F.aggregate(_present(cols), F.lit(0.0), lambda acc, v: acc + v)
+    return _total([F.coalesce(v, F.lit(0.0)) for v in _cells(cols)])
 
 
 def row_count(cols: Sequence[str]) -> Column:
-    return F.size(_present(cols))
+    count = F.lit(0)
+    for v in _cells(cols):
+        count = count + F.when(v.isNotNull(), 1).otherwise(0)
+    return count
 
 
 def row_mean(cols: Sequence[str]) -> Column:
@@ -167,19 +179,21 @@ def row_mean(cols: Sequence[str]) -> Column:
 
 
 def row_std(cols: Sequence[str]) -> Column:
-    """Sample standard deviation of the present values; NULL below two of them."""
-    n = row_count(cols)
+    """Sample standard deviation of the present values; NULL below two of them.
+
+    One running pass over an array: spelled out as arithmetic the mean would be repeated per column.
+    """
+    values = F.filter(F.array(*_cells(cols)), lambda v: v.isNotNull())
     seed = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
 
     def step(acc, v):
         count = acc["n"] + 1.0
         delta = v - acc["mean"]
         mean = acc["mean"] + delta / count
-        return F.struct(count.alias("n"), mean.alias("mean"),
-                        (acc["m2"] + delta * (v - mean)).alias("m2"))
+        return F.struct(count.alias("n"), mean.alias("mean"), (acc["m2"] + delta * (v - mean)).alias("m2"))
 
-    spread = F.aggregate(_present(cols), seed, step, lambda acc: acc["m2"])
-    return F.when(n > 1, F.sqrt(spread / F.when(n > 1, n - 1)))
+    return F.aggregate(values, seed, step, lambda acc: F.when(
+        acc["n"] > 1, F.sqrt(acc["m2"] / F.when(acc["n"] > 1, acc["n"] - 1))))
 
 
 # ---- distances --------------------------------------------------------------

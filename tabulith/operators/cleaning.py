@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import as_column, finite_or_null, strip_lower, to_number
-from ..runtime import one_row, rows_as_struct
+from ..runtime import one_row, rows_as_struct, write_out
 from .columns import (categorical_columns, filter_not_null, missing, normalize_column_names, numeric_columns,
                       remove_empty_columns)
 from .ordering import quantiles
@@ -100,9 +100,13 @@ def clean_binary_target(df: DataFrame, column: str, positive: Sequence[str] = PO
         texts = {**{t: 1.0 for t in positive}, **{t: 0.0 for t in negative}}
         value = F.coalesce(map_values(strip_lower(as_column(column).cast("string")), texts),
                            to_number(as_column(column).cast("string")))
-    cleaned = df.withColumn(column, value).where(as_column(column).isNotNull())
-    binary = cleaned.agg(F.bool_and(as_column(column).isin(0.0, 1.0)).alias("binary")).first()["binary"]
-    return cleaned.withColumn(column, as_column(column).cast("int")) if binary else cleaned
+    return _as_classes(df.withColumn(column, value).where(as_column(column).isNotNull()), column)
+
+
+def _as_classes(df: DataFrame, column: str) -> DataFrame:
+    """Integer column if every value is 0 or 1."""
+    binary = df.agg(F.bool_and(as_column(column).isin(0.0, 1.0)).alias("binary")).first()["binary"]
+    return df.withColumn(column, as_column(column).cast("int")) if binary else df
 
 
 def recode_two_values(df: DataFrame, column: str) -> DataFrame:
@@ -123,7 +127,8 @@ def clean_data(df: DataFrame, target: str | None = None, infinite_first: bool =
     By default: names, empty columns, duplicates, target, fill, infinities, fill again,
     and an error if no row is left. With ``infinite_first`` infinities become missing
     before the target is cleaned and duplicates are removed; the target is not filled,
-    but two-valued targets are recoded to 0 and 1.
+    but two-valued targets are recoded to 0 and 1. The rows without duplicates are stored
+    once, since the statistics that fill the gaps read them several times.
     """
     data = remove_empty_columns(normalize_column_names(df))
     skip = [target] if target else []
@@ -133,15 +138,17 @@ def clean_data(df: DataFrame, target: str | None = None, infinite_first: bool =
             data = clean_binary_target(data, target)
             if not isinstance(data.schema[target].dataType, T.IntegerType):
                 data = recode_two_values(data, target)
-        return fill_categorical(fill_numeric(remove_duplicates(data), skip=skip), skip=skip)
+        data = write_out(remove_duplicates(data), "distinct")
+        return fill_categorical(fill_numeric(data, skip=skip, rows=data.count()), skip=skip)
     data = remove_duplicates(data)
     if target:
         data = clean_binary_target(data, target)
-    data = fill_categorical(fill_numeric(data, skip=skip), skip=skip)
-    data = fill_numeric(replace_infinite(data), skip=skip)
-    if data.isEmpty():
+    data = write_out(data, "distinct")
+    rows = data.count()
+    if not rows:
         raise ValueError("no rows remain after cleaning")
-    return data
+    data = fill_categorical(fill_numeric(data, skip=skip, rows=rows), skip=skip)
+    return fill_numeric(replace_infinite(data), skip=skip, rows=rows)
 
 
 def missing_cells(df: DataFrame) -> Column:

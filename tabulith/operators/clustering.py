@@ -28,11 +28,19 @@ def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def kmeans(df: DataFrame, features: Sequence[str], k: int = 3, init: str = "random", n_init: int = 10,
            max_iter: int = 300, tol: float = 1e-4, seed: int = 42):
-    """The best of ``n_init`` runs: (rows with ``cluster``, centers, inertia)."""
+    """The best of ``n_init`` runs: (rows with ``cluster``, centers, inertia).
+
+    A run ends when the squared moves of all centers sum to at most ``tol`` times the mean variance.
+    """
     best = None
+    spread = F.lit(0.0)
+    for f in features:
+        spread = spread + F.var_pop(as_column(f))
     with reused(_vectors(df, features)) as frame:
+        variance = (frame.agg(spread.alias("v")).first()["v"] or 0.0) / len(features)
+        move = math.sqrt(tol * variance / k)  # Spark bounds the move of each center
         for run in range(n_init):
-            model = KMeans(featuresCol="_v", predictionCol="cluster", k=k, initMode=init, maxIter=max_iter, tol=tol,
+            model = KMeans(featuresCol="_v", predictionCol="cluster", k=k, initMode=init, maxIter=max_iter, tol=move,
                            seed=seed + run).fit(frame)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
@@ -195,7 +203,10 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float = 0.8, m
     same = F.lit(True)
     for n, f in zip(names, features):
         same = same & (as_column(f).cast("double") == F.col(f"_{n}"))
-    return df.join(spread, same).select(*[as_column(c) for c in df.columns if c not in (out, "kind")], out, "kind")
+    # a row that lacks a coordinate reaches nobody: noise
+    joined = df.drop(out, "kind").join(spread, same, "left")
+    return joined.select(*[as_column(c) for c in df.columns if c not in (out, "kind")],
+                         F.coalesce(out, F.lit(-1)).alias(out), F.coalesce("kind", F.lit("noise")).alias("kind"))
 
 
 # ---- hierarchical -----------------------------------------------------------

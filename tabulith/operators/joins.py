@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column, euclidean
+from ..runtime import cut_lineage
 from .ordering import hash_key
 
 MAX_LITERAL_MAP = 10_000
@@ -105,6 +106,8 @@ def _extended(heads: Column, tails: Column) -> Column:
 def radius_join(points: DataFrame, key: str, features: Sequence[str], eps: float) -> DataFrame:
     """Every pair (src, dst, distance) with src < dst and distance <= eps.
 
+    For 20 or so neighbours per row; a dense cloud has quadratically many pairs by nature.
+
     Points are cut into cells of width eps on up to three axes; a point meets only the
     points of its own and the neighbouring cells, and the exact distance decides. The
     pairs are the result asked for; ``neighbor_counts`` counts without forming them.
@@ -170,8 +173,12 @@ def near_cells(cells: DataFrame, d: int, eps: float) -> DataFrame:
 
 
 def collapse_copies(points: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """Distinct positions with their number of rows and smallest id. Copies cost nothing from here on."""
-    return points.groupBy(*[as_column(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]).agg(
+    """Distinct positions with their number of rows and smallest id. Copies cost nothing from here on.
+
+    Rows that lack a coordinate have no position and are left out.
+    """
+    known = points.dropna(subset=list(features))
+    return known.groupBy(*[as_column(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]).agg(
         F.count("*").alias("weight"), F.min(as_column(key)).alias("id"))
 
 
@@ -225,7 +232,7 @@ def knn_join(points: DataFrame, key: str, vector: str, k: int, pivots: int | Non
     # row_number() <= k + 1 is applied before the shuffle too, so a huge group of copies stays small
     first = rows.withColumn("_r", F.row_number().over(smallest)).where(F.col("_r") <= k + 1)
     members = first.groupBy("g").agg(F.sort_array(F.collect_list("src")).alias("ids"), F.first("v").alias("v"))
-    members = members.withColumn("low", F.col("ids")[0])
+    members = cut_lineage(members.withColumn("low", F.col("ids")[0]))
 
     n = members.count()
     wanted = pivots or int(min(256, max(1, math.sqrt(n) / 2)))
@@ -246,6 +253,7 @@ def knn_join(points: DataFrame, key: str, vector: str, k: int, pivots: int | Non
     id_type = points.schema[key].dataType.simpleString()
     placed = members.select("g", "low", "v").mapInPandas(
         assign, f"g string, low {id_type}, v array<double>, home int, own double, far array<double>")
+    placed = cut_lineage(placed)
     per_home = Window.partitionBy("home").orderBy("own")
     near = (placed.withColumn("_r", F.row_number().over(per_home)).where(F.col("_r") <= k + 1)
             .groupBy("home").agg(F.sort_array(F.collect_list("own")).alias("near"), F.max("own").alias("_x")))
@@ -289,15 +297,17 @@ def knn_join(points: DataFrame, key: str, vector: str, k: int, pivots: int | Non
         take = min(k + 1, len(b))
         rough = _pivot_distances(a, b)
         cut = np.partition(rough, take - 1, axis=1)[:, take - 1] + 1e-6 * (1.0 + np.abs(rough).max())
-        parts = []
+        who, what, far = [], [], []
         for i, row in enumerate(rough):
             j = np.nonzero(row <= cut[i])[0]
             exact = np.sqrt(((a[i] - b[j]) ** 2).sum(1))
-            best = j[np.argsort(exact, kind="stable")[:take]]
-            parts.append(pd.DataFrame({"g": left["g"].iloc[i], "h": right["g"].to_numpy()[best],
-                                       "low": right["low"].to_numpy()[best],
-                                       "distance": np.sqrt(((a[i] - b[best]) ** 2).sum(1))}))
-        return pd.concat(parts)
+            best = np.argsort(exact, kind="stable")[:take]
+            who.append(np.full(len(best), i))
+            what.append(j[best])
+            far.append(exact[best])
+        who, what = np.concatenate(who), np.concatenate(what)
+        return pd.DataFrame({"g": left["g"].to_numpy()[who], "h": right["g"].to_numpy()[what],
+                             "low": right["low"].to_numpy()[what], "distance": np.concatenate(far)})
 
     best = (queries.groupBy("cell", "qb", "cb").cogroup(candidates.groupBy("cell", "qb", "cb"))
             .applyInPandas(block_best, f"g string, h string, low {id_type}, distance double"))

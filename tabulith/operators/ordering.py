@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import as_column
 from ..runtime import one_row
 
-SMALL_ROWS = 1_000_000  # up to here one task may order the rows
+SMALL_ROWS = 1_000_000   # up to here one task may order the rows
+SMALL_CELLS = 2_000_000  # rows times columns up to which one task may hold the values of all columns
 
 
 def hash_key(ids: Sequence[str], seed: int = 42) -> Column:
@@ -37,12 +38,11 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def hash_rank(df: DataFrame, ids: Sequence[str], seed: int = 42, by: Sequence[str] = (),
-              out: str = "rank", total: str | None = None, digits: int = 3) -> DataFrame:
+              out: str = "rank", total: str | None = None, digits: int = 4) -> DataFrame:
     """1-based rank of each row in hash order, over the table or within each ``by`` group.
 
-    Rows go to 16**digits buckets by the leading hash digits, so the largest group
-    (even one that holds a third of the table) is spread over that many tasks' worth
-    of buckets. ``digits=5`` suits tables of 10**11 rows and more.
+    Rows go to 16**digits buckets by the leading hash digits, so even a group that holds
+    a third of a table of 10**12 rows is ranked in pieces of a few million rows.
     """
     keyed = df.withColumn("_key", hash_key(ids, seed)).withColumn("_bucket", F.substring("_key", 1, digits))
     order = Window.partitionBy(*by).orderBy("_bucket")
@@ -70,7 +70,7 @@ def hash_rank(df: DataFrame, ids: Sequence[str], seed: int = 42, by: Sequence[st
 def _edges(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str, list[float]]:
     """Approximate quantiles of each column: at most ``buckets`` numbers per column (runs a job)."""
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(as_column(c).cast("double"), shares, 20 * buckets).alias(f"e{i}")
+    row = df.agg(*[F.percentile_approx(as_column(c).cast("double"), shares, 4 * buckets).alias(f"e{i}")
                    for i, c in enumerate(cols)]).first()
     return {c: [-float("inf"), *sorted({e for e in (row[f"e{i}"] or []) if abs(e) != float("inf")}), float("inf")]
             for i, c in enumerate(cols)}
@@ -114,29 +114,31 @@ def running_totals(df: DataFrame, order: str, measures: Mapping[str, Column], by
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              exact: bool = True, buckets: int = 1024, small_rows: int = SMALL_ROWS) -> DataFrame:
+              exact: bool = True, buckets: int = 1024, small_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """Quantiles with linear interpolation: one row (by..., column, q) per column, q an array.
 
-    Exact at any size. Up to ``small_rows`` rows the built-in ``percentile`` is used (its
+    Exact at any size. Up to ``small_rows`` rows (by default 2 million cells) the built-in ``percentile`` is used (its
     state is one entry per distinct value, so it is bounded by the row count checked here);
-    beyond, values are counted per order bucket and only the buckets that hold a wanted
-    rank are ordered. Runs a count, and beyond ``small_rows`` one sketch. ``exact=False``
-    uses the mergeable sketch alone.
+    beyond, rows are counted per order bucket, and only those of the buckets that hold a
+    wanted rank are put in order. Runs a count unless ``rows``, an upper bound of the row count, is given,
+    and beyond ``small_rows`` one sketch. ``exact=False`` uses the mergeable sketch alone.
     """
     def value(c):
         number = as_column(c).cast("double")
         return F.when(~F.isnan(number), number)
 
+    if small_rows is None:
+        small_rows = SMALL_CELLS // max(1, len(cols))
     base = df.select(*by, *[value(c).alias(f"_v{i}") for i, c in enumerate(cols)])
     positions = list(enumerate(cols))
-    if not exact or base.count() <= small_rows:
+    if not exact or (base.count() if rows is None else rows) <= small_rows:
         def pick(i):
             if exact:
                 return F.percentile(f"_v{i}", F.array(*[F.lit(float(p)) for p in probs]))
             return F.percentile_approx(f"_v{i}", [float(p) for p in probs], 10_000)
         stats = base.groupBy(*by).agg(*[pick(i).alias(f"_q{i}") for i, _ in positions])
-        rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q")) for i, c in positions])
-        return stats.select(*by, F.inline(rows))
+        found = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q")) for i, c in positions])
+        return stats.select(*by, F.inline(found))
 
     names = [f"_v{i}" for i, _ in positions]
     edges = _edges(base, names, buckets)
@@ -145,9 +147,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_b{i}").alias("_bucket"),
                                F.col(f"_v{i}").alias("_value")) for i, c in positions])
     keys = [*by, "column"]
-    counts = (bucketed.select(*by, F.inline(cells)).where(F.col("_value").isNotNull())
-              .groupBy(*keys, "_bucket", "_value").agg(F.count("*").alias("_n")))
-    totals = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"))
+    cells = bucketed.select(*by, F.inline(cells)).where(F.col("_value").isNotNull())
+    totals = cells.groupBy(*keys, "_bucket").agg(F.count("*").alias("_size"))
     whole = Window.partitionBy(*keys)
     totals = totals.select(
         *keys, "_bucket", "_size",
@@ -168,12 +169,15 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
         holds("_lo", "_start", "_size") | holds("_hi", "_start", "_size"))
     hit = hit.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                      F.col("_bucket").alias("_kb"), "_start", "_total").distinct()
-    condition = counts["_bucket"] == hit["_kb"]
+    if not by:
+        hit = F.broadcast(hit)  # at most two buckets per column and probability
+    condition = cells["_bucket"] == hit["_kb"]
     for i, k in enumerate(keys):
-        condition = condition & counts[k].eqNullSafe(hit[f"_k{i}"])
+        condition = condition & cells[k].eqNullSafe(hit[f"_k{i}"])
+    # only the few buckets that hold a wanted rank are counted by value and put in order
+    counts = cells.join(hit, condition).groupBy(*keys, "_bucket", "_start", "_total", "_value").agg(F.count("*").alias("_n"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (counts.join(hit, condition)
-              .withColumn("_first", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))))
+    placed = counts.withColumn("_first", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     placed = ranks(placed.select("*", F.inline(wanted)))
     found = placed.groupBy(*keys, "_i", "_frac").agg(
         F.max(F.when(holds("_lo", "_first", "_n"), F.col("_value"))).alias("_a"),
@@ -183,8 +187,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
         F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_frac"))
     per_prob = found.groupBy(*keys).agg(
         F.array(*[F.max(F.when(F.col("_i") == i, mixed)) for i in range(len(probs))]).alias("q"))
-    known = per_prob.select(*by, "column", "q")
-    return known
+    return per_prob.select(*by, "column", "q")
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = (),

@@ -147,8 +147,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, pref
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5, **options) -> DataFrame:
-    """Quartiles, fences and the number of rows below and above them, per column."""
-    quart = quantile_table(df, columns, {"q1": 0.25, "q3": 0.75}, **options)
+    """Quartiles, fences and the number of rows below and above them, per column. Runs the quartile jobs."""
+    found = quantile_table(df, columns, {"q1": 0.25, "q3": 0.75}, **options).collect()  # one row per column
+    quart = small_frame(df.sparkSession, [tuple(r) for r in found], "column string, q1 double, q3 double")
     spread = F.col("q3") - F.col("q1")
     fences = quart.select("column", "q1", "q3", spread.alias("iqr"), (F.col("q1") - k * spread).alias("low"),
                           (F.col("q3") + k * spread).alias("high"))

@@ -29,6 +29,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_out(df: DataFrame, name: str) -> DataFrame:
+    """Store ``df`` as Parquet in the shared folder and read it back (runs a job).
+
+    For tables that several later passes read a few columns of.
+    """
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def reused(df: DataFrame):
     """Keep ``df`` in memory/disk for the length of the block; lost blocks are recomputed."""
