@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..operators import boosting, linear, prep, search, splits, trees
@@ -11,7 +10,7 @@ from ..plans import exploration, modelling
 from ..runtime import reused, scratch_folder
 from ..sources import tables
 from . import query, table
-from .shared import SCORED, rounded, scored
+from .shared import SCORED, rounded
 
 NUMBERS = ["n_chars", "words", "lines", "vowels"]
 TEXTS = ["lang"]

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import as_column, finite_or_null, strip_lower, to_number
 from ..runtime import one_row, rows_as_struct, write_out
-from .columns import (categorical_columns, filter_not_null, missing, normalize_column_names, numeric_columns,
+from .columns import (categorical_columns, missing, normalize_column_names, numeric_columns,
                       remove_empty_columns)
 from .ordering import quantiles
 

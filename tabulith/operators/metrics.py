@@ -9,12 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column
 from ..runtime import one_row
-from .ordering import SMALL_ROWS, running_totals, with_next
+from .ordering import running_totals, with_next
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -199,7 +199,8 @@ def silhouette(df: DataFrame, features: Sequence[str], label: str, noise: int |
     rows = df if noise is None else df.where(as_column(label) != noise)
     if mode == "squared":
         frame = VectorAssembler(inputCols=list(features), outputCol="_v").transform(rows)
-        value = ClusteringEvaluator(featuresCol="_v", predictionCol=label).evaluate(frame)
+        several = rows.agg((F.min(as_column(label)) < F.max(as_column(label))).alias("s")).first()["s"]
+        value = ClusteringEvaluator(featuresCol="_v", predictionCol=label).evaluate(frame) if several else 0.0
         return frame.sparkSession.createDataFrame([(float(value),)], "silhouette double")
     vector = F.array(*[as_column(f).cast("double") for f in features])
     points = (rows.groupBy(vector.alias("v"), as_column(label).cast("long").alias("own"))

@@ -12,7 +12,7 @@ from ..functions.scalars import as_column
 from ..runtime import one_row, small_frame
 from .cleaning import missing_cells
 from .columns import categorical_columns, missing, numeric_columns
-from .ordering import quantile_table, quantiles
+from .ordering import quantile_table
 
 
 def _number(df: DataFrame, c: str) -> Column:

@@ -60,6 +60,7 @@ def test_one_class_metrics(spark):
     assert none["precision"] == 0.0 and none["f1"] == 0.0
     clusters = df.withColumn("c", F.lit(0))
     assert metrics.cluster_metrics(clusters, ["s"], "c").first()["silhouette"] == 0.0
+    assert metrics.silhouette(clusters, ["s"], "c", mode="squared").first()[0] == 0.0
 
 
 def test_target_texts_and_numbers(spark):

@@ -56,6 +56,12 @@ def test_dbscan(spark, d, eps, direct, monkeypatch):
     assert exact == {i: (counts[i], counts[i] >= 6) for i in range(len(x))}
 
 
+def test_rows_without_a_position_are_noise(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.1, 0.0), (3, None, 0.0), (4, None, 0.0)], "id long, f0 double, f1 double")
+    got = {r.id: (r.cluster, r.kind) for r in clustering.dbscan(df, "id", ["f0", "f1"], 0.5, 2).collect()}
+    assert got == {1: (0, "core"), 2: (0, "core"), 3: (-1, "noise"), 4: (-1, "noise")}
+
+
 def test_radius_join(spark):
     x = clumps(4)[:120]
     df, names = frame(spark, x)
