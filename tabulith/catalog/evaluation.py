@@ -129,7 +129,8 @@ def ward_merge_cost(spark, d):
 
 CH_SQL = """, k AS (SELECT cluster, count(*) AS n, avg(p_size) AS mx, avg(p_retailprice) AS my, var_pop(p_size) + var_pop(p_retailprice) AS v FROM a GROUP BY 1),
  o AS (SELECT avg(p_size) AS gx, avg(p_retailprice) AS gy, count(*) AS rows FROM a)"""
-CH = "sum(n * ((mx - gx) ** 2 + (my - gy) ** 2)) / (count(*) - 1) / (sum(n * v) / (max(rows) - count(*)))"
+# 0 below two clusters
+CH = "CASE WHEN count(*) > 1 THEN sum(n * ((mx - gx) ** 2 + (my - gy) ** 2)) / (count(*) - 1) / (sum(n * v) / (max(rows) - count(*))) ELSE 0 END"
 
 
 @query("calinski_harabasz", f"{NEAREST}{CH_SQL} SELECT count(*) AS clusters, max(rows) AS rows, round({CH}, 2) AS calinski_harabasz FROM k, o")
@@ -142,7 +143,7 @@ SILHOUETTE = """, p AS (SELECT x.p_partkey AS id, x.cluster AS own, y.cluster AS
  q AS (SELECT id, max(CASE WHEN own = other THEN t / (m - 1) END) AS aa, min(CASE WHEN own <> other THEN t / m END) AS bb FROM p GROUP BY 1)"""
 
 
-@query("silhouette_exact", f"{NEAREST}{SILHOUETTE} SELECT round(avg((bb - aa) / greatest(aa, bb)), 6) AS silhouette FROM q")
+@query("silhouette_exact", f"{NEAREST}{SILHOUETTE} SELECT round(coalesce(avg((bb - aa) / greatest(aa, bb)), 0), 6) AS silhouette FROM q")
 def silhouette_exact(spark, d):
     return rounded(metrics.silhouette(assigned(spark, d), XY, "cluster", block_rows=700))
 
@@ -153,7 +154,7 @@ def silhouette_squared(spark, d):
 
 
 @query("cluster_metrics", f"""{NEAREST}{CH_SQL}{SILHOUETTE} SELECT c.*, round(s, 4) AS silhouette FROM
- (SELECT count(*) AS clusters, max(rows) AS rows, round({CH}, 2) AS calinski_harabasz FROM k, o) c, (SELECT avg((bb - aa) / greatest(aa, bb)) AS s FROM q)""")
+ (SELECT count(*) AS clusters, max(rows) AS rows, round({CH}, 2) AS calinski_harabasz FROM k, o) c, (SELECT coalesce(avg((bb - aa) / greatest(aa, bb)), 0) AS s FROM q)""")
 def cluster_metrics(spark, d):
     m = metrics.cluster_metrics(assigned(spark, d), XY, "cluster")
     return m.select("clusters", "rows", F.round("calinski_harabasz", 2).alias("calinski_harabasz"), F.round("silhouette", 4).alias("silhouette"))
