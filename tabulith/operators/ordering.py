@@ -72,8 +72,9 @@ def _edges(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str, list[f
     shares = [i / buckets for i in range(1, buckets)]
     row = df.agg(*[F.percentile_approx(as_column(c).cast("double"), shares, 4 * buckets).alias(f"e{i}")
                    for i, c in enumerate(cols)]).first()
-    return {c: [-float("inf"), *sorted({e for e in (row[f"e{i}"] or []) if abs(e) != float("inf")}), float("inf")]
-            for i, c in enumerate(cols)}
+    found = {c: sorted({e for e in (row[f"e{i}"] or []) if abs(e) != float("inf")}) for i, c in enumerate(cols)}
+    # a column without a finite value still needs one edge
+    return {c: [-float("inf"), *(e or [0.0]), float("inf")] for c, e in found.items()}
 
 
 def running_totals(df: DataFrame, order: str, measures: Mapping[str, Column], by: Sequence[str] = (),

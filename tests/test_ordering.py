@@ -23,6 +23,13 @@ def test_quantiles_are_exact(rows, small):
     assert np.allclose(got, np.quantile(values, probs))
 
 
+def test_bucketed_quantiles_with_an_empty_and_a_constant_column(rows):
+    df = rows.select("v", F.lit(None).cast("double").alias("none"), F.lit(7.0).alias("same"))
+    got = {r.column: r.q for r in ordering.quantiles(df, ["v", "none", "same"], [0.5], small_rows=0, buckets=8).collect()}
+    small = {r.column: r.q for r in ordering.quantiles(df, ["v", "same"], [0.5]).collect()}
+    assert got == small
+
+
 def test_quantiles_keep_infinity_and_groups(rows):
     small = {(r.g, r.column): r.q for r in ordering.quantiles(rows, ["v"], [0.5, 1.0], ["g"]).collect()}
     big = {(r.g, r.column): r.q for r in ordering.quantiles(rows, ["v"], [0.5, 1.0], ["g"], small_rows=0, buckets=16).collect()}
