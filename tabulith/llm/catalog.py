@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulith.catalog import table
+from tabulith.runtime import scratch_folder
 
-from . import winnowing
+from . import bpe, packing, pieces, winnowing
+from .words import bound_batches
+
+WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,6 +28,45 @@ def query(function):
     return function
 
 
+@query
+def op4_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document in the piece vocabulary."""
+    bound_batches(spark)
+    docs = table(spark, folder, "documents")
+    n = pieces.count_tokens(F.col("text"), public_tokenizers.path(PIECES))
+    counted = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
+                          n.alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    bound_batches(spark)
+    path = public_tokenizers.path(WORD_BPE)
+    coded = table(spark, folder, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"))
+
+
+def _packed_digest(block: packing.Block, start: int) -> pa.RecordBatch:
+    ids, offsets = block.all_ids().astype("<u4"), block.offsets
+    crcs = [zlib.crc32(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block.keys, pa.int64()), pa.array(start + offsets[:-1], pa.int64()), pa.array(np.diff(offsets), pa.int64()),
+         pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
+@query
+def op7_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' ids written bit-packed in document order, then read back from the files."""
+    path = scratch_folder(spark, "packed-ids")
+    packing.write_ids(table(spark, folder, "documents"), path, public_tokenizers.path(WORD_BPE))
+    return packing.read_ids(spark, path, _packed_digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+
+
 @query
 def op8_winnow_contamination(spark: SparkSession, folder: str) -> DataFrame:
     """Which documents hold 13-word windows of benchmark items, and how many of their words."""
