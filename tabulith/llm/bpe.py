@@ -25,12 +25,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 500_000  # encoded words a worker remembers; beyond, it begins again
+KEPT_WORDS = 600_000  # encoded words a worker remembers; beyond, it keeps those used by several batches
 WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 SPLITS_MORE = re.compile("[\x1c-\x1f]")  # str.split() cuts here, Unicode's White_Space does not
 LEARN_CHARS = 1_000_000  # characters of text whose new words are encoded together
 LATIN_END = "\u024f"
-NO_RANK = 1 << 60
+END = 256  # symbol of a word's end
 NEVER = np.iinfo(np.int64).max
 
 
@@ -63,19 +63,20 @@ class WordBpe:
         self.library = Tokenizer.from_file(path)
         self.fixed = {w: (i,) for w, i in self.special.items()}
         self.known: dict[str, tuple[int, ...]] = dict(self.fixed)
+        self.used: set[str] = set()
 
     def _load_merges(self, merges: list[tuple[str, str]]) -> None:
         ids, size = self.ids, self.size
-        self.rank: dict[int, int] = {}  # left * size + right -> rank
-        self.merged: list[int] = []  # rank -> token
         left, right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.made = np.full(size, NEVER, np.int64)  # rank of the merge that makes a token
+        keys, made = [], []
         for rank, (a, b) in enumerate(merges):
             x, y, z = ids[a], ids[b], ids[a + b]
-            self.rank[x * size + y] = rank
-            self.merged.append(z)
             left[z], right[z], self.made[z] = x, y, rank
-        keys, ranks = (np.array(list(x), np.int64) for x in (self.rank.keys(), self.rank.values()))
+            keys.append(x * size + y)
+            made.append(z)
+        keys, self.merged = np.array(keys, np.int64), np.array(made, np.int64)  # pair and token by rank
+        ranks = np.arange(len(keys))
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], ranks[order]
         self.right_edge, self.left_edge = self._edges(right), self._edges(left)
@@ -86,11 +87,30 @@ class WordBpe:
         for t in sorted(inner.tolist(), key=lambda t: self.made[t]):
             if left[t] in broken or right[t] in broken:
                 broken.add(t)
-        self.proposable = {w: i for w, i in ids.items() if i not in broken}
-        self.longest: dict[str, int] = {}  # length of the longest entry by its first two letters
-        for w in self.proposable:
-            w = w.removesuffix(self.end)
-            self.longest[w[:2]] = max(len(w), self.longest.get(w[:2], 1))
+        self._load_trie([(w, i) for w, i in ids.items() if i not in broken])
+
+    def _load_trie(self, entries: list[tuple[str, int]]) -> None:
+        """The vocabulary as a trie: edges are node * 512 + symbol, a word's end is a symbol of its own."""
+        self.symbol = np.zeros(512, np.int64)
+        for b, c in enumerate(self.letters):
+            self.symbol[ord(c)] = b
+        edges: dict[int, int] = {}
+        token = [-1]
+        for word, i in entries:
+            ended = bool(self.end) and word.endswith(self.end)
+            node = 0
+            for c in [*self.symbol[[ord(x) for x in word.removesuffix(self.end)]].tolist(), *[END] * ended]:
+                key = node << 9 | c
+                if key not in edges:
+                    edges[key] = len(token)
+                    token.append(-1)
+                node = edges[key]
+            token[node] = i
+        self.trie_keys = np.array(sorted(edges), np.int64)
+        self.trie_next = np.array([edges[k] for k in self.trie_keys.tolist()], np.int64)
+        self.trie_token = np.array(token, np.int64)
+        # tokens of single letters, within a word and at its end
+        self.letter_ids = np.array([[self.ids[c], self.ids[c + self.end]] for c in self.letters], np.int64)
 
     def _edges(self, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per token, the tokens that stand at that edge while it is built, and the rank that consumes each."""
@@ -116,55 +136,105 @@ class WordBpe:
             out[low:low + 4096] = np.where((rank < gone_x) & (rank <= gone_y), rank, NEVER).min(axis=(1, 2))
         return out
 
-    def propose(self, word: str) -> list[int]:
-        """Longest vocabulary entries from left to right; an entry at the word's end carries the marker."""
-        found, i, n, vocab, end = [], 0, len(word), self.proposable, self.end
-        while i < n:
-            j = min(n, i + self.longest.get(word[i:i + 2], 1))
-            if j == n:
-                t = vocab.get(word[i:] + end)
-                if t is not None:
-                    found.append(t)
-                    break
-                j -= 1
-            while j > i:
-                t = vocab.get(word[i:j])
-                if t is not None:
-                    break
-                j -= 1
-            else:
-                raise ValueError(f"no entry for {word[i]!r}")
-            found.append(t)
-            i = j
-        return found
-
-    def merge(self, word: str) -> list[int]:
-        """Exact merging: lowest rank first, leftmost among equals."""
-        size, rank_of = self.size, self.rank.get
-        at = [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + self.end]]
-        ranks = [rank_of(a * size + b, NO_RANK) for a, b in zip(at, at[1:])]
-        while ranks and (best := min(ranks)) != NO_RANK:
-            i = ranks.index(best)
-            at[i:i + 2] = [self.merged[best]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank_of(at[i - 1] * size + at[i], NO_RANK)
-            if i < len(ranks):
-                ranks[i] = rank_of(at[i] * size + at[i + 1], NO_RANK)
-        return at
-
-    def encode_words(self, words: list[str]) -> list[list[int]]:
+    def propose(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, word of each): longest vocabulary entries from left to right, for all words at once.
+
+        ``symbols`` holds the words one after the other, each with END behind it.
+        """
+        n = len(symbols)
+        length, token = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+        at = np.flatnonzero(symbols != END)
+        node = np.zeros(len(at), np.int64)
+        depth = 0
+        while len(at):
+            keys = node << 9 | symbols[at + depth]
+            place = np.minimum(np.searchsorted(self.trie_keys, keys), len(self.trie_keys) - 1)
+            found = self.trie_keys[place] == keys
+            at, node = at[found], self.trie_next[place[found]]
+            depth += 1
+            here = self.trie_token[node]
+            # an entry must take a word's end along with its last letter
+            closed = symbols[at + depth - 1] == END
+            whole = (here >= 0) & (closed | (symbols[np.minimum(at + depth, n - 1)] != END))
+            length[at[whole]], token[at[whole]] = depth, here[whole]
+            at, node = at[~closed], node[~closed]
+        words = np.arange(len(bounds) - 1)
+        cursor, tokens, owners = bounds[:-1].copy(), [], []
+        while len(words):
+            tokens.append(token[cursor])
+            owners.append(words)
+            cursor = cursor + length[cursor]
+            more = cursor < bounds[words + 1]
+            words, cursor = words[more], cursor[more]
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], owner[order]
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a * self.size + b
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NEVER)
+
+    def merge(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, word of each) by exact merging: in every word, lowest rank first, leftmost among equals."""
+        sizes = np.diff(bounds) - 1
+        n, width = len(sizes), int(sizes.max())
+        column = np.arange(width)
+        inside = column[None, :] < sizes[:, None]
+        letters = symbols[np.minimum(bounds[:-1, None] + column, len(symbols) - 1)] * inside
+        at = self.letter_ids[letters, (column[None, :] == sizes[:, None] - 1).astype(np.int64)]
+        after = np.where(column[None, :] + 1 < sizes[:, None], column[None, :] + 1, -1).astype(np.int32)
+        before = np.broadcast_to(column - 1, (n, width)).astype(np.int32).copy()
+        rank = np.full((n, width), NEVER)
+        rank[:, :-1] = np.where(after[:, :-1] >= 0, self._ranks(at[:, :-1], at[:, 1:]), NEVER)
+        row = np.arange(n)
+        while len(row):
+            i = rank[row].argmin(1)
+            best = rank[row, i]
+            row, i, best = row[best < NEVER], i[best < NEVER], best[best < NEVER]
+            at[row, i] = self.merged[best]
+            gone = after[row, i]
+            inside[row, gone] = False
+            rank[row, gone] = NEVER
+            right = after[row, gone]
+            after[row, i] = right
+            there = right >= 0
+            before[row[there], right[there]] = i[there]
+            rank[row, i] = np.where(there, self._ranks(at[row, i], at[row, np.maximum(right, 0)]), NEVER)
+            left = before[row, i]
+            there = left >= 0
+            rank[row[there], left[there]] = self._ranks(at[row[there], left[there]], at[row[there], i[there]])
+        owner, place = np.nonzero(inside)
+        return at[owner, place], owner
+
+    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
         """Ids of pre-tokens, given in byte letters: propose, verify all adjacent pairs, merge the failing words."""
-        proposed = [self.propose(w) for w in words]
-        lengths = np.fromiter(map(len, proposed), np.int64, len(proposed))
-        flat = np.fromiter(chain.from_iterable(proposed), np.int64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(words)), lengths)
+        if not words:
+            return []
+        codes = np.frombuffer(("\0".join(words) + "\0").encode("utf-32-le"), np.uint32)
+        symbols = np.where(codes == 0, END, self.symbol[codes])
+        bounds = np.concatenate([[0], np.flatnonzero(codes == 0) + 1])
+        token, owner = self.propose(symbols, bounds)
         border = np.flatnonzero(owner[1:] == owner[:-1])
-        pairs, inverse = np.unique(flat[border] * self.size + flat[border + 1], return_inverse=True)
+        pairs, inverse = np.unique(token[border] * self.size + token[border + 1], return_inverse=True)
         fine = self._first_crossing(pairs // self.size, pairs % self.size) == NEVER
-        for i in np.unique(owner[border[~fine[inverse]]]).tolist():
-            proposed[i] = self.merge(words[i])
-        return proposed
+        failing = np.zeros(len(words), bool)
+        failing[owner[border[~fine[inverse]]]] = True
+        tokens, owners = [token[~failing[owner]]], [owner[~failing[owner]]]
+        sizes = np.diff(bounds)
+        for low, high in ((0, 13), (13, 25), (25, 1 << 40)):  # words of like length together
+            chosen = np.flatnonzero(failing & (sizes >= low) & (sizes < high))
+            for part in np.split(chosen, range(4096, len(chosen), 4096)) if high < 100 else chosen[:, None]:
+                if len(part):
+                    taken = np.concatenate([np.arange(bounds[w], bounds[w + 1]) for w in part])
+                    own, who = self.merge(symbols[taken], np.concatenate([[0], np.cumsum(sizes[part])]))
+                    tokens.append(own)
+                    owners.append(part[who])
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
+        flat = np.concatenate(tokens)[order].tolist()
+        return [tuple(flat[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
     def pieces(self, raw: str) -> list[str]:
         """Pre-tokens, in byte letters, of a word without white space.
@@ -205,9 +275,13 @@ class WordBpe:
                 if size > LEARN_CHARS:
                     more = True
                     break
-            if len(self.known) > KEPT_WORDS:
-                self.known = dict(self.fixed)
-            unknown = set().union(*parts).difference(self.known)
+            words = set().union(*parts)
+            if len(self.known) > KEPT_WORDS:  # keep what more than one batch has used
+                often = self.used if len(self.used) <= KEPT_WORDS // 2 else ()
+                self.known = {w: self.known[w] for w in often} | self.fixed
+                self.used = set()
+            unknown = words.difference(self.known)
+            self.used |= words.difference(unknown)
             if unknown:
                 self.learn(unknown)
             for own in parts:
