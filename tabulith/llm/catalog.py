@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabulith.catalog import table
 from tabulith.runtime import scratch_folder
 
-from . import bpe, packing, pieces, winnowing
+from . import bpe, forest, kernel, mixture, packing, pieces, winnowing
 from .words import bound_batches
 
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -28,6 +28,28 @@ def query(function):
     return function
 
 
+def _remainder(key: str, n: int):
+    """crc32 of the key as text, modulo n."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+@query
+def op1_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Language shares of every document by mixture inference, learned from the rows not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False)))
+    model = mixture.fit(docs.where(~F.col("held_out")))
+    answer = mixture.predict(F.col("text"), spark.sparkContext.broadcast(model))
+    return docs.select("doc_id", "held_out", answer.alias("r")).select("doc_id", "held_out", "r.*")
+
+
+@query
+def op2_forest_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents that share 85 % of their three-word shingles."""
+    found = forest.near_duplicates(table(spark, folder, "documents"), size=3, threshold=(85, 100))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query
 def op4_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document in the piece vocabulary."""
@@ -78,3 +100,15 @@ def op8_winnow_contamination(spark: SparkSession, folder: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         winnowing.is_contaminated(n_hit, F.col("n_words")).alias("contaminated"))
+
+
+@query
+def op10_toxicity_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by the string-kernel machine, learned from the labels not held out."""
+    labels = table(spark, folder, "labels").where(_remainder("doc_id", 5) != 0)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    machine = spark.sparkContext.broadcast(kernel.fit(docs, labels))
+    bound_batches(spark)
+    held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), kernel.score(F.col("text"), machine).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))

@@ -36,3 +36,42 @@ def contamination(docs, items):
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(),
                     len(hit) > 0 and 20 * len(hit) >= len(w)))
     return out
+
+
+def shingle_sets(docs, size):
+    out = []
+    for d, t in docs:
+        w = re.findall("[^\x20\x09-\x0D]+", lower(t))
+        n = min(size, len(w))
+        out.append((d, frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if n else frozenset()))
+    return out
+
+
+def components(ids, links):
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {i: root(i) for i in ids}
+
+
+def near_duplicates(docs, size=3, top=85, bottom=100):
+    """All pairs that share a shingle are compared."""
+    sets = shingle_sets(docs, size)
+    where, links = {}, []
+    for i, (_, s) in enumerate(sets):
+        met = {}
+        for x in s:
+            for j in where.setdefault(x, []):
+                met[j] = met.get(j, 0) + 1
+            where[x].append(i)
+        for j, both in met.items():
+            if bottom * both >= top * (len(s) + len(sets[j][1]) - both):
+                links.append((sets[i][0], sets[j][0]))
+    name = components([d for d, _ in sets], links)
+    return [(d, len(s), name[d], name[d] == d) for d, s in sets]
