@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabulith.catalog import table
 from tabulith.runtime import scratch_folder
 
-from . import bpe, forest, kernel, mixture, packing, pieces, winnowing
+from . import bpe, forest, hnsw, kernel, mixture, packing, pieces, winnowing
 from .words import bound_batches
 
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -102,6 +102,13 @@ def op8_winnow_contamination(spark: SparkSession, folder: str) -> DataFrame:
         winnowing.is_contaminated(n_hit, F.col("n_words")).alias("contaminated"))
 
 
+@query
+def op9_hnsw_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and groups of embeddings of one label with a cosine of 0.93 or more."""
+    found = hnsw.near_duplicates(table(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 @query
 def op10_toxicity_kernel(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document by the string-kernel machine, learned from the labels not held out."""

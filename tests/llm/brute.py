@@ -75,3 +75,22 @@ def near_duplicates(docs, size=3, top=85, bottom=100):
                 links.append((sets[i][0], sets[j][0]))
     name = components([d for d, _ in sets], links)
     return [(d, len(s), name[d], name[d] == d) for d, s in sets]
+
+
+def embedding_links(rows, threshold=0.93):
+    import numpy as np
+    usable = {}
+    for i, v, label in rows:
+        if label is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(v):
+            usable.setdefault((label, len(v)), []).append((i, np.array(v, float)))
+    count, links = {}, []
+    for own in usable.values():
+        ids = [i for i, _ in own]
+        m = np.array([v for _, v in own])
+        m /= np.sqrt((m * m).sum(1))[:, None]
+        for a, i in enumerate(ids):
+            near = np.flatnonzero(m @ m[a] >= threshold)
+            links += [(i, ids[b]) for b in near if b != a]
+            count[i] = count.get(i, 0) + len(near) - 1
+    name = components([i for i, _, _ in rows], links)
+    return [(i, count.get(i, 0), name[i], name[i] == i) for i, _, _ in rows]
