@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +27,18 @@ from .words import bound_batches
 TRAIN_DOCS = 4000  # expected number of labelled documents per class that the machine is fitted on
 LANDMARKS = 64
 CANDIDATES = 600
+STEMS = range(4, 8)  # letters of the word beginnings that landmarks are chosen from
+CERTAIN, LEAST_Z = 0.85, 4.0
+START = "^"
+CLOSE = 0.5  # a sentence with such a feature is an instance of its own in training
 LENGTH, DECAY = 3, 0.75  # letters of a subsequence, weight per position it spans
-ACTIVE = 0.45  # kernel values below count as 0
+ACTIVE = 0.5  # kernel values below count as 0
 SHARED = 0.75  # a kernel value is 0 unless the word has this share of the landmark's distinct letters
 UNIT = 8  # longer words are compared in windows of so many letters, each overlapping half of the next
 ROUNDS = 4
 KEPT_WORDS = 500_000
 BATCH_CHARS = 500_000
-SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n")
+SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
 
@@ -80,7 +85,7 @@ def _letters(words: list[str]) -> np.ndarray:
 
 
 def similarities(words: list[str], landmarks: list[str], own: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Normalised kernel of each word with each landmark, 0 where SHARED or ACTIVE rules it out."""
+    """Square of the normalised kernel of each word with each landmark, 0 where SHARED or ACTIVE rules it out."""
     out = np.zeros((len(words), len(landmarks)), np.float32)
     if not len(words) or not len(landmarks):
         return out
@@ -96,14 +101,17 @@ def similarities(words: list[str], landmarks: list[str], own: np.ndarray, bits:
             value = kernel(_codes(chosen, 0)[back], marks[j[at]])
             out[i[at], j[at]] = value / np.sqrt(alone[back] * own[j[at]])
     out[out < ACTIVE] = 0
-    return out
+    return out * out
 
 
 def units(raw: str) -> list[str]:
-    """What of a white-space separated word is compared: its letters and digits, long ones in overlapping windows."""
+    """What of a white-space separated word is compared: START, its letters and digits; long ones in overlapping windows."""
     word = OTHER.sub("", raw)
+    if len(word) < LENGTH:
+        return []
+    word = START + word
     if len(word) <= UNIT:
-        return [word] if len(word) >= LENGTH else []
+        return [word]
     return [word[i:i + UNIT] for i in range(0, len(word) - UNIT // 2, UNIT // 2)]
 
 
@@ -138,8 +146,9 @@ class Machine:
         active = {w for w in words if self.known[w] is not None}
         rows = []
         if active:
-            for s in SENTENCE.split(text):
-                own = [self.known[w] for w in tokens(s) if w in active]
+            # letters spelled out one by one are a sentence of their own
+            for own in chain(map(str.split, SENTENCE.split(text)), [[w] for w in spelled(text)]):
+                own = [self.known[w] for w in own if w in active]
                 if own:
                     rows.append(np.max(own, axis=0))
         return np.array(rows, np.float32).reshape(len(rows), len(self.landmarks))
@@ -170,12 +179,17 @@ class Machine:
             yield float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(rows) + self.shift, -50, 50))))
 
 
+def spelled(text: str) -> list[str]:
+    """Words whose letters are spelled out one by one."""
+    return [OTHER.sub("", m) for m in SPELLED.findall(text)]
+
+
 def tokens(text: str) -> list[str]:
-    """White-space separated words; letters spelled out one by one come once more as one word."""
-    return text.split() + [OTHER.sub("", m) for m in SPELLED.findall(text)]
+    """White-space separated words, and those spelled out."""
+    return text.split() + spelled(text)
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, by Newton steps."""
     n, m = x.shape
     z = np.hstack([x, np.ones((n, 1))])
@@ -206,50 +220,46 @@ def _platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float
     return max(a, 1e-3), b
 
 
-def _draw(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, train_docs: int) -> DataFrame:
-    """(text, y) of about ``train_docs`` labelled documents of each class, drawn by a hash of the key."""
+def _draw(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
+          train_docs: int) -> tuple[DataFrame, tuple[float, float]]:
+    """(text, y) of about ``train_docs`` labelled documents of each class, drawn by a hash of the key, and how many
+    documents each drawn toxic and other one stands for."""
     own = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
         F.max(F.col(label).cast("int")).alias("y"))
     sizes = {r[0]: r[1] for r in own.groupBy("y").count().collect()}
-    rate = F.when(F.col("y") > 0, min(1.0, train_docs / max(1, sizes.get(1, 0)))).otherwise(
-        min(1.0, train_docs / max(1, sizes.get(0, 0))))
+    toxic, clean = (min(1.0, train_docs / max(1, sizes.get(y, 0))) for y in (1, 0))
+    rate = F.when(F.col("y") > 0, toxic).otherwise(clean)
     drawn = own.where(F.pmod(F.xxhash64("_k", F.lit(7)), F.lit(1 << 20)) < rate * (1 << 20))
     # the drawn keys are about twice train_docs, whatever the tables' sizes
-    return docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(F.broadcast(drawn), "_k").select("text", "y")
+    return docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(F.broadcast(drawn), "_k").select(
+        "text", "y"), (1 / toxic, 1 / clean)
 
 
 def _candidates(sample: DataFrame, n: int) -> list[str]:
-    """Units that mark toxic documents, most telling first, from document frequencies."""
+    """Word beginnings that mark toxic documents, most telling first, from document frequencies.
+
+    At least CERTAIN of the (class-balanced) documents with such a beginning must be toxic.
+    """
     @F.arrow_udf("array<string>")
-    def distinct(texts: pa.Array) -> pa.Array:
-        return pa.array([list({u for w in set(tokens((t.as_py() or "").lower())) for u in units(w)}) for t in texts],
-                        pa.list_(pa.string()))
+    def beginnings(texts: pa.Array) -> pa.Array:
+        return pa.array([list({START + w[:k] for w in {OTHER.sub("", t) for t in set(tokens((x.as_py() or "").lower()))}
+                               for k in STEMS if len(w) >= k}) for x in texts], pa.list_(pa.string()))
     count = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     pos, neg = max(1, count.get(1, 0)), max(1, count.get(0, 0))
-    seen = (sample.select(F.explode(distinct("text")).alias("w"), "y").groupBy("w")
+    seen = (sample.select(F.explode(beginnings("text")).alias("w"), "y").groupBy("w")
             .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")))
-    share = (F.col("p") + F.col("q")) / (pos + neg)
-    z = (F.col("p") / pos - F.col("q") / neg) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + F.lit(1e-12))
-    telling = seen.where(F.col("p") >= 3).withColumn("z", z).where("z > 3.5").orderBy(F.desc("z"), "w").limit(n)
+    share, toxic, clean = (F.col("p") + F.col("q")) / (pos + neg), F.col("p") / pos, F.col("q") / neg
+    z = (toxic - clean) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + F.lit(1e-12))
+    telling = (seen.where((F.col("p") >= 3) & (toxic >= CERTAIN * (toxic + clean))).withColumn("z", z).where(F.col("z") > LEAST_Z)
+               .orderBy(F.desc(F.round("z", 9)), F.desc(F.length("w")), "w").limit(n))
     return [r.w for r in telling.collect()]
 
 
-def _stems(words: list[str]) -> list[str]:
-    """Beginnings of four letters or more that at least three of the words share, the longest of each such set."""
-    members: dict[str, int] = {}
-    for w in words:
-        for n in range(4, len(w) + 1):
-            members[w[:n]] = members.get(w[:n], 0) + 1
-    shared = {s: n for s, n in members.items() if n >= 3}
-    longest = [s for s, n in shared.items() if not any(o != s and o.startswith(s) and m * 2 > n for o, m in shared.items())]
-    return sorted(longest, key=lambda s: (-shared[s], s))
-
-
-def _spread(words: list[str], taken: list[str], n: int, apart: float = 0.7) -> list[str]:
+def _spread(words: list[str], n: int, apart: float = 0.6) -> list[str]:
     """The first n words that are not nearly alike to one already taken."""
-    chosen = list(taken)
+    chosen: list[str] = []
     for w in words:
-        if len(chosen) - len(taken) >= n:
+        if len(chosen) >= n:
             break
         if not chosen or similarities([w], chosen, _self(chosen), _letters(chosen)).max() < apart:
             chosen.append(w)
@@ -260,9 +270,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARKS) -> Machine:
     """Landmarks and machine from a bounded sample of the labelled documents."""
     bound_batches(docs.sparkSession)
-    sample = _draw(docs, labels, key, text, label, train_docs).persist()
+    sample, true_weight = _draw(docs, labels, key, text, label, train_docs)
+    sample = sample.persist()
     telling = _candidates(sample, CANDIDATES)
-    machine = Machine(_spread(_stems(telling) + telling, [], landmarks))
+    machine = Machine(_spread(telling, landmarks))
     if not machine.landmarks:
         sample.unpersist()
         return Machine([])
@@ -289,12 +300,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     first = np.ones(m)
     weight = np.where(y > 0, 1 / (y > 0).sum(), 1 / (y < 0).sum())
     for _ in range(ROUNDS):
-        x = np.array([b[(b @ first).argmax()] for b in own])
-        w, machine.bias = _svm(x @ root, y, weight * len(y) / 2)
+        rows, goal, share = [], [], []
+        for b, sign, w in zip(own, y, weight * len(y) / 2):
+            # of a toxic document, the most telling sentence and those close to a landmark; of others, the worst sentence
+            chosen = np.zeros(len(b), bool)
+            chosen[(b @ first).argmax()] = True
+            if sign > 0:
+                chosen |= b.max(1) >= CLOSE
+            rows.append(b[chosen])
+            goal += [sign] * int(chosen.sum())
+            share += [w / chosen.sum()] * int(chosen.sum())
+        w, machine.bias = _svm(np.vstack(rows) @ root, np.array(goal), np.array(share))
         first = machine.weights = root @ w
     machine.weights = machine.weights.astype(np.float64)
     margin = np.array([machine.margin(b) for b in own])
-    machine.slope, machine.shift = _platt(margin, y, weight * len(y) / 2)
+    machine.slope, machine.shift = _platt(margin, y, np.where(y > 0, *true_weight))
     return machine
 
 
