@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabulith.catalog import table
 from tabulith.runtime import scratch_folder
 
-from . import bpe, forest, hnsw, kernel, mixture, packing, pieces, winnowing
+from . import bpe, forest, hnsw, kernel, mixture, packing, pieces, recurrent, roles, winnowing
 from .words import bound_batches
 
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -50,6 +50,12 @@ def op2_forest_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op3_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with its cheapest legal sequence of turns, rendered turn by turn."""
+    return roles.repair_turns(table(spark, folder, "conversations"))
+
+
 @query
 def op4_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document in the piece vocabulary."""
@@ -61,6 +67,14 @@ def op4_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@query
+def op5_recurrent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document by the recurrent model and by word frequencies, from the rows not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
+    return recurrent.score(docs, docs.where(~held_out)).withColumn("held_out", held_out)
+
+
 @query
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""

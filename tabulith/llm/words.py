@@ -81,11 +81,15 @@ def _blocks(content: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, i
 
 def hash_words(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes of all texts in order, offsets of each text's words)."""
+    return hash_words_with_ends(texts, separator)[:2]
+
+
+def hash_words_with_ends(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, offsets of each text's words, last two bytes of each word)."""
     content, bounds = text_buffers(texts)
     starts = np.zeros(len(content) + 1, bool)
     starts[bounds] = True  # a text's first byte begins a word even after a text without separator
-    hashes, where = [], []
-    low = 0
+    hashes, where, tails = [], [], []
     for begin, end in _text_blocks(content, bounds, separator):
         part = _LOWER[content[begin:end]]
         outside = separator[part]
@@ -105,10 +109,11 @@ def hash_words(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.n
         raw = (sums[last] - sums[first] + weighted[first]) * down[first]
         hashes.append(mix(raw ^ (last - first).astype(np.uint64)))
         where.append(first + begin)
-        low = end
+        tails.append(part[np.maximum(last - 1, first)].astype(np.uint16) << 8 | part[last])
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(where), bounds).astype(np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), np.zeros(0, np.uint16)
+    return (np.concatenate(hashes), np.searchsorted(np.concatenate(where), bounds).astype(np.int64),
+            np.concatenate(tails))
 
 
 def _text_blocks(content: np.ndarray, bounds: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, int]]:

@@ -94,3 +94,13 @@ def embedding_links(rows, threshold=0.93):
             count[i] = count.get(i, 0) + len(near) - 1
     name = components([i for i, _, _ in rows], links)
     return [(i, count.get(i, 0), name[i], name[i] == i) for i, _, _ in rows]
+
+
+def unigram_scores(docs):
+    import math
+    from collections import Counter
+    words = {d: re.findall("[^\x20\x09-\x0D]+", lower(t)) + [None] for d, t in docs}
+    count = Counter(w for d, own in words.items() if crc(d) % 7 != 2 for w in own)
+    n, v = sum(count.values()), len(count)
+    return [(d, crc(d) % 7 == 2, len(own), sum(count[w] > 0 for w in own), n,
+             sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own)) for d, own in words.items()]
