@@ -3,7 +3,8 @@
 A greedy longest match proposes a word's tokens. The proposal is the BPE encoding exactly if no
 merge would ever cross the border of two adjacent tokens; that is a property of the pair alone, so
 each distinct pair is tested once, in vectorised batches. Words with a failing pair are merged
-exactly. Encoded words are kept per worker up to ``KEPT_WORDS``.
+exactly. White-space separated words are found by their 64-bit hash in a table of encoded words, which each
+worker keeps up to ``KEPT_WORDS``.
 
 A null or empty text has no ids. Special tokens written in a text become their id, as in the
 library's default.
@@ -25,15 +26,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 600_000  # encoded words a worker remembers; beyond, it keeps those used by several batches
-WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-SPLITS_MORE = re.compile("[\x1c-\x1f]")  # str.split() cuts here, Unicode's White_Space does not
-LEARN_CHARS = 1_000_000  # characters of text whose new words are encoded together
+from .words import SPACE, hash_spans, separator_table, text_runs
+
+KEPT_WORDS = 1_500_000  # encoded words a worker remembers by hash (some 60 bytes each); beyond, it begins again
+CHUNK_BYTES = 2 << 20  # bytes of text encoded together
 LATIN_END = "\u024f"
 END = 256  # symbol of a word's end
 NEVER = np.iinfo(np.int64).max
 
 
+_SPACE = separator_table(SPACE)
+
+
+def gather(values: np.ndarray, begins: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the runs ``at`` of values one after the other, their lengths); run i is values[begins[i]:begins[i + 1]]."""
+    lengths = begins[at + 1] - begins[at]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(begins[at] - ends + lengths, lengths)], lengths
+
+
 def byte_letters() -> list[str]:
     """The printable stand-in of each byte: itself where printable, else the next free letter from 256 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -52,8 +64,8 @@ class WordBpe:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(pattern)
-        self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") 
+        self.line_pattern = regex.compile(pattern + "|\n")
+        self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.size = max(chain(self.ids.values(), self.special.values())) + 1
         self.text = [""] * self.size
         for word, i in chain(self.ids.items(), self.special.items()):
@@ -61,9 +73,7 @@ class WordBpe:
         self.letters = byte_letters()
         self._load_merges([tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]])
         self.library = Tokenizer.from_file(path)
-        self.fixed = {w: (i,) for w, i in self.special.items()}
-        self.known: dict[str, tuple[int, ...]] = dict(self.fixed)
-        self.used: set[str] = set()
+        self.forget()
 
     def _load_merges(self, merges: list[tuple[str, str]]) -> None:
         ids, size = self.ids, self.size
@@ -207,18 +217,16 @@ class WordBpe:
         owner, place = np.nonzero(inside)
         return at[owner, place], owner
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of pre-tokens, given in byte letters: propose, verify all adjacent pairs, merge the failing words."""
-        if not words:
-            return []
-        codes = np.frombuffer(("\0".join(words) + "\0").encode("utf-32-le"), np.uint32)
-        symbols = np.where(codes == 0, END, self.symbol[codes])
-        bounds = np.concatenate([[0], np.flatnonzero(codes == 0) + 1])
+    def encode_symbols(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each pre-token's ids begin): propose, verify all adjacent pairs, merge the failing words."""
+        count = len(bounds) - 1
+        if not count:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         token, owner = self.propose(symbols, bounds)
         border = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, inverse = np.unique(token[border] * self.size + token[border + 1], return_inverse=True)
         fine = self._first_crossing(pairs // self.size, pairs % self.size) == NEVER
-        failing = np.zeros(len(words), bool)
+        failing = np.zeros(count, bool)
         failing[owner[border[~fine[inverse]]]] = True
         tokens, owners = [token[~failing[owner]]], [owner[~failing[owner]]]
         sizes = np.diff(bounds)
@@ -226,66 +234,85 @@ class WordBpe:
             chosen = np.flatnonzero(failing & (sizes >= low) & (sizes < high))
             for part in np.split(chosen, range(4096, len(chosen), 4096)) if high < 100 else chosen[:, None]:
                 if len(part):
-                    taken = np.concatenate([np.arange(bounds[w], bounds[w + 1]) for w in part])
-                    own, who = self.merge(symbols[taken], np.concatenate([[0], np.cumsum(sizes[part])]))
+                    ends = np.cumsum(sizes[part])
+                    taken = np.arange(int(ends[-1])) + np.repeat(bounds[part] - ends + sizes[part], sizes[part])
+                    own, who = self.merge(symbols[taken], np.concatenate([[0], ends]))
                     tokens.append(own)
                     owners.append(part[who])
         owner = np.concatenate(owners)
         order = np.argsort(owner, kind="stable")
-        cuts = np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
-        flat = np.concatenate(tokens)[order].tolist()
-        return [tuple(flat[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-
-    def pieces(self, raw: str) -> list[str]:
-        """Pre-tokens, in byte letters, of a word without white space.
-
-        Letters beyond Latin take the library's Unicode tables, which are older or newer than Python's.
-        """
-        if max(raw) > LATIN_END:
-            return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(raw))]
-        if raw.isascii() and raw.isprintable():
-            return self.pattern.findall(raw.lower())
-        lowered = "".join(map(str.lower, unicodedata.normalize("NFC", raw)))
-        return ["".join([self.letters[b] for b in p.encode()]) for p in self.pattern.findall(lowered)]
-
-    def learn(self, raw: Iterable[str]) -> None:
-        """Encode white-space separated words of the corpus and remember them."""
-        raw = list(raw)
-        pieces = list(map(self.pieces, raw))
-        wanted = list(dict.fromkeys(chain.from_iterable(pieces)))
-        ids = dict(zip(wanted, self.encode_words(wanted)))
-        for w, own in zip(raw, pieces):
-            self.known[w] = tuple(chain.from_iterable([ids[p] for p in own]))
-
-    def parts(self, text: str) -> list[str]:
-        """Words between white space; a special token is a part of its own."""
-        if "<|" in text and self.special_pattern.search(text):
-            return [p for x in self.special_pattern.split(text) for p in ([x] if x in self.special else self.parts(x))]
-        return [w for w in WHITE.split(text) if w] if SPLITS_MORE.search(text) else text.split()
+        return np.concatenate(tokens)[order], np.searchsorted(owner[order], np.arange(count + 1))
+
+    def _odd(self, raw: str) -> bool:
+        """Whether a word needs the library's Unicode tables, or holds a special token."""
+        return max(raw) > LATIN_END or not raw.isprintable() or ("<|" in raw and bool(self.special_pattern.search(raw)))
+
+    def _learn_plain(self, raw: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each word's begin) of Latin words: lower-cased, composed and cut into pre-tokens all at once."""
+        lowered = unicodedata.normalize("NFC", "\n".join(raw)).lower()
+        index: dict[str, int] = {"\n": 0}
+        codes = np.array([index.setdefault(t, len(index)) for t in self.line_pattern.findall(lowered)], np.int64)
+        pieces = list(index)[1:]
+        content = np.frombuffer("\0".join(pieces).encode() + b"\0", np.uint8) if pieces else np.zeros(0, np.uint8)
+        symbols = np.where(content == 0, END, content.astype(np.int64))
+        ids, begins = self.encode_symbols(symbols, np.concatenate([[0], np.flatnonzero(content == 0) + 1]))
+        owner = np.cumsum(codes == 0)[codes > 0]
+        out, lengths = gather(ids, begins, codes[codes > 0] - 1)
+        sizes = np.bincount(owner, lengths, minlength=len(raw)).astype(np.int64)
+        return out, np.concatenate([[0], np.cumsum(sizes)])
+
+    def _learn_odd(self, raw: str) -> np.ndarray:
+        out = []
+        for part in self.special_pattern.split(raw):
+            if part in self.special:
+                out.append(np.array([self.special[part]]))
+            elif part:
+                words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+                symbols = [np.append(self.symbol[[ord(c) for c in w]], END) for w, _ in words]
+                out.append(self.encode_symbols(np.concatenate([np.zeros(0, np.int64), *symbols]),
+                                               np.cumsum([0, *map(len, symbols)]))[0])
+        return np.concatenate([np.zeros(0, np.int64), *out])
+
+    def learn(self, keys: np.ndarray, raw: list[str]) -> None:
+        """Encode words not met before and remember them by their hash."""
+        odd = np.fromiter(map(self._odd, raw), bool, len(raw))
+        plain = np.flatnonzero(~odd)
+        ids, begins = self._learn_plain([raw[i] for i in plain]) if len(plain) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        rest = [self._learn_odd(raw[i]) for i in np.flatnonzero(odd)]
+        order = np.concatenate([plain, np.flatnonzero(odd)])
+        begins = np.concatenate([begins, begins[-1] + np.cumsum([len(r) for r in rest])]) if rest else begins
+        slots = len(self.begins) - 1 + np.argsort(order)
+        self.begins = np.concatenate([self.begins, self.begins[-1] + begins[1:]]).astype(np.int64)
+        self.ids_of = np.concatenate([self.ids_of, ids.astype(np.int32), *[r.astype(np.int32) for r in rest]])
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.slots = np.insert(self.keys, place, keys), np.insert(self.slots, place, slots)
+
+    def forget(self) -> None:
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.begins, self.ids_of = np.zeros(1, np.int64), np.zeros(0, np.int32)
+
+    def encode_array(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, where each text's begin) for runs of about CHUNK_BYTES of texts; new words of a run are learned together."""
+        for part in text_runs(texts, CHUNK_BYTES):
+            found = hash_spans(part, _SPACE, fold=False)
+            distinct, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
+            if len(self.keys) > KEPT_WORDS:
+                self.forget()
+            place = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
+            new = self.keys[place] != distinct if len(self.keys) else np.ones(len(distinct), bool)
+            if new.any():
+                content = found.content.tobytes()
+                at = first[new]
+                raw = [content[a:b].decode() for a, b in zip(found.first[at].tolist(), (found.first + found.length)[at].tolist())]
+                self.learn(distinct[new], raw)
+                place = np.searchsorted(self.keys, distinct)
+            out, lengths = gather(self.ids_of, self.begins, self.slots[place][inverse])
+            yield out, np.concatenate([[0], np.cumsum(lengths)])[found.bounds]
 
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
-        """Ids of each text. Words not met before are encoded together for about a megabyte of texts."""
-        texts = iter(texts)
-        more = True
-        while more:
-            parts, size, more = [], 0, False
-            for text in texts:
-                parts.append(self.parts(text or ""))
-                size += len(text or "")
-                if size > LEARN_CHARS:
-                    more = True
-                    break
-            words = set().union(*parts)
-            if len(self.known) > KEPT_WORDS:  # keep what more than one batch has used
-                often = self.used if len(self.used) <= KEPT_WORDS // 2 else ()
-                self.known = {w: self.known[w] for w in often} | self.fixed
-                self.used = set()
-            unknown = words.difference(self.known)
-            self.used |= words.difference(unknown)
-            if unknown:
-                self.learn(unknown)
-            for own in parts:
-                yield list(chain.from_iterable(map(self.known.__getitem__, own)))
+        for ids, begins in self.encode_array(pa.array(texts, pa.string())):
+            for a, b in zip(begins[:-1], begins[1:]):
+                yield ids[a:b].tolist()
 
     def encode(self, text: str | None) -> list[int]:
         return next(self.encode_batch([text]))
@@ -305,12 +332,11 @@ def encode(text: Column, path: str) -> Column:
     """Token ids of a text column, array<int>."""
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        offsets, parts = [0], []
-        for row in load(path).encode_batch(map(pa.StringScalar.as_py, texts)):
-            parts.append(np.array(row, np.int32))
-            offsets.append(offsets[-1] + len(row))
-        values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+        parts, begins = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for own, at in load(path).encode_array(texts):
+            parts.append(own)
+            begins.append(begins[-1][-1] + at[1:])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(parts)))
     return ids(text)
 
 

@@ -100,17 +100,20 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id",
             keys.clear(), lengths.clear(), parts.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK)], schema=_BLOCK)
 
-        tail = [] if end is None else [end]
+        tail = np.array([] if end is None else [end], np.int32)
         held = 0
         for batch in batches:
-            for k, row in zip(batch.column(0).to_pylist(), bpe.encode_batch(map(pa.StringScalar.as_py, batch.column(1)))):
-                keys.append(k)
-                parts.append(np.array(row + tail, np.uint32))
-                lengths.append(len(parts[-1]))
-                held += lengths[-1]
-                if held >= block_ids:
-                    held = 0
-                    yield closed()
+            names, i = batch.column(0).to_pylist(), 0
+            for ids, begins in bpe.encode_array(batch.column(1)):
+                for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
+                    keys.append(names[i])
+                    parts.append(np.concatenate([ids[a:b], tail]))
+                    lengths.append(len(parts[-1]))
+                    held += lengths[-1]
+                    i += 1
+                    if held >= block_ids:
+                        held = 0
+                        yield closed()
         if keys:
             yield closed()
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabulith.runtime import write_out
 
-from .words import SPACE, bound_batches, hash_words_with_ends, separator_table
+from .words import SPACE, bound_batches, hash_spans, separator_table, text_runs
 
 TRAIN_DOCS = 2400  # expected number of documents the network's weights are fitted on
 REPLICAS = 6
@@ -207,10 +207,11 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = separator_table(SPACE)
         for batch in batches:
-            words, _, ends = hash_words_with_ends(batch.column(0), space)
-            if len(words):
-                distinct, at, n = np.unique(words, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(suffix_class(ends[at]).astype(np.int32)),
+            found = hash_spans(batch.column(0), space)
+            if len(found.hashes):
+                distinct, at, n = np.unique(found.hashes, return_index=True, return_counts=True)
+                classes = suffix_class(found.ends()[at]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(classes),
                                                   pa.array(n)], ["h", "cls", "c"])
     bound_batches(docs.sparkSession)
     return docs.select(text).mapInArrow(counts, "h bigint, cls int, c bigint").groupBy("h", "cls").agg(F.sum("c").alias("c"))
@@ -246,10 +247,10 @@ def _vocabulary(counted: DataFrame, training_docs: int) -> Words:
 
 def _sequences(words: Words, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(classes with the end, counts, hashes) of each text's words."""
-    hashes, bounds, ends = hash_words_with_ends(texts, separator_table(SPACE))
-    classes, counts = words.look_up(hashes, ends)
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        yield np.append(classes[a:b], END), counts[a:b], hashes[a:b]
+    found = hash_spans(texts, separator_table(SPACE))
+    classes, counts = words.look_up(found.hashes, found.ends())
+    for a, b in zip(found.bounds[:-1], found.bounds[1:]):
+        yield np.append(classes[a:b], END), counts[a:b], found.hashes[a:b]
 
 
 def fit_network(sample: DataFrame, text: str, words, replicas: int = REPLICAS, rounds: int = TRAIN_ROUNDS) -> Net:
@@ -287,9 +288,11 @@ def _score_rows(docs: DataFrame, key: str, text: str, words, net) -> DataFrame:
         within = np.log10(np.maximum(known.class_total + known.unseen, 1))
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for low, high in _cuts(batch.column(1)):
-                part = batch.slice(low, high - low)
-                found = list(_sequences(known, part.column(1)))
+            done = 0
+            for texts in text_runs(batch.column(1), SCORE_BYTES):
+                part = batch.slice(done, len(texts))
+                done += len(texts)
+                found = list(_sequences(known, texts))
                 classes = log_likelihood(network, [f[0] for f in found]) / np.log(10)
                 out = {c: [] for c in ("n_tokens", "n_known", "base", "score", "rare")}
                 for (cls, count, hashes), whole in zip(found, classes.tolist()):
@@ -315,18 +318,6 @@ def _score_rows(docs: DataFrame, key: str, text: str, words, net) -> DataFrame:
     return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text)).mapInArrow(rows, _SCORED)
 
 
-def _cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about SCORE_BYTES of text."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += 0 if t.as_buffer() is None else t.as_buffer().size
-        if size >= SCORE_BYTES:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text",
           train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of each row of ``docs``: log10 probabilities of whole

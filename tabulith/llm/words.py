@@ -7,6 +7,7 @@ byte values times powers gives every word a 64-bit hash without making a Python
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -79,19 +80,38 @@ def _blocks(content: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, i
         start = end
 
 
+@dataclass
+class Hashed:
+    """The words of a column of texts, in order."""
+    hashes: np.ndarray
+    bounds: np.ndarray  # where each text's words begin
+    first: np.ndarray  # each word's place in the content
+    length: np.ndarray
+    content: np.ndarray
+
+    def ends(self) -> np.ndarray:
+        """Last two bytes of each word, the only one twice, with A-Z in lower case."""
+        last = self.first + self.length - 1
+        before = _LOWER[self.content[np.maximum(last - 1, self.first)]]
+        return before.astype(np.uint16) << 8 | _LOWER[self.content[last]]
+
+
 def hash_words(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes of all texts in order, offsets of each text's words)."""
-    return hash_words_with_ends(texts, separator)[:2]
+    """(word hashes of all texts in order, offsets of each text's words), A-Z in lower case."""
+    found = hash_spans(texts, separator)
+    return found.hashes, found.bounds
 
 
-def hash_words_with_ends(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, offsets of each text's words, last two bytes of each word)."""
+def hash_spans(texts: pa.Array, separator: np.ndarray, fold: bool = True) -> Hashed:
+    """Hashes and places of all words; ``fold`` lower-cases A-Z first."""
     content, bounds = text_buffers(texts)
     starts = np.zeros(len(content) + 1, bool)
     starts[bounds] = True  # a text's first byte begins a word even after a text without separator
-    hashes, where, tails = [], [], []
+    hashes, where, lengths = [], [], []
     for begin, end in _text_blocks(content, bounds, separator):
-        part = _LOWER[content[begin:end]]
+        part = content[begin:end]
+        if fold:
+            part = _LOWER[part]
         outside = separator[part]
         fresh = starts[begin:end].copy()
         fresh[0] = True
@@ -109,11 +129,23 @@ def hash_words_with_ends(texts: pa.Array, separator: np.ndarray) -> tuple[np.nda
         raw = (sums[last] - sums[first] + weighted[first]) * down[first]
         hashes.append(mix(raw ^ (last - first).astype(np.uint64)))
         where.append(first + begin)
-        tails.append(part[np.maximum(last - 1, first)].astype(np.uint16) << 8 | part[last])
+        lengths.append(last - first + 1)
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), np.zeros(0, np.uint16)
-    return (np.concatenate(hashes), np.searchsorted(np.concatenate(where), bounds).astype(np.int64),
-            np.concatenate(tails))
+        none = np.zeros(0, np.int64)
+        return Hashed(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), none, none, content)
+    first = np.concatenate(where)
+    return Hashed(np.concatenate(hashes), np.searchsorted(first, bounds).astype(np.int64), first, np.concatenate(lengths),
+                  content)
+
+
+def text_runs(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Slices of about ``size`` bytes of text, in order."""
+    _, bounds = text_buffers(texts)
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, "right")) - 1)
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def _text_blocks(content: np.ndarray, bounds: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, int]]:
