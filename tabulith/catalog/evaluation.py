@@ -52,7 +52,7 @@ def classification_metrics(spark, d):
 @query("roc_auc", f"{T_SCORED} SELECT round({AUC}, 6) AS roc_auc")
 def roc_auc(spark, d):
     """The bucketed path, forced."""
-    return rounded(metrics.roc_auc(scored(spark, d), "y", "score", small_rows=0, buckets=16))
+    return rounded(metrics.roc_auc(scored(spark, d), "y", "score", buckets=16))
 
 
 POINTS = """, g AS (SELECT score AS threshold, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg FROM s GROUP BY 1),
@@ -292,7 +292,7 @@ def box_stats(spark, d):
 @query("box_stats_bucketed", BOX)
 def box_stats_bucketed(spark, d):
     """Exact quartiles by order buckets, the way big tables get them."""
-    return rounded(charts.box_stats(table(spark, d, "events"), "value", "event_type", small_rows=0, buckets=64), 4)
+    return rounded(charts.box_stats(table(spark, d, "events"), "value", "event_type", buckets=64), 4)
 
 
 @query("pie_share", """SELECT o_orderpriority AS class, count(*) AS "count", round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM orders GROUP BY 1""")
@@ -325,4 +325,4 @@ def split_bars(spark, d):
  count(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1)) + count(*) FILTER (WHERE {c} > q3 + 1.5 * (q3 - q1)) AS outliers
  FROM t, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM t) GROUP BY q1, q3""" for c in ("quantity", "discount", "tax")))
 def quantiles_bucketed(spark, d):
-    return rounded(statistics.iqr_bounds(items(spark, d), ["quantity", "discount", "tax"], small_rows=0, buckets=16), 4)
+    return rounded(statistics.iqr_bounds(items(spark, d), ["quantity", "discount", "tax"], buckets=16), 4)

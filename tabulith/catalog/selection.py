@@ -44,7 +44,7 @@ def running_sum(spark, d):
 def running_sum_events(spark, d):
     """The bucketed path, forced: a global running sum over every row."""
     rows = table(spark, d, "events").select("event_id", "value")
-    return rounded(windows.running_sum(rows, "event_id", "value", small_rows=0, buckets=64).drop("value"), 2)
+    return rounded(windows.running_sum(rows, "event_id", "value", buckets=64).drop("value"), 2)
 
 
 @query("first_at_least", f"""SELECT min(period) AS period FROM (SELECT period, sum(orders) OVER (ORDER BY period) AS c,
@@ -71,7 +71,7 @@ def row_index(spark, d):
     """Few distinct values of the order column, so most of the work is ranking copies; the bucketed path, forced."""
     rows = table(spark, d, "lineitem").withColumn(
         "k", F.col("l_orderkey") * 100000000 + F.col("l_partkey") * 10000 + F.col("l_suppkey") * 10 + F.col("l_linenumber"))
-    ranked = windows.row_index(rows.select("l_orderkey", "l_partkey", "l_quantity", "k"), "l_quantity", "k", small_rows=0, buckets=32)
+    ranked = windows.row_index(rows.select("l_orderkey", "l_partkey", "l_quantity", "k"), "l_quantity", "k", buckets=32)
     return ranked.drop("k")
 
 

@@ -31,9 +31,9 @@ MESSY_ORDERS = [
     "CASE WHEN o_totalprice < 30000 THEN cast('Infinity' AS DOUBLE) ELSE floor(o_totalprice / 50000) END AS step",
     "cast(NULL AS VARCHAR(10)) AS empty_text",
 ]
-# a fixed score from the text length, for the metrics
-SCORED = """SELECT l.doc_id AS id, l.quality AS y, least(d.n_chars, 4000) / 4000.0 AS score,
- CASE WHEN least(d.n_chars, 4000) / 4000.0 > 0.5 THEN 1 ELSE 0 END AS guess,
+# a fixed score that grows with the text length, for the metrics
+SCORED = """SELECT l.doc_id AS id, l.quality AS y, d.n_chars::DOUBLE / (d.n_chars + 2000) AS score,
+ CASE WHEN d.n_chars > 2000 THEN 1 ELSE 0 END AS guess,
  d.n_chars, d.lang, d.source
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
 
@@ -57,9 +57,9 @@ def messy_orders(spark: SparkSession, d: str) -> DataFrame:
 def scored(spark: SparkSession, d: str) -> DataFrame:
     labels, docs = table(spark, d, "labels"), table(spark, d, "documents")
     joined = labels.join(docs.select("doc_id", "n_chars", "lang", "source"), "doc_id")
-    score = "cast(least(n_chars, 4000) AS DOUBLE) / 4000.0D"
+    score = "cast(n_chars AS DOUBLE) / (n_chars + 2000)"
     return joined.selectExpr("doc_id AS id", "quality AS y", f"{score} AS score",
-                             f"CASE WHEN {score} > 0.5D THEN 1 ELSE 0 END AS guess", "n_chars", "lang", "source")
+                             "CASE WHEN n_chars > 2000 THEN 1 ELSE 0 END AS guess", "n_chars", "lang", "source")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

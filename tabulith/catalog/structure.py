@@ -66,7 +66,7 @@ def fit_dbscan(spark, d):
 
 @query("fit_hierarchical")
 def fit_hierarchical(spark, d):
-    labels, _ = clustering.hierarchical(scaled_items(spark, d), RATES, micro=200)
+    labels, _ = clustering.hierarchical(scaled_items(spark, d), RATES)
     return clustering.cluster_distribution(labels, "cluster")
 
 

@@ -188,7 +188,8 @@ class TreeEnsemble:
         @F.pandas_udf("double")
         def summed(x: pd.Series) -> pd.Series:
             matrix = np.array(x.tolist(), dtype=float).reshape(len(x), -1)
-            matrix = np.where(np.isnan(matrix), np.inf, matrix)
+            # as in the bins: a gap lies beyond every number, +inf just below a threshold of inf
+            matrix = np.where(np.isnan(matrix), np.inf, np.minimum(matrix, np.finfo(float).max))
             total = np.full(len(matrix), base)
             rows = np.arange(len(matrix))
             for weight, feature, threshold, left, right, value, deep in arrays:

@@ -139,16 +139,15 @@ def clean_data(df: DataFrame, target: str | None = None, infinite_first: bool =
             if not isinstance(data.schema[target].dataType, T.IntegerType):
                 data = recode_two_values(data, target)
         data = write_out(remove_duplicates(data), "distinct")
-        return fill_categorical(fill_numeric(data, skip=skip, rows=data.count()), skip=skip)
+        return fill_categorical(fill_numeric(data, skip=skip), skip=skip)
     data = remove_duplicates(data)
     if target:
         data = clean_binary_target(data, target)
     data = write_out(data, "distinct")
-    rows = data.count()
-    if not rows:
+    if data.isEmpty():
         raise ValueError("no rows remain after cleaning")
-    data = fill_categorical(fill_numeric(data, skip=skip, rows=rows), skip=skip)
-    return fill_numeric(replace_infinite(data), skip=skip, rows=rows)
+    data = fill_categorical(fill_numeric(data, skip=skip), skip=skip)
+    return fill_numeric(replace_infinite(data), skip=skip)
 
 
 def missing_cells(df: DataFrame) -> Column:

@@ -17,7 +17,6 @@ from ..runtime import cut_lineage, one_row, reused, small_frame
 from .joins import (_box_gap, _box_reach, cell_table, distance_join, near_cells, neighbor_counts)
 
 DIRECT_PAIRS = 20_000_000  # up to here point pairs of undecided cells are compared at once
-MAX_MICRO = 1000  # micro-clusters whose centers are merged on the driver
 
 
 # ---- k-means ----------------------------------------------------------------
@@ -212,7 +211,7 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float = 0.8, m
 # ---- hierarchical -----------------------------------------------------------
 
 def _ward_merges(sizes: np.ndarray, means: np.ndarray) -> list[tuple[int, int, int, float, int]]:
-    """Merge steps (step, left, right, height, size) of at most ``MAX_MICRO`` weighted centers."""
+    """Merge steps (step, left, right, height, size) of weighted centers."""
     n = len(sizes)
     ids, size, mean = list(range(n)), sizes.astype(float).copy(), means.astype(float).copy()
     square = ((mean[:, None, :] - mean[None, :, :]) ** 2).sum(2)
@@ -236,11 +235,10 @@ def _ward_merges(sizes: np.ndarray, means: np.ndarray) -> list[tuple[int, int, i
 
 
 def _micro_centers(df: DataFrame, features: Sequence[str], micro: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes and means of at most ``micro`` groups of rows: the distinct rows if so few, else k-means groups."""
+    """Sizes and means of ``micro`` k-means groups of the rows, or of the distinct rows if ``micro`` is 0."""
     xs = [as_column(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]
     distinct = df.select(*xs).groupBy(*[f"x{i}" for i, _ in enumerate(features)]).agg(F.count("*").alias("n"))
-    rows = distinct.limit(micro + 1).collect()
-    if len(rows) > micro:
+    if micro:
         model = KMeans(featuresCol="_v", predictionCol="cluster", k=micro, initMode="random", maxIter=10, seed=seed).fit(
             _vectors(df, features))
         centers = [[float(v) for v in c] for c in model.clusterCenters()]
@@ -248,21 +246,22 @@ def _micro_centers(df: DataFrame, features: Sequence[str], micro: int, seed: int
         count = {r["cluster"]: r["n"] for r in stats.collect()}
         kept = sorted(count)
         return np.array([count[i] for i in kept]), np.array([centers[i] for i in kept])
-    rows = sorted(rows, key=lambda r: tuple(r)[:-1])
+    rows = sorted(distinct.collect(), key=lambda r: tuple(r)[:-1])
     return np.array([r["n"] for r in rows]), np.array([list(r)[:-1] for r in rows])
 
 
-def hierarchical(df: DataFrame, features: Sequence[str], k: int = 3, micro: int = MAX_MICRO, seed: int = 42,
-                 out: str = "cluster") -> tuple[DataFrame, DataFrame]:
+def hierarchical(df: DataFrame, features: Sequence[str], k: int = 3, mode: str = "condensed", micro: int = 1000,
+                 seed: int = 42, out: str = "cluster") -> tuple[DataFrame, DataFrame]:
     """Ward clustering of all rows: (rows with ``cluster``, merge table).
 
-    Exact while there are at most ``micro`` distinct rows. Beyond, k-means first condenses the
-    rows to ``micro`` weighted centers and Ward merges those, which is approximate. Clusters
-    are numbered by size, largest first.
+    ``mode="condensed"``: k-means first condenses the rows, however many there are, to ``micro`` weighted
+    centers and Ward merges those, which is approximate. ``mode="exact"``: Ward merges the distinct rows, which are
+    collected to the driver, so it is for tables that the caller knows to be small. Clusters are numbered by size,
+    largest first.
     """
-    if micro > MAX_MICRO:
-        raise ValueError(f"at most {MAX_MICRO} centers are merged on the driver")
-    sizes, means = _micro_centers(df, features, micro, seed)
+    if mode not in ("exact", "condensed"):
+        raise ValueError(f"unknown mode {mode}")
+    sizes, means = _micro_centers(df, features, micro if mode == "condensed" else 0, seed)
     steps = _ward_merges(sizes, means)
     n = len(sizes)
     group = {i: [i] for i in range(n)}
@@ -281,7 +280,7 @@ def hierarchical(df: DataFrame, features: Sequence[str], k: int = 3, micro: int
 
 
 def distance_join_many(df: DataFrame, features: Sequence[str], centers: np.ndarray, out: str) -> DataFrame:
-    """Number of the nearest of up to ``MAX_MICRO`` centers, by the model's own vectorised search."""
+    """Number of the nearest of a few centers, by the model's own vectorised search."""
     norm = (centers**2).sum(1)
 
     @F.pandas_udf("int")

@@ -15,7 +15,6 @@ from ..functions.scalars import as_column, euclidean
 from ..runtime import cut_lineage
 from .ordering import hash_key
 
-MAX_LITERAL_MAP = 10_000
 
 
 def attach_by_id(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:

@@ -15,10 +15,10 @@ from ..runtime import small_frame
 
 
 def _linear(features: str, label: str, reg: float, mix: float, max_iter: int) -> LinearRegression:
-    # penalties below are stated on the raw coefficients, hence standardization off; the normal
-    # equations need one pass over the rows, and all iterations then run on a d x d matrix
+    # penalties below are stated on the raw coefficients, hence standardization off; "auto" solves the normal
+    # equations in one pass over the rows up to the width Spark allows, and descends beyond, to the same optimum
     return LinearRegression(featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=mix,
-                            standardization=False, solver="normal", maxIter=max_iter, tol=1e-12)
+                            standardization=False, solver="auto", maxIter=max_iter, tol=1e-12)
 
 
 def _rows_and_spread(train: DataFrame, label: str) -> tuple[int, float]:

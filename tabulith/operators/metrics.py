@@ -18,9 +18,10 @@ from .ordering import running_totals, with_next
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """mae, mse, rmse, r2 in one pass."""
+    """mae, mse, rmse, r2 in one pass, over the rows that have both label and prediction."""
     y, p = as_column(label).cast("double"), as_column(prediction).cast("double")
     error = y - p
+    y = F.when(error.isNotNull(), y)
     stats = df.agg(F.avg(F.abs(error)).alias("mae"), F.avg(error * error).alias("mse"), F.var_pop(y).alias("_var"))
     r2 = F.when(F.col("_var") > 0, 1 - F.col("mse") / F.col("_var")).when(F.col("mse") == 0, 1.0).otherwise(0.0)
     return stats.select("mae", "mse", F.sqrt("mse").alias("rmse"), r2.alias("r2"))

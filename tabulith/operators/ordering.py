@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import as_column
 from ..runtime import one_row
 
-SMALL_ROWS = 1_000_000   # up to here one task may order the rows
-SMALL_CELLS = 2_000_000  # rows times columns up to which one task may hold the values of all columns
-
 
 def hash_key(ids: Sequence[str], seed: int = 42) -> Column:
     """Pseudo-random but reproducible sort key of a row: md5 of seed and id columns."""
@@ -30,13 +27,6 @@ def hash_uniform(ids: Sequence[str], seed: int = 42) -> Column:
     return F.conv(F.substring(hash_key(ids, seed), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def hash_rank(df: DataFrame, ids: Sequence[str], seed: int = 42, by: Sequence[str] = (),
               out: str = "rank", total: str | None = None, digits: int = 4) -> DataFrame:
     """1-based rank of each row in hash order, over the table or within each ``by`` group.
@@ -78,11 +68,10 @@ def _edges(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str, list[f
 
 
 def running_totals(df: DataFrame, order: str, measures: Mapping[str, Column], by: Sequence[str] = (),
-                   descending: bool = False, ties: Sequence[str] = (), buckets: int = 1024,
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
+                   descending: bool = False, ties: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
     """Add inclusive running sums of ``measures`` along numeric column ``order``.
 
-    Runs a count, and beyond ``small_rows`` one quantile sketch that fixes the buckets.
+    Runs one quantile sketch that fixes the buckets.
     Rows equal in ``order`` share a bucket, so collapse them first (or name ``ties``).
     """
     def direction(c):
@@ -90,10 +79,6 @@ def running_totals(df: DataFrame, order: str, measures: Mapping[str, Column], by
 
     sort = [direction(order), *[F.col(t) for t in ties]]
     frame = df.withColumns({f"_m_{n}": e for n, e in measures.items()})
-    if df.count() <= small_rows:
-        window = Window.partitionBy(*by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
-        frame = frame.withColumns({n: F.sum(f"_m_{n}").over(window) for n in measures})
-        return frame.drop(*[f"_m_{n}" for n in measures])
     splits = _edges(frame, [order], buckets)[order]
     frame = frame.withColumn("_order", F.col(order).cast("double"))
     frame = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep").transform(frame)
@@ -115,29 +100,21 @@ def running_totals(df: DataFrame, order: str, measures: Mapping[str, Column], by
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              exact: bool = True, buckets: int = 1024, small_rows: int | None = None, rows: int | None = None) -> DataFrame:
+              exact: bool = True, buckets: int = 1024) -> DataFrame:
     """Quantiles with linear interpolation: one row (by..., column, q) per column, q an array.
 
-    Exact at any size. Up to ``small_rows`` rows (by default 2 million cells) the built-in ``percentile`` is used (its
-    state is one entry per distinct value, so it is bounded by the row count checked here);
-    beyond, rows are counted per order bucket, and only those of the buckets that hold a
-    wanted rank are put in order. Runs a count unless ``rows``, an upper bound of the row count, is given,
-    and beyond ``small_rows`` one sketch. ``exact=False`` uses the mergeable sketch alone.
+    Exact at any size: one sketch fixes order buckets, rows are counted per bucket, and only those of the buckets
+    that hold a wanted rank are put in order. ``exact=False`` uses the mergeable sketch alone.
     """
     def value(c):
         number = as_column(c).cast("double")
         return F.when(~F.isnan(number), number)
 
-    if small_rows is None:
-        small_rows = SMALL_CELLS // max(1, len(cols))
     base = df.select(*by, *[value(c).alias(f"_v{i}") for i, c in enumerate(cols)])
     positions = list(enumerate(cols))
-    if not exact or (base.count() if rows is None else rows) <= small_rows:
-        def pick(i):
-            if exact:
-                return F.percentile(f"_v{i}", F.array(*[F.lit(float(p)) for p in probs]))
-            return F.percentile_approx(f"_v{i}", [float(p) for p in probs], 10_000)
-        stats = base.groupBy(*by).agg(*[pick(i).alias(f"_q{i}") for i, _ in positions])
+    if not exact:
+        stats = base.groupBy(*by).agg(*[F.percentile_approx(f"_v{i}", [float(p) for p in probs], 10_000).alias(f"_q{i}")
+                                        for i, _ in positions])
         found = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q")) for i, c in positions])
         return stats.select(*by, F.inline(found))
 
@@ -188,7 +165,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
         F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_frac"))
     per_prob = found.groupBy(*keys).agg(
         F.array(*[F.max(F.when(F.col("_i") == i, mixed)) for i in range(len(probs))]).alias("q"))
-    return per_prob.select(*by, "column", "q")
+    # a column without any value keeps its row
+    names = F.explode(F.array(*[F.lit(c) for c in cols])).alias("column")
+    every = base.select(*by).distinct().select(*by, names) if by else base.sparkSession.range(1).select(names)
+    same = F.lit(True)
+    for k in keys:
+        same = same & every[k].eqNullSafe(per_prob[k])
+    return every.join(per_prob, same, "left").select(*[every[k] for k in keys], "q")
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = (),
@@ -199,28 +182,21 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float
 
 
 def row_ranks(df: DataFrame, order: str, tie: str, out: str = "rank", total: str | None = None,
-              descending: bool = False, buckets: int = 1024, small_rows: int = SMALL_ROWS) -> DataFrame:
+              descending: bool = False, buckets: int = 1024) -> DataFrame:
     """1-based row number by numeric ``order``, then by numeric ``tie`` ascending.
 
-    On big tables the distinct values of ``order`` get their starting rank from running
+    The distinct values of ``order`` get their starting rank from running
     totals, and the copies of one value are split by buckets of ``tie``, so one value that
     holds a third of the rows is still ranked by many tasks. Runs the jobs of ``running_totals``.
     """
-    direction = F.col(order).desc() if descending else F.col(order).asc()
     extra = [out] + ([total] if total else [])
     kept = [as_column(c) for c in df.columns if c not in extra]
-    if df.count() <= small_rows:
-        ranked = df.withColumn(out, F.row_number().over(Window.orderBy(direction, F.col(tie))).cast("long"))
-        if total:
-            ranked = ranked.withColumn(total, F.count("*").over(Window.partitionBy()))
-        return ranked.select(*kept, *extra)
     splits = _edges(df, [tie], buckets)[tie]
     frame = df.withColumn("_tie", F.col(tie).cast("double"))
     frame = Bucketizer(splits=splits, inputCol="_tie", outputCol="_tb", handleInvalid="keep").transform(frame)
     sizes = frame.groupBy(F.col(order).alias("_value"), "_tb").agg(F.count("*").alias("_n"))
     values = sizes.groupBy("_value").agg(F.sum("_n").alias("_rows"))
-    starts = running_totals(values, "_value", {"_end": F.col("_rows")}, descending=descending,
-                            buckets=buckets, small_rows=small_rows)
+    starts = running_totals(values, "_value", {"_end": F.col("_rows")}, descending=descending, buckets=buckets)
     starts = starts.select(F.col("_value").alias("_sv"), (F.col("_end") - F.col("_rows")).alias("_start"))
     earlier = Window.partitionBy("_value").orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     placed = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

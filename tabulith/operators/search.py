@@ -30,6 +30,8 @@ Fit = Callable[[DataFrame, Mapping[str, float]], object]
 def forest_fit(label: str, features: str = "features", seed: int = 42) -> Fit:
     """Fit function for a random forest with parameters trees, depth and min_leaf."""
     def fit(train: DataFrame, params: Mapping[str, float]):
+        if unknown := set(params) - {"trees", "depth", "min_leaf"}:
+            raise ValueError(f"unknown parameters {sorted(unknown)}; the forest takes trees, depth and min_leaf")
         return random_forest(train, label, features, trees=int(params.get("trees", 50)), depth=int(params.get("depth", 5)),
                              min_leaf=int(params.get("min_leaf", 1)), seed=seed)
     return fit
@@ -109,8 +111,8 @@ def platt_calibrate(df: DataFrame, ids: Sequence[str], label: str, features: str
                     k: int = 5, seed: int = 42, fit: Fit | None = None) -> DataFrame:
     """Test rows with ``raw`` (one model on all training rows) and ``calibrated`` probability.
 
-    The latter is the mean over k folds of a model fitted without the fold, passed through
-    the sigmoid fitted on that fold.
+    The latter is the mean over k folds (each with its share of every class) of a model fitted without
+    the fold, passed through the sigmoid fitted on that fold.
     """
     fit = fit or forest_fit(label, features, seed)
     params = {"trees": 50, "depth": 5}
@@ -122,7 +124,7 @@ def platt_calibrate(df: DataFrame, ids: Sequence[str], label: str, features: str
         scored = predict(model, rows).withColumnRenamed("score", name)
         return scored.drop("prediction", "probability", "rawPrediction")
 
-    with reused(kfold(train.select(*kept), ids, k, seed)) as folded:
+    with reused(kfold(train.select(*kept), ids, k, seed, by=[label])) as folded:
         scored = score(fit(folded, params), test.select(*kept), "raw")
         total = F.lit(0.0)
         for fold in range(k):

@@ -49,9 +49,10 @@ def stratified_split(df: DataFrame, label: str, ids: Sequence[str], test_size: f
             .select(*[as_column(c) for c in df.columns if c != out], out))
 
 
-def kfold(df: DataFrame, ids: Sequence[str], k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Add a fold number 0..k-1; fold sizes differ by at most one row."""
-    ranked = hash_rank(df, ids, seed, out="_rank")
+def kfold(df: DataFrame, ids: Sequence[str], k: int = 5, seed: int = 42, out: str = "fold",
+          by: Sequence[str] = ()) -> DataFrame:
+    """Add a fold number 0..k-1; fold sizes differ by at most one row, within each ``by`` group if given."""
+    ranked = hash_rank(df, ids, seed, by=by, out="_rank")
     return ranked.withColumn(out, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 
 

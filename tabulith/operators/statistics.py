@@ -117,15 +117,9 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _per_column(stats, columns, ["mean"]).orderBy(F.desc("mean"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, preferred: Sequence[str] = (),
-                       limit: int = 25) -> DataFrame:
-    """Pearson correlation of every pair over rows where both are present: (a, b, r).
-
-    Beyond ``limit`` columns the ``preferred`` ones that exist are used, if any were named.
-    """
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Pearson correlation of every pair over rows where both are present: (a, b, r)."""
     chosen = list(columns or numeric_columns(df))
-    if len(chosen) > limit and preferred:
-        chosen = [c for c in preferred if c in chosen] or chosen
     pairs = list(combinations(range(len(chosen)), 2))
 
     def both(i, j):
@@ -212,7 +206,10 @@ def covariance_2x2(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def run_profile(df: DataFrame, target: str | None = None) -> dict[str, DataFrame]:
-    """Every profile table at once. A table that cannot be built is left out, not fatal."""
+    """Every profile table at once, each computed and kept in memory; a part that fails is not fatal.
+
+    ``failures`` has (part, error) of those that failed while planned or run.
+    """
     texts = categorical_columns(df)
     makers = {
         "dataset_info": lambda: dataset_info(df),
@@ -223,10 +220,13 @@ def run_profile(df: DataFrame, target: str | None = None) -> dict[str, DataFrame
         "class_distribution": lambda: class_distribution(df, target),
         "correlation_matrix": lambda: correlation_matrix(df),
     }
-    tables = {}
+    tables, failures = {}, []
     for name, make in makers.items():
         try:
-            tables[name] = make()
-        except Exception:  # noqa: BLE001 - a profile must not fail because one part does
-            continue
+            made = make().persist()
+            made.count()
+            tables[name] = made
+        except Exception as error:  # noqa: BLE001 - a profile must not fail because one part does
+            failures.append((name, type(error).__name__))
+    tables["failures"] = small_frame(df.sparkSession, failures, "part string, error string")
     return tables

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column
-from ..runtime import one_row, small_frame
+from ..runtime import ensure_checkpoints, one_row, small_frame
 from .ordering import running_totals, with_next
 
 
@@ -32,6 +32,7 @@ def random_forest(train: DataFrame, label: str, features: str = "features", tree
 def gradient_boosting(train: DataFrame, label: str, features: str = "features", trees: int = 150, rate: float = 0.05,
                       depth: int = 3, min_leaf: int = 5, seed: int = 42, checkpoint_every: int = 10):
     """First-order boosting (leaf values are mean gradients; ``newton_boost`` takes Newton steps)."""
+    ensure_checkpoints(train.sparkSession)  # else checkpoint_every has no effect
     return GBTClassifier(featuresCol=features, labelCol=label, maxIter=trees, stepSize=rate, maxDepth=depth,
                          minInstancesPerNode=min_leaf, seed=seed, checkpointInterval=checkpoint_every,
                          cacheNodeIds=True).fit(train)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -11,24 +10,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back (runs a job).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, below it one folder per application.
 
-    The folder comes from the session (``spark.checkpoint.dir``). Only a local
-    session without that setting gets a temporary folder of its own.
+    Only a local session may leave the setting out; its warehouse takes the place. What
+    an application stored there is removed when its session ends.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tabulith-checkpoint-")
-        context.setCheckpointDir(folder)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    folder = f"{base.rstrip('/')}/tabulith-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and read it back (runs a job)."""
+    ensure_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give the session a checkpoint folder if it has none yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def write_out(df: DataFrame, name: str) -> DataFrame:
     """Store ``df`` as Parquet in the shared folder and read it back (runs a job).
 
@@ -70,10 +82,5 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for written results, below the checkpoint folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tabulith-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder for written results, below the folder that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tabulith-tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+               .config("spark.driver.memory", "8g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

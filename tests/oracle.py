@@ -75,6 +75,7 @@ def main():
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
+             .config("spark.checkpoint.dir", os.environ.get("SHARED_DIR", "/tmp/tabulith-oracle"))
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)

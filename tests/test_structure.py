@@ -94,7 +94,7 @@ def test_components(spark):
 def test_ward(spark):
     x = np.round(np.random.default_rng(2).normal(size=(25, 2)), 3)
     df, names = frame(spark, x)
-    labels, steps = clustering.hierarchical(df, names, k=3)
+    labels, steps = clustering.hierarchical(df, names, k=3, mode="exact")
     groups = [[i] for i in range(25)]
     heights = []
     while len(groups) > 1:
