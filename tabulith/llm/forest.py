@@ -106,7 +106,7 @@ def _tree_rows(classes: DataFrame) -> DataFrame:
 
 
 def _meetings(trees: DataFrame, threshold: float) -> DataFrame:
-    """(src, dst): classes that meet in a region and whose sketches could belong to similar sets."""
+    """(src, dst): classes that meet in a region, connected by neighbours whose sketches could belong to similar sets."""
     same = (1 + threshold) / 2
     allowed = HASHES - HASHES * same + SLACK * np.sqrt(HASHES * same * (1 - same))
 
@@ -129,6 +129,10 @@ def _meetings(trees: DataFrame, threshold: float) -> DataFrame:
 
 
 def _near(cols: list[np.ndarray], allowed: float) -> Iterator[pa.RecordBatch]:
+    """Neighbours that pass the sketch connect members of a region; each meets the smallest it is connected with.
+
+    That keeps what neighbour pairs would connect, and most trees name the same few pairs of a dense family.
+    """
     region, rep = cols[0], cols[2]
     s1, s2 = cols[3].view(np.uint64), cols[4].view(np.uint64)
     n = len(region)
@@ -136,21 +140,35 @@ def _near(cols: list[np.ndarray], allowed: float) -> Iterator[pa.RecordBatch]:
         return
     fresh = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
     size = np.repeat(np.diff(np.append(fresh, n)), np.diff(np.append(fresh, n)))
-    for step in range(1, SMALL_REGION):
+    left, right = [], []
+    for step in range(1, min(SMALL_REGION, n)):
         i = np.flatnonzero(region[step:] == region[:-step])
         if step > NEIGHBOURS:
             i = i[size[i] <= SMALL_REGION]
-        if not len(i):
-            if step > NEIGHBOURS:
-                break
-            continue
-        j = i + step
-        apart = np.bitwise_count(s1[i] ^ s1[j]) + np.bitwise_count(s2[i] ^ s2[j])
-        good = (apart <= allowed) & (rep[i] != rep[j])
-        a, b = rep[i[good]], rep[j[good]]
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        if len(both):
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["src", "dst"])
+        apart = np.bitwise_count(s1[i] ^ s1[i + step]) + np.bitwise_count(s2[i] ^ s2[i + step])
+        left.append(i[apart <= allowed])
+        right.append(left[-1] + step)
+    root = _roots(n, np.concatenate(left), np.concatenate(right))
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, root, rep)
+    low = least[root]
+    both = np.unique(np.stack([low[low != rep], rep[low != rep]], 1), axis=0)
+    if len(both):
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["src", "dst"])
+
+
+def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One member of its connected set for each of n places, by hooking and halving paths."""
+    root = np.arange(n)
+    while True:
+        a, b = root[left], root[right]
+        open_ = a != b
+        if not open_.any():
+            return root
+        left, right = left[open_], right[open_]
+        np.minimum.at(root, np.maximum(a, b)[open_], np.minimum(a, b)[open_])
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def _slots(values: np.ndarray) -> np.ndarray:

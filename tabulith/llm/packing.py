@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -138,8 +138,7 @@ def read_ids(spark: SparkSession, path: str, of_block, schema: str, *columns: st
         for batch in batches:
             for start, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
                 yield of_block(Block(payload.as_py()), start)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # blocks are megabytes
-    bound_batches(spark)
+    bound_batches(spark)  # blocks are megabytes
     return with_start(spark.read.parquet(path)).select("start", "payload").mapInArrow(rows, schema)
 
 

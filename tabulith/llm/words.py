@@ -108,7 +108,7 @@ def hash_spans(texts: pa.Array, separator: np.ndarray, fold: bool = True) -> Has
     starts = np.zeros(len(content) + 1, bool)
     starts[bounds] = True  # a text's first byte begins a word even after a text without separator
     hashes, where, lengths = [], [], []
-    for begin, end in _text_blocks(content, bounds, separator):
+    for begin, end in _text_blocks(content, bounds, separator[_LOWER] if fold else separator):
         part = content[begin:end]
         if fold:
             part = _LOWER[part]
