@@ -26,4 +26,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from . import evaluation, modelling, profiling, selection, structure  # noqa: F401
+    from . import certificates, evaluation, modelling, profiling, selection, structure  # noqa: F401
