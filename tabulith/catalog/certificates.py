@@ -84,9 +84,14 @@ def kmeans_fixed_point(spark, d):
         means = {r["cluster"]: r for r in labels.groupBy("cluster").agg(
             F.count("*").alias("size"), *[F.avg(as_column(f)).alias(f) for f in RATES]).collect()}
         off = max(abs(means[c][f] - centers[c][i]) for c in means for i, f in enumerate(RATES))
-        again = clustering.lloyd_step(data, RATES, centers).collect()
-        total = sum(r["inertia"] for r in again)
-        rows.append((name, len(means), sum(r["size"] for r in means.values()), off < 0.02, abs(total - inertia) < 1e-6 * inertia))
+        own = F.lit(0.0)
+        for i, f in enumerate(RATES):
+            center = F.get(F.array(*[F.lit(c[i]) for c in centers]), F.col("cluster"))
+            own = own + (as_column(f) - center) ** 2
+        kept = labels.agg(F.sum(own).alias("s")).first()["s"]
+        least = sum(r["inertia"] for r in clustering.lloyd_step(data, RATES, centers).collect())
+        nearest = abs(kept - least) < 1e-9 * least and abs(least - inertia) < 0.01 * least
+        rows.append((name, len(means), sum(r["size"] for r in means.values()), off < 0.02, nearest))
     return small_frame(spark, rows, "init string, clusters int, rows long, fixed boolean, nearest boolean")
 
 

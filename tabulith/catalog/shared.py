@@ -32,7 +32,7 @@ MESSY_ORDERS = [
     "cast(NULL AS VARCHAR(10)) AS empty_text",
 ]
 # a fixed score that grows with the text length, for the metrics
-SCORED = """SELECT l.doc_id AS id, l.quality AS y, d.n_chars::DOUBLE / (d.n_chars + 2000) AS score,
+SCORED = """SELECT l.doc_id AS id, l.quality AS y, round(d.n_chars::DOUBLE / (d.n_chars + 2000), 6) AS score,
  CASE WHEN d.n_chars > 2000 THEN 1 ELSE 0 END AS guess,
  d.n_chars, d.lang, d.source
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
@@ -57,7 +57,7 @@ def messy_orders(spark: SparkSession, d: str) -> DataFrame:
 def scored(spark: SparkSession, d: str) -> DataFrame:
     labels, docs = table(spark, d, "labels"), table(spark, d, "documents")
     joined = labels.join(docs.select("doc_id", "n_chars", "lang", "source"), "doc_id")
-    score = "cast(n_chars AS DOUBLE) / (n_chars + 2000)"
+    score = "round(cast(n_chars AS DOUBLE) / (n_chars + 2000), 6)"
     return joined.selectExpr("doc_id AS id", "quality AS y", f"{score} AS score",
                              "CASE WHEN n_chars > 2000 THEN 1 ELSE 0 END AS guess", "n_chars", "lang", "source")
 
