@@ -26,7 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .words import SPACE, hash_spans, separator_table, text_runs
+from .words import SPACE, claim_memory, hash_spans, separator_table, text_runs
 
 KEPT_WORDS = 1_500_000  # encoded words a worker remembers by hash (some 60 bytes each); beyond, it begins again
 CHUNK_BYTES = 2 << 20  # bytes of text encoded together
@@ -293,6 +293,7 @@ class WordBpe:
 
     def encode_array(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, where each text's begin) for runs of about CHUNK_BYTES of texts; new words of a run are learned together."""
+        claim_memory(self)
         for part in text_runs(texts, CHUNK_BYTES):
             found = hash_spans(part, _SPACE, fold=False)
             distinct, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import bound_batches
+from .words import bound_batches, claim_memory
 
 TRAIN_DOCS = 4000  # expected number of labelled documents per class that the machine is fitted on
 LANDMARKS = 64
@@ -36,7 +36,7 @@ ACTIVE = 0.5  # kernel values below count as 0
 SHARED = 0.75  # a kernel value is 0 unless the word has this share of the landmark's distinct letters
 UNIT = 8  # longer words are compared in windows of so many letters, each overlapping half of the next
 ROUNDS = 4
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000  # words whose features a worker remembers; beyond, it begins again
 BATCH_CHARS = 500_000
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
@@ -153,7 +153,11 @@ class Machine:
                     rows.append(np.max(own, axis=0))
         return np.array(rows, np.float32).reshape(len(rows), len(self.landmarks))
 
+    def forget(self) -> None:
+        self.known = {}
+
     def features(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        claim_memory(self)
         texts, more = iter(texts), True
         while more:
             rows, size, more = [], 0, False
@@ -165,7 +169,7 @@ class Machine:
                     more = True
                     break
             if len(self.known) > KEPT_WORDS:
-                self.known = {}
+                self.forget()
             self.learn(set().union(*[w for w, _ in rows]).difference(self.known))
             for words, low in rows:
                 yield self.sentences(words, low)

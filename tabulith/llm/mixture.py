@@ -22,13 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import bound_batches
+from .words import bound_batches, claim_memory
 
 TRAIN_DOCS = 3000  # expected number of labelled documents learned from, per language
 BUCKETS = 1 << 17  # trigrams are hashed into so many cells per language
 SMOOTHING = 0.05
 ROUNDS = 12
-KEPT_WORDS = 400_000  # word likelihoods a worker remembers; beyond, it begins again
+KEPT_WORDS = 300_000  # word likelihoods a worker remembers; beyond, it begins again
 BATCH_CHARS = 500_000
 LETTERS = re.compile(r"[^\W\d_]+")
 OPEN, CLOSE = "\x01", "\x02"
@@ -150,6 +150,7 @@ def _answers(model: Model, texts: Iterator[str | None]) -> Iterator[dict]:
                           "languages": [{"lang": l, "share": s} for l, s in sorted(present, key=lambda x: -x[1])]}
         yield from out
 
+    claim_memory(model)
     rows, size = [], 0
     for text in texts:
         rows.append(Counter(LETTERS.findall(text.lower())) if text and model.languages else Counter())

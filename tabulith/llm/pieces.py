@@ -22,6 +22,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
+from .words import claim_memory
+
 KEPT_PRETOKENS = 500_000  # pre-tokens whose count a worker remembers; beyond, it begins again
 COUNT_CHARS = 1_000_000  # characters of text whose new pre-tokens are counted together
 SPACE_MARK = "▁"
@@ -48,7 +50,11 @@ class PieceCounter:
         for w, ids in zip(words, self.model.encode(["\n" + w for w in words], num_threads=1)):
             self.counts[w] = len(ids) - self.lead
 
+    def forget(self) -> None:
+        self.counts = {}
+
     def count_batch(self, texts: Iterable[str | None]) -> Iterator[int]:
+        claim_memory(self)
         texts, more = iter(texts), True
         while more:
             rows, size, more = [], 0, False
@@ -59,7 +65,7 @@ class PieceCounter:
                     more = True
                     break
             if len(self.counts) > KEPT_PRETOKENS:
-                self.counts.clear()
+                self.forget()
             self.learn(set(chain.from_iterable(rows)).difference(self.counts))
             for row in rows:
                 yield sum(map(mul, map(self.counts.__getitem__, row), row.values()))

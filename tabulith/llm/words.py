@@ -46,6 +46,17 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+_holder: list = []
+
+
+def claim_memory(owner) -> None:
+    """Let one object of a worker process remember words: when another begins, the one before forgets what it kept."""
+    if not _holder or _holder[0] is not owner:
+        if _holder:
+            _holder[0].forget()
+        _holder[:] = [owner]
+
+
 def separator_table(separators: list[int]) -> np.ndarray:
     table = np.zeros(256, bool)
     table[separators] = True
