@@ -171,6 +171,13 @@ def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
+def _starred(pairs: DataFrame) -> DataFrame:
+    """The same connections with fewer pairs: the smaller classes that one class meets (40 at most) are tied to the smallest."""
+    met = pairs.groupBy("dst").agg(F.min("src").alias("low"), F.collect_set("src").alias("others"))
+    ties = met.select(F.col("low").alias("src"), F.explode(F.array_union(F.array("dst"), F.col("others"))).alias("dst"))
+    return ties.where("src <> dst").distinct()
+
+
 def _slots(values: np.ndarray) -> np.ndarray:
     return (mix(values.view(np.uint64)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
 
@@ -305,7 +312,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     linked = digests.where("n > 0 and key is not null")
     classes = write_out(linked.groupBy("h1", "h2", "n").agg(F.min("key").alias("rep"), F.first("low").alias("low")),
                         "distinct-sets")
-    pairs = write_out(_meetings(_tree_rows(classes), threshold[0] / threshold[1]), "meetings")
+    pairs = write_out(_starred(_meetings(_tree_rows(classes), threshold[0] / threshold[1])), "meetings")
     nodes = pairs.select(F.col("src").alias("node")).union(pairs.select("dst")).distinct()
     members = write_out(connected_components(nodes, pairs), "families")
     links = write_out(_confirmed(members, _family_sets(docs, members, key, text, size, separators), threshold), "links")
