@@ -3,8 +3,8 @@
 A word's probability is that of its class, given by the network from all words before it, times its share of the
 class. The most frequent words are classes of their own; all others share classes by their last two bytes. Shares come
 from counts over all training documents; each class keeps the mass of its words seen once for words
-never seen. The network is fitted by truncated backpropagation on a bounded sample of training documents, in
-several replicas whose weights are averaged after each round; scoring carries its state through whole documents.
+never seen. The network is fitted by truncated backpropagation on all training documents, in replicas whose number
+grows with the words and whose weights are averaged after each round; scoring carries its state through whole documents.
 
 Counts of frequent words, of which there is a fixed number, travel to the tasks; rarer words of a document
 are joined with the count table. A null or empty text is its end token alone. Repeated rows each get a row. Without training
@@ -13,7 +13,7 @@ documents every word is unknown.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,12 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulith.runtime import write_out
+from tabulith.runtime import cut_lineage, write_out
 
 from .words import SPACE, bound_batches, hash_spans, separator_table, text_runs
 
-TRAIN_DOCS = 2400  # expected number of documents the network's weights are fitted on
-REPLICAS = 6
+REPLICAS = 6  # at least; a replica learns from about REPLICA_TOKENS words
+REPLICA_TOKENS = 4_000_000
+RUN_TOKENS = 1 << 20  # words laid out in lanes at once in training
+FAN_IN = 32  # replicas' weights averaged in one task
 TRAIN_ROUNDS = 3
 OWN_CLASS = 40  # words with a class of their own
 SUFFIX_CLASSES = 47
@@ -95,7 +97,10 @@ class Net:
         return Net(*[x.reshape(s).astype(np.float32) for x, s in zip(np.split(flat, cuts), shapes)])
 
     def step(self, h: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
-        x, g = self.embed[classes], h @ self.recur
+        return self.move(h, self.embed[classes])
+
+    def move(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        g = h @ self.recur
         gates = 1 / (1 + np.exp(-(x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN])))
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         n = np.tanh(x[:, 2 * HIDDEN:] + r * g[:, 2 * HIDDEN:])
@@ -109,30 +114,36 @@ class Net:
     def gradient(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, weight: np.ndarray):
         """(gradients, last state) of one window of time x lane arrays; the state before it is taken as given."""
         steps, past = [], []
+        x, resets = self.embed[inputs], fresh.any(1)
         for t in range(len(inputs)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
+            if resets[t]:
+                h = np.where(fresh[t][:, None], np.float32(0), h)
             past.append(h)
-            steps.append(self.step(h, inputs[t]))
+            steps.append(self.move(h, x[t]))
             h = steps[-1][0]
         states = np.stack([s[0] for s in steps])
         wrong = np.exp(self.log_classes(states))
         np.put_along_axis(wrong, targets[..., None], np.take_along_axis(wrong, targets[..., None], -1) - 1, -1)
         wrong *= weight[..., None] / max(1.0, float(weight.sum()))
-        d_embed, d_recur = np.zeros_like(self.embed), np.zeros_like(self.recur)
         d_out = np.tensordot(states, wrong, ([0, 1], [0, 1]))
         d_states = wrong @ self.out.T
         later = np.zeros_like(h)
+        to_x, to_g = np.empty_like(x), np.empty_like(x)
         for t in range(len(inputs) - 1, -1, -1):
             _, z, r, n, gn = steps[t]
             dh = d_states[t] + later
             dn = dh * (1 - z) * (1 - n * n)
             dz = dh * (past[t] - n) * z * (1 - z)
             dr = dn * gn * r * (1 - r)
-            dx = np.hstack([dz, dr, dn])
-            np.add.at(d_embed, inputs[t], dx)
-            dg = np.hstack([dz, dr, dn * r])
-            d_recur += past[t].T @ dg
-            later = np.where(fresh[t][:, None], 0, dg @ self.recur.T + dh * z)
+            np.concatenate([dz, dr, dn], 1, to_x[t])
+            np.concatenate([dz, dr, dn * r], 1, to_g[t])
+            later = to_g[t] @ self.recur.T + dh * z
+            if resets[t]:
+                later = np.where(fresh[t][:, None], 0, later)
+        chosen = np.zeros((inputs.size, CLASSES), x.dtype)
+        chosen[np.arange(inputs.size), inputs.ravel()] = 1
+        d_embed = chosen.T @ to_x.reshape(inputs.size, -1)
+        d_recur = np.tensordot(np.stack(past), to_g, ([0, 1], [0, 1]))
         return [d_embed, d_recur, d_out, wrong.sum((0, 1))], h
 
 
@@ -159,27 +170,34 @@ def _lanes(sequences: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndar
     return classes, first, owner
 
 
-def train(net: Net, sequences: list[np.ndarray], rate: float) -> Net:
-    """One pass of truncated backpropagation (Adam) over documents given as class sequences with their end."""
-    if not sequences:
-        return net
-    classes, first, owner = _lanes(sequences, LANES)
-    inputs = np.vstack([np.full((1, classes.shape[1]), END), classes[:-1]])
-    inputs[first] = END
-    real = (owner >= 0).astype(np.float32)
+def train(net: Net, runs: Iterable[list[np.ndarray]], rate: float) -> int:
+    """One pass of truncated backpropagation (Adam) over runs of documents given as class sequences with their end.
+
+    Changes ``net`` and returns the number of words learned from.
+    """
     mean = [np.zeros_like(x) for x in net.arrays()]
     square = [np.zeros_like(x) for x in net.arrays()]
-    h = np.zeros((classes.shape[1], HIDDEN), np.float32)
-    for k, low in enumerate(range(0, len(classes), WINDOW), 1):
-        part = slice(low, low + WINDOW)
-        grads, h = net.gradient(h, inputs[part], classes[part], first[part], real[part])
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads))
-        for x, g, m, v in zip(net.arrays(), grads, mean, square):
-            g = g * min(1.0, 1.0 / max(size, 1e-9))
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            x -= (rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-6)).astype(np.float32)
-    return net
+    k = tokens = 0
+    for sequences in runs:
+        # a document far longer than the others leaves room for few lanes beside it
+        size = sum(map(len, sequences))
+        classes, first, owner = _lanes(sequences, min(LANES, 1 + 4 * size // max(map(len, sequences))))
+        tokens += size
+        inputs = np.vstack([np.full((1, classes.shape[1]), END), classes[:-1]])
+        inputs[first] = END
+        real = (owner >= 0).astype(np.float32)
+        h = np.zeros((classes.shape[1], HIDDEN), np.float32)
+        for low in range(0, len(classes), WINDOW):
+            k += 1
+            part = slice(low, low + WINDOW)
+            grads, h = net.gradient(h, inputs[part], classes[part], first[part], real[part])
+            norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
+            for x, g, m, v in zip(net.arrays(), grads, mean, square):
+                g = g * min(1.0, 1.0 / max(norm, 1e-9))
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                x -= (rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-6)).astype(np.float32)
+    return tokens
 
 
 def log_likelihood(net: Net, sequences: list[np.ndarray]) -> np.ndarray:
@@ -253,27 +271,82 @@ def _sequences(words: Words, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.n
         yield np.append(classes[a:b], END), counts[a:b], found.hashes[a:b]
 
 
-def fit_network(sample: DataFrame, text: str, words, replicas: int = REPLICAS, rounds: int = TRAIN_ROUNDS) -> Net:
-    """Weights averaged over replicas, each trained on its share of the sample, round after round."""
-    spark = sample.sparkSession
+def _coded(training: DataFrame, key: str, text: str, words) -> DataFrame:
+    """(deal, classes): a hash of each training document, and its class sequence with the end, a byte a word."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in text_runs(batch.column(1), SCORE_BYTES):
+                coded = [s[0].astype(np.uint8).tobytes() for s in _sequences(words.value, texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), pa.array(coded, pa.binary())],
+                                                 ["deal", "classes"])
+                done += len(texts)
+    bound_batches(training.sparkSession)
+    return training.select(F.xxhash64(key, text).alias("deal"), F.col(text)).mapInArrow(rows, "deal bigint, classes binary")
+
+
+def _runs(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[list[np.ndarray]]:
+    """Lists of class sequences of about RUN_TOKENS words together."""
+    run, size = [], 0
+    for batch in batches:
+        for coded in batch.column(column):
+            run.append(np.frombuffer(coded.as_py(), np.uint8).astype(np.int64))
+            size += len(run[-1])
+            if size >= RUN_TOKENS:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
+
+
+_WEIGHTS = "part int, n bigint, w array<double>"
+
+
+def _weights(part: int, n: int, w: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n]), pa.array([w.tolist()], pa.list_(pa.float64()))],
+                                      ["part", "n", "w"])
+
+
+def _average(rows: pa.Table) -> tuple[int, np.ndarray]:
+    """(words, weights) of replicas together, summed in the order of their numbers."""
+    rows = rows.sort_by("part")
+    n = rows.column("n").to_numpy()
+    return int(n.sum()), np.average(np.array(rows.column("w").to_pylist()), axis=0, weights=n)
+
+
+def _averaged(found: DataFrame, replicas: int) -> tuple[int, np.ndarray] | None:
+    """Average of all replicas, FAN_IN to a task until so few are left for the driver; None without any."""
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = list(batches)
+        if sum(b.num_rows for b in own):
+            yield _weights(TaskContext.get().partitionId(), *_average(pa.Table.from_batches(own)))
+    while replicas > FAN_IN:
+        replicas = -(-replicas // FAN_IN)
+        found = found.repartition(replicas, "part").mapInArrow(average, _WEIGHTS)
+    rows = found.toArrow()
+    return _average(rows) if rows.num_rows else None
+
+
+def fit_network(training: DataFrame, key: str, text: str, words, rounds: int = TRAIN_ROUNDS) -> tuple[Net, int]:
+    """(network, words a round learned from): weights averaged over replicas, each trained on its share of all
+    documents, round after round."""
+    spark = training.sparkSession
     mass = words.value.class_total + words.value.unseen
-    net = Net.fresh(np.log(np.maximum(mass, 1) / np.maximum(mass, 1).sum()))
-    dealt = sample.select(text).repartition(replicas, F.xxhash64(text)).persist()
+    net, tokens = Net.fresh(np.log(np.maximum(mass, 1) / np.maximum(mass, 1).sum())), 0
+    replicas = max(REPLICAS, -(-words.value.tokens // REPLICA_TOKENS))
+    dealt = cut_lineage(_coded(training, key, text, words).repartition(replicas, "deal").sortWithinPartitions("deal"))
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(net.flat())
 
         def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sequences = [s[0] for b in batches for s in _sequences(words.value, b.column(0))]
-            tokens = sum(map(len, sequences))
-            if tokens:
-                own = train(Net.from_flat(shared.value.copy()), sequences, RATE / (1 + k))
-                yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([own.flat().tolist()])], ["n", "w"])
-        found = dealt.mapInArrow(replica, "n bigint, w array<double>").toArrow()  # one row per replica
-        if found.num_rows:
-            net = Net.from_flat(np.average(np.array(found.column("w").to_pylist()), axis=0,
-                                           weights=found.column("n").to_numpy()))
-    dealt.unpersist()
-    return net
+            own = Net.from_flat(shared.value.copy())
+            n = train(own, _runs(batches, 1), RATE / (1 + k))
+            if n:
+                yield _weights(TaskContext.get().partitionId(), n, own.flat())
+        found = _averaged(dealt.mapInArrow(replica, _WEIGHTS), replicas)
+        if found:
+            tokens, net = found[0], Net.from_flat(found[1])
+    return net, tokens
 
 
 _SCORED = ("key bigint, uid bigint, n_tokens bigint, n_known bigint, base double, score double, "
@@ -318,8 +391,7 @@ def _score_rows(docs: DataFrame, key: str, text: str, words, net) -> DataFrame:
     return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text)).mapInArrow(rows, _SCORED)
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text",
-          train_docs: int = TRAIN_DOCS) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of each row of ``docs``: log10 probabilities of whole
     texts by word frequencies and by the network, both from ``training``."""
     spark = docs.sparkSession
@@ -327,9 +399,7 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     counted = write_out(count_words(training, text), "word-counts")
     words = _vocabulary(counted, n_docs)
     shared = spark.sparkContext.broadcast(words)
-    rate = min(1.0, train_docs / max(1, n_docs))
-    sample = training.where(F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 20)) < rate * (1 << 20))
-    net = spark.sparkContext.broadcast(fit_network(sample, text, shared).flat())
+    net = spark.sparkContext.broadcast(fit_network(training, key, text, shared)[0].flat())
     rows = write_out(_score_rows(docs, key, text, shared, net), "scores")
     unseen = F.array(*[F.lit(float(max(x, 1))) for x in words.unseen])
     rare = rows.select("uid", F.inline("rare")).join(counted.select("h", "c"), "h", "left")

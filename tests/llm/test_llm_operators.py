@@ -376,6 +376,21 @@ def test_recurrent_scores(spark, odd, empty, monkeypatch, head):
         assert all(np.isfinite(r.score) for r in recurrent.score(odd, empty).collect())
 
 
+@pytest.mark.parametrize("fan_in", [2, 32])
+def test_network_learns_from_every_document(spark, monkeypatch, fan_in):
+    """Far more documents than any fixed sample would hold, in more replicas than one task averages."""
+    monkeypatch.setattr(recurrent, "REPLICA_TOKENS", 2000)
+    monkeypatch.setattr(recurrent, "RUN_TOKENS", 500)
+    monkeypatch.setattr(recurrent, "FAN_IN", fan_in)
+    training = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a "), F.col("id") % 7).alias("text"))
+    counted = recurrent.count_words(training, "text").persist()
+    shared = spark.sparkContext.broadcast(recurrent._vocabulary(counted, 6000))
+    net, learned = recurrent.fit_network(training, "doc_id", "text", shared, rounds=1)
+    assert learned == 6000 * 3
+    again, _ = recurrent.fit_network(training.repartition(3), "doc_id", "text", shared, rounds=1)
+    assert np.allclose(net.flat(), again.flat(), atol=1e-5)
+
+
 def test_shares_of_a_class_sum_to_one(spark):
     rows = [(i, t) for i, t, _ in languages(random.Random(9), 60)]
     counted = recurrent.count_words(spark.createDataFrame(rows, "doc_id long, text string"), "text").persist()
