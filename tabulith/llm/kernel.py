@@ -32,9 +32,9 @@ CERTAIN, LEAST_Z = 0.85, 4.0
 START = "^"
 CLOSE = 0.5  # a sentence with such a feature is an instance of its own in training
 LENGTH, DECAY = 3, 0.75  # letters of a subsequence, weight per position it spans
-ACTIVE = 0.5  # kernel values below count as 0
-SHARED = 0.75  # a kernel value is 0 unless the word has this share of the landmark's distinct letters
-UNIT = 8  # longer words are compared in windows of so many letters, each overlapping half of the next
+ACTIVE = 0.2  # kernel values below count as 0; three letters inserted into a word of six leave about 0.3
+WINDOWS = {6: 1, 12: 2}  # longer words are compared in windows of so many letters, one every so many, and whole up to the longest
+CHUNK = 4096  # words compared with one landmark at once
 ROUNDS = 4
 KEPT_WORDS = 300_000  # words whose features a worker remembers; beyond, it begins again
 BATCH_CHARS = 500_000
@@ -84,35 +84,55 @@ def _letters(words: list[str]) -> np.ndarray:
     return np.bitwise_or.reduce(np.where(codes > 0, np.uint64(1) << bit, np.uint64(0)), axis=1)
 
 
+def _against(a: np.ndarray, mark: str) -> np.ndarray:
+    """``kernel`` of many words, given as letter codes, with one landmark."""
+    n, la = a.shape
+    square, decay = np.float32(DECAY * DECAY), np.float32(DECAY)
+    same = [[(a[:, i] == ord(c)).astype(np.float32) for c in mark] for i in range(la)]
+    before = None
+    for _ in range(LENGTH - 1):
+        after = [[np.zeros(n, np.float32)] * (len(mark) + 1) for _ in range(la + 1)]
+        for i in range(la):
+            run = np.float32(0)
+            for j in range(len(mark)):
+                step = same[i][j] if before is None else same[i][j] * before[i][j]
+                run = decay * run + square * step
+                after[i + 1][j + 1] = decay * after[i][j + 1] + run
+        before = after
+    return square * sum(same[i][j] * before[i][j] for i in range(la) for j in range(len(mark)))
+
+
 def similarities(words: list[str], landmarks: list[str], own: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Square of the normalised kernel of each word with each landmark, 0 where SHARED or ACTIVE rules it out."""
+    """Square of the normalised kernel of each word with each landmark, 0 where it is below ACTIVE."""
     out = np.zeros((len(words), len(landmarks)), np.float32)
     if not len(words) or not len(landmarks):
         return out
     mask = _letters(words)
-    common = np.bitwise_count(mask[:, None] & bits[None, :])
-    i, j = np.nonzero(common >= np.maximum(2, np.ceil(SHARED * np.bitwise_count(bits))[None, :]))
-    marks = _codes(landmarks, -1)
-    for at in np.array_split(np.arange(len(i)), len(i) // 8192 + 1):
-        if len(at):
-            rows, back = np.unique(i[at], return_inverse=True)
-            chosen = [words[r] for r in rows]
-            alone = np.maximum(_self(chosen), 1e-12)
-            value = kernel(_codes(chosen, 0)[back], marks[j[at]])
-            out[i[at], j[at]] = value / np.sqrt(alone[back] * own[j[at]])
+    order = np.argsort([len(w) for w in words], kind="stable")
+    for at in np.array_split(order, len(order) // CHUNK + 1):
+        if not len(at):
+            continue
+        chosen = [words[r] for r in at]
+        alone, codes = np.maximum(_self(chosen), 1e-12), _codes(chosen, 0)
+        for j, mark in enumerate(landmarks):
+            # with fewer letters in common no subsequence is, whatever their order
+            least = max(1, LENGTH - (len(mark) - int(np.bitwise_count(bits[j]))))
+            rows = np.flatnonzero(np.bitwise_count(mask[at] & bits[j]) >= least)
+            if len(rows):
+                out[at[rows], j] = _against(codes[rows], mark) / np.sqrt(alone[rows] * own[j])
     out[out < ACTIVE] = 0
     return out * out
 
 
 def units(raw: str) -> list[str]:
-    """What of a white-space separated word is compared: START, its letters and digits; long ones in overlapping windows."""
+    """What of a white-space separated word is compared: START, its letters and digits; of long ones the windows."""
     word = OTHER.sub("", raw)
     if len(word) < LENGTH:
         return []
     word = START + word
-    if len(word) <= UNIT:
-        return [word]
-    return [word[i:i + UNIT] for i in range(0, len(word) - UNIT // 2, UNIT // 2)]
+    whole = [word] if len(word) <= max(WINDOWS) else []
+    return whole + [word[i:i + n] for n, step in WINDOWS.items() if n < len(word)
+                    for i in {*range(0, len(word) - n, step), len(word) - n}]
 
 
 @dataclass
@@ -277,7 +297,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample, true_weight = _draw(docs, labels, key, text, label, train_docs)
     sample = sample.persist()
     telling = _candidates(sample, CANDIDATES)
-    machine = Machine(_spread(telling, landmarks))
+    marks = _spread(telling, landmarks)
+    # without START they are found inside other words
+    machine = Machine(marks + [w for w in dict.fromkeys(m[1:] for m in marks) if len(w) > LENGTH])
     if not machine.landmarks:
         sample.unpersist()
         return Machine([])
