@@ -186,7 +186,7 @@ def _search(df: DataFrame, ids, label, features, trials: DataFrame, names: Seque
     fit = fit or forest_fit(label, features, seed)
     candidates = [r.asDict() for r in trials.orderBy("trial").collect()]  # one small row per trial
     with reused(kfold(df, ids, k, seed)) as folded:
-        scores = fold_scores(folded, label, fit, candidates, k, parallelism)
+        scores = fold_scores(folded, label, fit, [{n: c[n] for n in names} for c in candidates], k, parallelism)
     rows = [(candidates[t]["trial"], f, s) for (t, f), s in scores.items()]
     return trial_table(trials, small_frame(df.sparkSession, rows, "trial int, fold int, score double"), k)
 
@@ -258,7 +258,7 @@ def bayesian_search_cv(df: DataFrame, ids: Sequence[str], label: str, grid: Mapp
     tried, rows, means, guesses = [], [], [], []
 
     def evaluate(batch):
-        scores = fold_scores(folded, label, fit, batch, k, parallelism)
+        scores = fold_scores(folded, label, fit, [{n: c[n] for n in names} for c in batch], k, parallelism)
         for t, candidate in enumerate(batch):
             number = len(tried) + 1
             tried.append(candidate)
@@ -285,10 +285,12 @@ def best_trial(trials: DataFrame) -> DataFrame:
     return arg_best(trials, "mean_score", "trial")
 
 
-def refit_best(df: DataFrame, trials: DataFrame, label: str, features: str = "features", seed: int = 42, fit: Fit | None = None):
-    """The model of the best trial, fitted on all rows."""
+def refit_best(df: DataFrame, trials: DataFrame, label: str, names: Sequence[str], features: str = "features", seed: int = 42,
+               fit: Fit | None = None):
+    """The model of the best trial's parameters ``names``, fitted on all rows."""
     fit = fit or forest_fit(label, features, seed)
-    return fit(df, best_trial(trials).first().asDict())
+    best = best_trial(trials).first()
+    return fit(df, {n: best[n] for n in names})
 
 
 def convergence(trials: DataFrame, method: str = "method") -> DataFrame:
