@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tabulith.catalog import table
 from tabulith.runtime import scratch_folder
 
-from . import bpe, forest, hnsw, kernel, mixture, packing, pieces, recurrent, roles, winnowing
+from . import (bpe, collisions, forest, hnsw, kernel, mixture, packing, pieces, recurrent, residual_codes, roles, variants,
+               winnowing)
 from .words import bound_batches
 
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -133,3 +134,44 @@ def op10_toxicity_kernel(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
     scored = docs.select("doc_id", held_out.alias("held_out"), kernel.score(F.col("text"), machine).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+@query
+def op11_residual_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding; every seventh row's label is shifted by one first."""
+    rows = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residual_codes.hard_negatives(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+SQL["op11_residual_hard_negatives"] = """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, cast(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+ p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ q AS (SELECT p.anchor_id, positive_id, cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike
+  AND 80 * positive_score <= 100 * score AND score <= positive_score)
+ SELECT * FROM q WHERE rank <= 5"""
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word of the documents with its more frequent spelling and the root that spellings lead to."""
+    return variants.group_variants(table(spark, folder, "documents"))
+
+
+@query
+def op13_collision_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest other rows of every hundredth embedding."""
+    return collisions.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op13_collision_neighbours"] = """WITH r AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ s AS (SELECT a.vec_id AS query_id, b.vec_id, sqrt(list_reduce(list_transform(list_zip(a.v, b.v), lambda p: (p[2] - p[1]) * (p[2] - p[1])),
+  lambda x, y: x + y)) AS score FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0)
+ SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10"""

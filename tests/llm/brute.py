@@ -1,6 +1,7 @@
 """Plain Python versions of the operators' contracts, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -104,3 +105,73 @@ def unigram_scores(docs):
     n, v = sum(count.values()), len(count)
     return [(d, crc(d) % 7 == 2, len(own), sum(count[w] > 0 for w in own), n,
              sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own)) for d, own in words.items()]
+
+
+def hard_negatives(rows, anchors, positives=5, negatives=5):
+    """rows: (id, label, vector); usable rows only, one per id."""
+    import numpy as np
+    whole = {i: np.floor(256 * np.array(v, float)).astype(np.int64) for i, _, v in rows}
+    label = {i: c for i, c, _ in rows}
+    out = []
+    for a in anchors:
+        score = {i: int(whole[a] @ w) for i, w in whole.items() if i != a and len(w) == len(whole[a])}
+        order = sorted(score, key=lambda i: (-score[i], i))
+        for p in [i for i in order if label[i] == label[a]][:positives]:
+            fits = [i for i in order if label[i] != label[a] and 80 * score[p] <= 100 * score[i] <= 100 * score[p]]
+            out += [(a, p, r + 1, i, score[p], score[i]) for r, i in enumerate(fits[:negatives])]
+    return out
+
+
+def neighbours(rows, queries, k=10):
+    """rows: (id, vector); usable rows only, one per id."""
+    import numpy as np
+    out = []
+    for q, centre in rows:
+        if q in queries:
+            far = []
+            for i, v in rows:
+                if i != q and len(v) == len(centre):
+                    total = 0.0
+                    for step in np.array(v, float) - np.array(centre, float):
+                        total += step * step
+                    far.append((math.sqrt(total), i))
+            out += [(q, r + 1, i, d) for r, (d, i) in enumerate(sorted(far)[:k])]
+    return out
+
+
+def spelling_variants(docs, length=5, least=3):
+    """Near words by deleting each letter of every word, and replacing each by a gap."""
+    from collections import Counter, defaultdict
+    count = Counter()
+    for d, t in docs:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", lower(t)):
+            h = zlib.crc32(f"{d}:{w}".encode()) if d is not None else 1
+            if h % 97 == 0:
+                at = h % len(w)
+                w = w[:at] + w[at + 1:]
+            count[w] += 1
+    count = {w: n for w, n in count.items() if len(w) >= length and n >= least}
+    holes = defaultdict(set)
+    for w in count:
+        for i in range(len(w)):
+            holes[w[:i] + "?" + w[i + 1:]].add(w)
+    near = defaultdict(set)
+    for own in holes.values():
+        for w in own:
+            near[w] |= own - {w}
+    for w in count:
+        for i in range(len(w)):
+            shorter = w[:i] + w[i + 1:]
+            if shorter in count:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    form = {}
+    for w, n in count.items():
+        best = min(near[w], key=lambda x: (-count[x], x), default=None)
+        form[w] = best if best is not None and count[best] >= 2 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+    return [(w, form[w], root(w), n, len(near[w]), count.get(form[w])) for w, n in count.items()]
