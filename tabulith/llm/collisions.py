@@ -5,7 +5,7 @@ query's own projections windows open in all arrays at once, by virtual rehashing
 by GROWTH each round, and only what a round adds is read. A vector that collides in at least COLLISIONS of the arrays is verified
 by its distance; a query ends once its k-th nearest verified vector lies within the radius, or all vectors are verified.
 
-A vector at the radius collides in an array with chance 0.683, so it is missed with a chance of about 5e-4, a nearer one with less; a query's k
+A vector at the radius collides in an array with chance 0.683, so it is missed with a chance of about 9e-4, a nearer one with less; a query's k
 nearest of all blocks together are mostly nearer than its k-th in each. Equal vectors of a block are one class that
 keeps its k + 1 smallest ids: more of a class can't be among the k nearest.
 
@@ -17,6 +17,7 @@ No rows give no rows; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,11 @@ from tabulith.runtime import write_out
 
 from .tiles import by_length, column_matrix, finite, map_groups, ranked, tiled
 
-PROJECTIONS = 64
-COLLISIONS = 32
+PROJECTIONS = 32
+COLLISIONS = 14
 GROWTH = 1.2
 ROUNDS = 300  # the last verifies all, for vectors too far apart for a radius
+TOGETHER = 128  # queries whose windows grow together
 START = 64  # rows whose nearest sets a query's first radius, at a quarter of the distance
 
 
@@ -49,49 +51,63 @@ class Projections:
     def __init__(self, vectors: np.ndarray, seed: int = 17):
         self.vectors = vectors
         n, width = vectors.shape
+        self.square = (vectors * vectors).sum(1)
         self.directions = np.random.default_rng(seed).normal(size=(width, PROJECTIONS))
         values = np.ascontiguousarray((vectors @ self.directions).T)
-        self.order = np.argsort(values, axis=1, kind="stable")
-        self.values = np.take_along_axis(values, self.order, 1)
-        self.flat = self.order.ravel()
+        order = np.argsort(values, axis=1, kind="stable")
+        self.values = np.take_along_axis(values, order, 1)
+        self.flat = order.ravel()
         self.base = np.arange(PROJECTIONS) * n
 
-    def windows(self, centre: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        low = np.array([np.searchsorted(v, c - radius, "left") for v, c in zip(self.values, centre)])
-        high = np.array([np.searchsorted(v, c + radius, "right") for v, c in zip(self.values, centre)])
-        return low, high
-
     def members(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Vectors in the stretches from ``low`` up to ``high`` of each array, with repeats."""
-        n = np.maximum(high - low, 0)
+        """Vectors in the stretches from ``low`` up to ``high`` of the arrays, with repeats."""
+        n = high - low
         ends = np.cumsum(n)
-        places = np.repeat(self.base + low - (ends - n), n) + np.arange(int(ends[-1]))
+        places = np.repeat(low - (ends - n), n)
+        places += np.arange(int(ends[-1]))
         return self.flat[places]
 
-    def nearest(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(vectors, distances) verified for one query, among them its ``k`` nearest but for rare misses."""
-        n = len(self.vectors)
-        centre = query @ self.directions
-        slack = 1e-9 * (1 + float(np.abs(centre).max()))
+    def nearest(self, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, vectors, distances) of vectors verified for each query, among them its ``k`` nearest but for rare misses."""
+        n, ways = len(self.vectors), len(queries)
+        centre = queries @ self.directions
         sample = self.vectors[np.linspace(0, n - 1, min(n, START)).astype(np.int64)]
-        radius = max(float(distances(sample, query).max(initial=0)) / 1024, float(distances(sample, query).min(initial=0)) / 4, slack)
-        count, out, seen = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
-        low = high = None
+        radius = np.empty(ways)
+        for q in range(ways):
+            far = distances(sample, queries[q])
+            radius[q] = max(far.max() / 1024, far.min() / 4, 1e-9 * (1 + np.abs(centre[q]).max()))
+        count, seen = np.zeros((ways, n), np.int32), np.zeros((ways, n), bool)
+        squares = np.full((ways, n), np.inf)
+        low = np.stack([np.searchsorted(v, centre[:, j]) for j, v in enumerate(self.values)])
+        high = low.copy()
+        active = np.arange(ways)
         for turn in range(ROUNDS):
-            new_low, new_high = self.windows(centre, radius + slack)
-            if low is None:
-                met = self.members(new_low, new_high)
-            else:
-                met = np.concatenate([self.members(new_low, low), self.members(high, new_high)])
-            count += np.bincount(met, minlength=n)
-            low, high = new_low, new_high
-            fresh = np.flatnonzero((count >= (COLLISIONS if turn < ROUNDS - 1 else 0)) & ~seen)
-            out[fresh], seen[fresh] = distances(self.vectors[fresh], query), True
-            verified = np.flatnonzero(seen)
-            if len(verified) == n or (len(verified) >= k and np.partition(out[verified], k - 1)[k - 1] <= radius):
-                return verified, out[verified]
-            radius *= GROWTH
-        raise AssertionError("the last round verifies all")
+            reach = radius[active] + 1e-9 * (1 + np.abs(centre[active]).max(1))
+            going = []
+            for j, v in enumerate(self.values):
+                at = centre[active, j]
+                ends = np.searchsorted(v, np.concatenate([at - reach, at + reach]))
+                going.append((ends[:len(active)], ends[len(active):]))
+            wider = np.minimum(np.array([g[0] for g in going]), low[:, active]), np.maximum(np.array([g[1] for g in going]), high[:, active])
+            for i, q in enumerate(active.tolist()):
+                met = self.members(np.concatenate([wider[0][:, i] + self.base, high[:, q] + self.base]),
+                                   np.concatenate([low[:, q] + self.base, wider[1][:, i] + self.base]))
+                count[q] += np.bincount(met, minlength=n).astype(np.int32)
+                fresh = np.flatnonzero((count[q] >= (COLLISIONS if turn < ROUNDS - 1 else 0)) & ~seen[q])
+                seen[q, fresh] = True
+                step = self.vectors[fresh] - queries[q]
+                squares[q, fresh] = np.einsum("rd,rd->r", step, step)
+            low[:, active], high[:, active] = wider
+            kth = np.sqrt(np.partition(squares[active], min(k, n) - 1, axis=1)[:, min(k, n) - 1])
+            done = (kth <= radius[active]) | seen[active].all(1)
+            for q, bound in zip(active[done].tolist(), kth[done].tolist()):
+                # the distances that count are summed anew, in one order for all
+                near = np.flatnonzero(seen[q] & (squares[q] <= bound * bound * (1 + 1e-9)))
+                yield q, near, distances(self.vectors[near], queries[q])
+            active = active[~done]
+            if not len(active):
+                return
+            radius[active] *= GROWTH
 
 
 def _first_of_each(keys: np.ndarray) -> np.ndarray:
@@ -114,9 +130,12 @@ def _searched(k: int):
             start = np.searchsorted(group[order], np.arange(len(place) + 1))
             block = Projections(vectors[place])
             ids, centres = asking.column("key").to_numpy(), column_matrix(asking.column("v")) + 0.0
+            first = _first_of_each(ids)
+            ids, centres = ids[first], centres[first]
             found = ([], [], [])
-            for at in _first_of_each(ids).tolist():
-                classes, far = block.nearest(centres[at], k + 1)
+            answers = chain.from_iterable(((low + q, c, far) for q, c, far in block.nearest(centres[low:low + TOGETHER], k + 1))
+                                          for low in range(0, len(ids), TOGETHER))
+            for at, classes, far in answers:
                 n = start[classes + 1] - start[classes]
                 rows_of = np.repeat(start[classes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                 other, far = keys[order[rows_of]], np.repeat(far, n)

@@ -102,8 +102,9 @@ def test_neighbours_on_odd_rows(spark, odd):
 
 
 def test_distances_beyond_a_double_are_ranked_last():
-    found, far = collisions.Projections(np.array([[1e200, 0.0], [-1e200, 1.0], [0.0, 2.0]])).nearest(np.array([0.0, 1.0]), 3)
-    assert found.tolist() == [0, 1, 2] and far.tolist() == [np.inf, np.inf, 1.0]
+    block = collisions.Projections(np.array([[1e200, 0.0], [-1e200, 1.0], [0.0, 2.0]]))
+    [(at, found, far)] = block.nearest(np.array([[0.0, 1.0]]), 3)
+    assert at == 0 and found.tolist() == [0, 1, 2] and far.tolist() == [np.inf, np.inf, 1.0]
 
 
 def test_op13_recall(spark):
