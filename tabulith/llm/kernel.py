@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulith.runtime import reused
+
 from .words import bound_batches, claim_memory
 
 TRAIN_DOCS = 4000  # expected number of labelled documents per class that the machine is fitted on
@@ -34,13 +36,15 @@ CLOSE = 0.5  # a sentence with such a feature is an instance of its own in train
 LENGTH, DECAY = 3, 0.75  # letters of a subsequence, weight per position it spans
 ACTIVE = 0.2  # kernel values below count as 0; three letters inserted into a word of six leave about 0.3
 WINDOWS = {6: 1, 12: 2}  # longer words are compared in windows of so many letters, one every so many, and whole up to the longest
-CHUNK = 4096  # words compared with one landmark at once
+CHUNK = 8192  # windows of words compared at once
+CLOSE_ROWS = 16  # close sentences of a document used in training
 ROUNDS = 4
-KEPT_WORDS = 300_000  # words whose features a worker remembers; beyond, it begins again
-BATCH_CHARS = 500_000
-SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
+KEPT_WORDS = 400_000  # words whose features a worker remembers; beyond, it begins again
+BATCH_CHARS = 2_000_000
 SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
+LETTERS = re.compile(r"\w(?:[.*_-]\w)*")
+ACTIVE_WORDS = 8192  # words whose features are laid out at once
 
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,122 +81,230 @@ def _self(words: list[str]) -> np.ndarray:
     return kernel(_codes(words, 0), _codes(words, -1)) if words else np.zeros(0)
 
 
-def _letters(words: list[str]) -> np.ndarray:
-    """Distinct letters as bits; letters beyond a-z share the higher bits."""
-    codes = _codes(words, 0).astype(np.int64)
-    bit = np.where((codes >= 97) & (codes < 123), codes - 97, 26 + codes % 38).astype(np.uint64)
-    return np.bitwise_or.reduce(np.where(codes > 0, np.uint64(1) << bit, np.uint64(0)), axis=1)
-
-
-def _against(a: np.ndarray, mark: str) -> np.ndarray:
-    """``kernel`` of many words, given as letter codes, with one landmark."""
-    n, la = a.shape
-    square, decay = np.float32(DECAY * DECAY), np.float32(DECAY)
-    same = [[(a[:, i] == ord(c)).astype(np.float32) for c in mark] for i in range(la)]
-    before = None
-    for _ in range(LENGTH - 1):
-        after = [[np.zeros(n, np.float32)] * (len(mark) + 1) for _ in range(la + 1)]
-        for i in range(la):
-            run = np.float32(0)
-            for j in range(len(mark)):
-                step = same[i][j] if before is None else same[i][j] * before[i][j]
-                run = decay * run + square * step
-                after[i + 1][j + 1] = decay * after[i][j + 1] + run
-        before = after
-    return square * sum(same[i][j] * before[i][j] for i in range(la) for j in range(len(mark)))
-
-
-def similarities(words: list[str], landmarks: list[str], own: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Square of the normalised kernel of each word with each landmark, 0 where it is below ACTIVE."""
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    if not len(words) or not len(landmarks):
-        return out
-    mask = _letters(words)
-    order = np.argsort([len(w) for w in words], kind="stable")
-    for at in np.array_split(order, len(order) // CHUNK + 1):
-        if not len(at):
-            continue
-        chosen = [words[r] for r in at]
-        alone, codes = np.maximum(_self(chosen), 1e-12), _codes(chosen, 0)
-        for j, mark in enumerate(landmarks):
-            # with fewer letters in common no subsequence is, whatever their order
-            least = max(1, LENGTH - (len(mark) - int(np.bitwise_count(bits[j]))))
-            rows = np.flatnonzero(np.bitwise_count(mask[at] & bits[j]) >= least)
-            if len(rows):
-                out[at[rows], j] = _against(codes[rows], mark) / np.sqrt(alone[rows] * own[j])
-    out[out < ACTIVE] = 0
-    return out * out
-
-
-def units(raw: str) -> list[str]:
-    """What of a white-space separated word is compared: START, its letters and digits; of long ones the windows."""
-    word = OTHER.sub("", raw)
-    if len(word) < LENGTH:
-        return []
-    word = START + word
-    whole = [word] if len(word) <= max(WINDOWS) else []
-    return whole + [word[i:i + n] for n, step in WINDOWS.items() if n < len(word)
-                    for i in {*range(0, len(word) - n, step), len(word) - n}]
+def _own(codes: np.ndarray) -> np.ndarray:
+    """``kernel`` of words of one length with themselves, computed once per pattern of equal letters."""
+    n, length = codes.shape
+    first = np.tile(np.arange(length, dtype=np.uint8), (n, 1))
+    for i in range(1, length):
+        for j in range(i - 1, -1, -1):
+            np.putmask(first[:, i], codes[:, j] == codes[:, i], j)
+    patterns, at = np.unique(first.view(f"V{length}").ravel(), return_inverse=True)
+    names = [p.tobytes() for p in patterns]
+    fresh = [p for p in names if p not in _own_values]
+    if fresh:
+        if len(_own_values) > KEPT_WORDS:
+            _own_values.clear()
+            fresh = names
+        some = np.frombuffer(b"".join(fresh), np.uint8).reshape(len(fresh), length).astype(np.int64)
+        _own_values.update(zip(fresh, kernel(some, some).tolist()))
+    return np.array([_own_values[p] for p in names])[at]
+
+
+_own_values: dict[bytes, float] = {}
+
+
+def clean(raw: str) -> str:
+    """START and the letters and digits of a white-space separated word; empty if they are too few."""
+    word = raw if raw.isalnum() else OTHER.sub("", raw)
+    return START + word if len(word) >= LENGTH else ""
+
+
+def _triples(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places (i, j, k) of all subsequences of three letters of a word, and the weight of the span of each."""
+    i, j, k = np.array(list(combinations(range(length), LENGTH)), np.int64).T
+    return i, j, k, DECAY ** (k - i + 1.0)
+
+
+def windows(length: int) -> list[tuple[int, list[int]]]:
+    """(letters, starts) of what is compared of a word: the whole word, and windows inside it."""
+    whole = [(length, [0])] if length <= max(WINDOWS) else []
+    return whole + [(n, sorted({*range(0, length - n, step), length - n})) for n, step in WINDOWS.items() if n < length]
+
+
+class Landmarks:
+    """Landmark words by the letter triples they hold: a word's kernel value with each is a sum over its own triples."""
+
+    def __init__(self, words: list[str]):
+        self.words, self.own = words, _self(words)
+        letters = sorted({ord(c) for w in words for c in w})
+        self.letters = np.array(letters or [0], np.int64)
+        self.base = len(letters) + 1
+        found: dict[tuple[int, int], float] = {}
+        for at, word in enumerate(words):
+            ids = self._ids(_codes([word], 0))[0]
+            for i, j, k, weight in zip(*_triples(len(word))):
+                cell = (int((ids[i] * self.base + ids[j]) * self.base + ids[k]), at)
+                found[cell] = found.get(cell, 0.0) + weight
+        cells = sorted(found)
+        triple = np.array([c[0] for c in cells], np.int64)
+        self.mark = np.array([c[1] for c in cells], np.int64)
+        self.weight = np.array([found[c] for c in cells]) / np.sqrt(self.own[self.mark]) if cells else np.zeros(0)
+        self.start = np.searchsorted(triple, np.arange(self.base**LENGTH + 1))
+        self.held = np.diff(self.start) > 0
+        self.most = np.zeros(len(self.held))  # largest weight of a triple in any landmark
+        np.maximum.at(self.most, triple, self.weight)
+
+    def _ids(self, codes: np.ndarray) -> np.ndarray:
+        """Letters as numbers from 1; 0 for letters of no landmark."""
+        at = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        return np.where(self.letters[at] == codes, at + 1, 0)
+
+    def values(self, codes: np.ndarray) -> np.ndarray:
+        """Normalised kernel of words of one length with each landmark; values that cannot reach ACTIVE may be 0."""
+        n, length = codes.shape
+        result = np.zeros((n, len(self.words)))
+        i, j, k, weight = _triples(length)
+        ids = self._ids(codes).astype(np.int32)
+        triple = (ids[:, i] * self.base + ids[:, j]) * self.base + ids[:, k]
+        row, place = np.nonzero(self.held[triple])
+        if not len(row):
+            return result
+        cell, span = triple[row, place], weight[place]
+        # a word's kernel with itself is no less than if all its triples differed
+        least = ACTIVE * np.sqrt((weight * weight).sum()) * (1 - 1e-9)
+        likely = np.flatnonzero(np.bincount(row, span * self.most[cell], n) >= least)
+        place = np.full(n, -1)
+        place[likely] = np.arange(len(likely))
+        row = place[row]
+        cell, span, row = cell[row >= 0], span[row >= 0], row[row >= 0]
+        if not len(row):
+            return result
+        first, many = self.start[cell], self.start[cell + 1] - self.start[cell]
+        entry = np.repeat(first - (np.cumsum(many) - many), many)
+        entry += np.arange(len(entry))
+        out = np.bincount(np.repeat(row, many) * len(self.words) + self.mark[entry], np.repeat(span, many) * self.weight[entry],
+                          len(likely) * len(self.words)).reshape(len(likely), -1)
+        near = np.flatnonzero(out.max(1) >= least)
+        result[likely[near]] = out[near] / np.sqrt(_own(codes[likely[near]]))[:, None]
+        return result
+
+    def alike(self, words: list[str], inside: bool = False) -> np.ndarray:
+        """Square of the normalised kernel of each word with each landmark, 0 where it is below ACTIVE; with ``inside`` the
+        largest over the word's windows."""
+        out = np.zeros((len(words), len(self.words)), np.float32)
+        if not len(words) or not self.words:
+            return out
+        size = np.array([len(w) for w in words])
+        for length in np.unique(size[size >= LENGTH]).tolist():
+            rows = np.flatnonzero(size == length)
+            for n, starts in windows(length) if inside else [(length, [0])]:
+                together = max(1, CHUNK // len(starts))
+                for low in range(0, len(rows), together):
+                    part = rows[low:low + together]
+                    codes = _codes([words[r] for r in part], 0)
+                    for some in np.array_split(np.array(starts), len(starts) // CHUNK + 1):
+                        seen = codes[:, some[:, None] + np.arange(n)]
+                        value = self.values(seen.reshape(-1, n)).reshape(len(part), len(some), -1).max(1)
+                        out[part] = np.maximum(out[part], value)
+        out[out < ACTIVE] = 0
+        return out * out
 
 
 @dataclass
 class Machine:
     landmarks: list[str]
-    own: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = 0.0
     slope: float = 1.0
     shift: float = -2.0
-    bits: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    known: dict[str, np.ndarray | None] = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.landmarks:
-            self.own, self.bits = _self(self.landmarks), _letters(self.landmarks)
-
-    def learn(self, raw: Iterable[str]) -> None:
-        """Kernel values of new words; None for a word alike to no landmark."""
-        raw = list(raw)
-        parts = [units(w) for w in raw]
-        flat = list(dict.fromkeys(u for p in parts for u in p))
-        values = similarities(flat, self.landmarks, self.own, self.bits)
-        active = {flat[i]: values[i] for i in np.flatnonzero(values.any(1))}
-        for w, p in zip(raw, parts):
-            found = [active[u] for u in p if u in active]
-            self.known[w] = np.max(found, axis=0) if found else None
-
-    def sentences(self, words: set[str], text: str) -> np.ndarray:
-        """Features of the sentences of a lower-cased text that match a landmark."""
-        active = {w for w in words if self.known[w] is not None}
-        rows = []
-        if active:
-            # letters spelled out one by one are a sentence of their own
-            for own in chain(map(str.split, SENTENCE.split(text)), [[w] for w in spelled(text)]):
-                own = [self.known[w] for w in own if w in active]
-                if own:
-                    rows.append(np.max(own, axis=0))
-        return np.array(rows, np.float32).reshape(len(rows), len(self.landmarks))
+        self.marks = Landmarks(self.landmarks)
+        self.forget()
 
     def forget(self) -> None:
-        self.known = {}
+        self.known: dict[str, int] = {}  # what is known of a white-space separated word, as in ``learn``
+        self.rows: dict[str, int] = {}  # a cleaned word's row in ``table``, -1 if it is alike to no landmark
+        self.table = np.zeros((0, len(self.landmarks)), np.float32)
+
+    def learn(self, raw: Iterable[str]) -> None:
+        """Kernel values of new words. ``known`` packs the row in ``table`` plus one, whether the word ends a sentence, and how many
+        letters spelled out one by one it may be part of (0 to 3)."""
+        pairs = [(w, clean(w)) for w in raw]
+        fresh = list({c for _, c in pairs}.difference(self.rows))
+        values = self.marks.alike(fresh, inside=True)
+        active = np.flatnonzero(values.any(1))
+        place = np.full(len(fresh), -1)
+        place[active] = len(self.table) + np.arange(len(active))
+        self.table = np.vstack([self.table, values[active]])
+        self.rows.update(zip(fresh, place.tolist()))
+        for w, c in pairs:
+            letters = min(3, (len(w) + 1) // 2) if len(w) == 1 or LETTERS.fullmatch(w) else 0
+            self.known[w] = self.rows[c] + 1 << 3 | (w[-1] in ".!?") << 2 | letters
 
     def features(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Per text, one row for each sentence with a word like a landmark: its words' largest values."""
         claim_memory(self)
         texts, more = iter(texts), True
         while more:
-            rows, size, more = [], 0, False
+            batch, size, more = [], 0, False
             for text in texts:
-                low = (text or "").lower()
-                rows.append((set(tokens(low)), low))
-                size += len(low)
+                batch.append((text or "").lower())
+                size += len(batch[-1])
                 if size > BATCH_CHARS:
                     more = True
                     break
             if len(self.known) > KEPT_WORDS:
                 self.forget()
-            self.learn(set().union(*[w for w, _ in rows]).difference(self.known))
-            for words, low in rows:
-                yield self.sentences(words, low)
+            yield from self._batch(batch)
+
+    def _facts(self, words: list[str]) -> np.ndarray:
+        fresh = set(words).difference(self.known)
+        if fresh:
+            self.learn(fresh)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _batch(self, batch: list[str]) -> Iterator[np.ndarray]:
+        words, breaks, bounds = [], [], [0]
+        for low in batch:
+            for line in low.split("\n"):
+                words += line.split()
+                breaks.append(len(words))
+            bounds.append(len(words))
+        facts = self._facts(words)
+        # a sentence ends with a line, or with a word that ends in a full stop or the like
+        opens = np.zeros(len(words) + 1, np.int64)
+        opens[breaks] = 1
+        opens[1:] |= facts >> 2 & 1
+        sentence = np.cumsum(opens[:-1])
+        bounds = np.array(bounds)
+        owner = np.repeat(np.arange(len(batch)), np.diff(bounds))
+        # texts where neighbouring words may spell out a third letter
+        run = np.cumsum(np.r_[True, (facts[1:] & 3 == 0) | (facts[:-1] & 3 == 0) | (owner[1:] != owner[:-1])]) if len(words) else facts
+        letters = np.bincount(run, facts & 3, minlength=1) if len(words) else np.zeros(1)
+        texts = np.unique(owner[letters[run] >= 3]) if len(words) else owner
+        more = [(t, w) for t in texts.tolist() for w in spelled(batch[t])]
+        row = (facts >> 3) - 1
+        at = np.flatnonzero(row >= 0)
+        row, sentence, owner = row[at], sentence[at], owner[at]
+        if more:
+            # letters spelled out one by one are a sentence of their own
+            extra = (self._facts([w for _, w in more]) >> 3) - 1
+            kept = np.flatnonzero(extra >= 0)
+            row = np.r_[row, extra[kept]]
+            sentence = np.r_[sentence, len(words) + 1 + kept]
+            owner = np.r_[owner, np.array([t for t, _ in more])[kept]]
+        order = np.lexsort((sentence, owner))
+        row, sentence, owner = row[order], sentence[order], owner[order]
+        first = np.flatnonzero(np.r_[True, (sentence[1:] != sentence[:-1]) | (owner[1:] != owner[:-1])]) if len(row) else row
+        per = np.bincount(owner[first], minlength=len(batch))
+        done = 0
+        # a text's sentences together, about ACTIVE_WORDS words at once
+        text_end = np.cumsum(per)
+        word_end = np.r_[first, len(row)]
+        low = 0
+        while low < len(batch):
+            high = low + 1
+            while high < len(batch) and word_end[text_end[high]] - word_end[done] <= ACTIVE_WORDS:
+                high += 1
+            stop = int(text_end[high - 1])
+            if stop > done:
+                part = slice(int(word_end[done]), int(word_end[stop]))
+                rows = np.maximum.reduceat(self.table[row[part]], first[done:stop] - word_end[done])
+            else:
+                rows = np.zeros((0, len(self.landmarks)), np.float32)
+            yield from np.split(rows, text_end[low:high - 1] - done)
+            low, done = high, stop
 
     def margin(self, rows: np.ndarray) -> float:
         """Decision value of a document: its worst sentence, and never less than a sentence without matches."""
@@ -281,65 +393,94 @@ def _candidates(sample: DataFrame, n: int) -> list[str]:
 
 def _spread(words: list[str], n: int, apart: float = 0.6) -> list[str]:
     """The first n words that are not nearly alike to one already taken."""
-    chosen: list[str] = []
-    for w in words:
-        if len(chosen) >= n:
-            break
-        if not chosen or similarities([w], chosen, _self(chosen), _letters(chosen)).max() < apart:
-            chosen.append(w)
-    return chosen
+    close, chosen = Landmarks(words).alike(words), []
+    for at in range(len(words)):
+        if len(chosen) < n and (not chosen or close[at, chosen].max() < apart):
+            chosen.append(at)
+    return [words[at] for at in chosen]
+
+
+def _sentences(sample: DataFrame, machine: Broadcast) -> DataFrame:
+    """(y, x): per document its distinct sentences as rows of features, the last one without any match."""
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = len(machine.value.landmarks)
+        for batch in batches:
+            found = [np.vstack([np.unique(np.round(r, 4), axis=0), np.zeros((1, width), np.float32)]) for r in
+                     machine.value.features(map(pa.StringScalar.as_py, batch.column(0)))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.astype(np.float32).tobytes() for x in found], pa.binary())],
+                                             ["y", "x"])
+    return sample.mapInArrow(bags, "y int, x binary")
+
+
+def _instances(bags: DataFrame, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, y, 1 / rows of the document): of a toxic document the most telling sentence and at most CLOSE_ROWS of those close to
+    a landmark, the closest first; of others the worst sentence. Chosen where the sentences are."""
+    width = len(first)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y, share, rows = [], [], []
+            for sign, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(x.as_py(), np.float32).reshape(-1, width)
+                worst = int((own @ first).argmax())
+                chosen = {worst}
+                if sign > 0:
+                    near = own.max(1)
+                    chosen |= {int(r) for r in np.argsort(-near, kind="stable")[:CLOSE_ROWS] if near[r] >= CLOSE}
+                y += [sign] * len(chosen)
+                share += [1 / len(chosen)] * len(chosen)
+                rows += [own[r].tobytes() for r in sorted(chosen)]
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(share, pa.float64()), pa.array(rows, pa.binary())],
+                                             ["y", "share", "x"])
+    found = bags.mapInArrow(choose, "y int, share double, x binary").toArrow()
+    x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float32).reshape(-1, width).astype(np.float64)
+    return x, np.where(found.column("y").to_numpy() > 0, 1, -1), found.column("share").to_numpy()
+
+
+def _margins(bags: DataFrame, machine: Machine) -> tuple[np.ndarray, np.ndarray]:
+    """(y, decision value) of each document."""
+    weights, bias = machine.weights, machine.bias
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [float((np.frombuffer(x.as_py(), np.float32).reshape(-1, len(weights)) @ weights).max()) + bias
+                      for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], ["y", "margin"])
+    found = bags.mapInArrow(decide, "y int, margin double").toArrow()
+    return np.where(found.column("y").to_numpy() > 0, 1, -1), found.column("margin").to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARKS) -> Machine:
-    """Landmarks and machine from a bounded sample of the labelled documents."""
+    """Landmarks and machine from a bounded sample of the labelled documents.
+
+    The sample's sentences stay on the executors; what comes to the driver are the instances of a round, at most
+    CLOSE_ROWS + 1 of a document.
+    """
     bound_batches(docs.sparkSession)
     sample, true_weight = _draw(docs, labels, key, text, label, train_docs)
-    sample = sample.persist()
-    telling = _candidates(sample, CANDIDATES)
-    marks = _spread(telling, landmarks)
-    # without START they are found inside other words
-    machine = Machine(marks + [w for w in dict.fromkeys(m[1:] for m in marks) if len(w) > LENGTH])
-    if not machine.landmarks:
-        sample.unpersist()
-        return Machine([])
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
-
-    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(np.round(r, 4), axis=0).ravel() for r in
-                     shared.value.features(map(pa.StringScalar.as_py, batch.column(0)))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tolist() for x in found], pa.list_(pa.float32()))],
-                                             ["y", "x"])
-    rows = sample.mapInArrow(bags, "y int, x array<float>").toArrow()
-    sample.unpersist()
-    m = len(machine.landmarks)
-    y = np.where(rows.column("y").to_numpy() > 0, 1, -1)
-    own = [np.array(x.as_py(), np.float64).reshape(-1, m) for x in rows.column("x")]
-    own = [np.vstack([x, np.zeros((1, m))]) for x in own]  # the sentence without matches
-    if len(set(y.tolist())) < 2:
-        return machine
-    close = np.array([similarities([w], machine.landmarks, machine.own, machine.bits)[0] for w in machine.landmarks])
-    close = (close + close.T) / 2 + 1e-3 * np.eye(m)
-    value, vector = np.linalg.eigh(close)
-    root = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    first = np.ones(m)
-    weight = np.where(y > 0, 1 / (y > 0).sum(), 1 / (y < 0).sum())
-    for _ in range(ROUNDS):
-        rows, goal, share = [], [], []
-        for b, sign, w in zip(own, y, weight * len(y) / 2):
-            # of a toxic document, the most telling sentence and those close to a landmark; of others, the worst sentence
-            chosen = np.zeros(len(b), bool)
-            chosen[(b @ first).argmax()] = True
-            if sign > 0:
-                chosen |= b.max(1) >= CLOSE
-            rows.append(b[chosen])
-            goal += [sign] * int(chosen.sum())
-            share += [w / chosen.sum()] * int(chosen.sum())
-        w, machine.bias = _svm(np.vstack(rows) @ root, np.array(goal), np.array(share))
-        first = machine.weights = root @ w
-    machine.weights = machine.weights.astype(np.float64)
-    margin = np.array([machine.margin(b) for b in own])
+    with reused(sample) as sample:
+        marks = _spread(_candidates(sample, CANDIDATES), landmarks)
+        # without START they are found inside other words
+        machine = Machine(marks + [w for w in dict.fromkeys(m[1:] for m in marks) if len(w) > LENGTH])
+        if not machine.landmarks:
+            return Machine([])
+        m = len(machine.landmarks)
+        close = machine.marks.alike(machine.landmarks).astype(np.float64)
+        close = (close + close.T) / 2 + 1e-3 * np.eye(m)
+        value, vector = np.linalg.eigh(close)
+        root = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
+        first = np.ones(m)
+        with reused(_sentences(sample, docs.sparkSession.sparkContext.broadcast(machine))) as bags:
+            for _ in range(ROUNDS):
+                x, y, share = _instances(bags, first)
+                if len(set(y.tolist())) < 2:
+                    return machine
+                total = np.where(y > 0, share[y > 0].sum(), share[y < 0].sum())  # documents of the class
+                docs_drawn = share.sum()
+                w, machine.bias = _svm(x @ root, y, share / total * docs_drawn / 2)
+                first = machine.weights = root @ w
+            y, margin = _margins(bags, machine)
     machine.slope, machine.shift = _platt(margin, y, np.where(y > 0, *true_weight))
     return machine
 
