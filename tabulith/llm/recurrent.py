@@ -4,7 +4,8 @@ A word's probability is that of its class, given by the network from all words b
 class. The most frequent words are classes of their own; all others share classes by their last two bytes. Shares come
 from counts over all training documents; each class keeps the mass of its words seen once for words
 never seen. The network is fitted by truncated backpropagation on all training documents, in replicas whose number
-grows with the words and whose weights are averaged after each round; scoring carries its state through whole documents.
+grows with the words and whose weights are averaged after each round; each round takes the next part of every replica's documents, so that
+all are learned from once (or ``passes`` times). Scoring carries its state through whole documents.
 
 Counts of frequent words, of which there is a fixed number, travel to the tasks; rarer words of a document
 are joined with the count table. A null or empty text is its end token alone. Repeated rows each get a row. Without training
@@ -37,7 +38,7 @@ END = OWN_CLASS + SUFFIX_CLASSES  # class of the end token
 CLASSES = END + 1
 HIDDEN = 24
 HEAD_WORDS = 400_000  # words whose counts travel to every task, 18 bytes each
-WINDOW, LANES, RATE = 24, 48, 0.01
+WINDOW, LANES, RATE = 24, 96, 0.01
 SCORE_LANES = 256
 SCORE_STEPS = 16
 SCORE_BYTES = 8 << 20  # text scored at once
@@ -111,40 +112,104 @@ class Net:
         logits -= logits.max(-1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
 
-    def gradient(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, weight: np.ndarray):
-        """(gradients, last state) of one window of time x lane arrays; the state before it is taken as given."""
-        steps, past = [], []
-        x, resets = self.embed[inputs], fresh.any(1)
-        for t in range(len(inputs)):
+
+class Backward:
+    """Gradients of one network over windows of time x lane arrays, in buffers that are made once.
+
+    Arrays are hidden x lane, so that gates are contiguous slices and every step works on a few kilobytes in place.
+    """
+
+    def __init__(self, net: Net, lanes: int):
+        self.net, self.lanes = net, lanes
+        shape = (WINDOW, HIDDEN, lanes)
+        self.past, self.n, self.gn, self.states, self.to_state = (np.empty(shape, np.float32) for _ in range(5))
+        self.zr = np.empty((WINDOW, 2 * HIDDEN, lanes), np.float32)
+        self.to_x = np.empty((3 * HIDDEN, WINDOW, lanes), np.float32)
+        self.x, self.g, self.dg = (np.empty((3 * HIDDEN, lanes), np.float32) for _ in range(3))
+        self.later, self.work = (np.empty((HIDDEN, lanes), np.float32) for _ in range(2))
+        self.wrong, self.places = np.empty((CLASSES, lanes), np.float32), np.arange(lanes)
+
+    def __call__(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, weight: np.ndarray):
+        """(gradients, last state) of one window of time x lane arrays; the state before it, hidden x lane, is taken as given."""
+        net, steps = self.net, len(inputs)
+        resets, keep = fresh.any(1), (~fresh).astype(np.float32)
+        self._forward(h, inputs, keep, resets)
+        d_out, d_bias = self._outputs(targets, weight, steps)
+        d_recur = np.zeros_like(net.recur)
+        later, work, dg, one = self.later, self.work, self.dg, np.float32(1)
+        later[:] = 0
+        for t in range(steps - 1, -1, -1):
+            z, r, n = self.zr[t, :HIDDEN], self.zr[t, HIDDEN:], self.n[t]
+            later += self.to_state[t]
+            dz, dr, dn = dg[:HIDDEN], dg[HIDDEN:2 * HIDDEN], dg[2 * HIDDEN:]
+            np.subtract(one, z, out=work)
+            np.subtract(self.past[t], n, out=dz)
+            dz *= z
+            dz *= work
+            dz *= later
+            np.multiply(n, n, out=dn)
+            np.subtract(one, dn, out=dn)
+            dn *= work
+            dn *= later
+            np.subtract(one, r, out=dr)
+            dr *= r
+            dr *= self.gn[t]
+            dr *= dn
+            self.to_x[:, t] = dg
+            dn *= r
+            later *= z
+            np.matmul(net.recur, dg, out=work)
+            later += work
             if resets[t]:
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            past.append(h)
-            steps.append(self.move(h, x[t]))
-            h = steps[-1][0]
-        states = np.stack([s[0] for s in steps])
-        wrong = np.exp(self.log_classes(states))
-        np.put_along_axis(wrong, targets[..., None], np.take_along_axis(wrong, targets[..., None], -1) - 1, -1)
-        wrong *= weight[..., None] / max(1.0, float(weight.sum()))
-        d_out = np.tensordot(states, wrong, ([0, 1], [0, 1]))
-        d_states = wrong @ self.out.T
-        later = np.zeros_like(h)
-        to_x, to_g = np.empty_like(x), np.empty_like(x)
-        for t in range(len(inputs) - 1, -1, -1):
-            _, z, r, n, gn = steps[t]
-            dh = d_states[t] + later
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (past[t] - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            np.concatenate([dz, dr, dn], 1, to_x[t])
-            np.concatenate([dz, dr, dn * r], 1, to_g[t])
-            later = to_g[t] @ self.recur.T + dh * z
+                later *= keep[t]
+            d_recur += self.past[t] @ dg.T
+        order = np.argsort(inputs, axis=None, kind="stable")
+        classes, first = np.unique(inputs.ravel()[order], return_index=True)
+        d_embed = np.zeros_like(net.embed)
+        d_embed[classes] = np.add.reduceat(np.take(self.to_x[:, :steps].reshape(3 * HIDDEN, -1), order, 1), first, axis=1).T
+        return [d_embed, d_recur, d_out, d_bias], self.states[steps - 1].copy()
+
+    def _forward(self, h: np.ndarray, inputs: np.ndarray, keep: np.ndarray, resets: np.ndarray) -> None:
+        net, x, g = self.net, self.x, self.g
+        embed, recur = np.ascontiguousarray(net.embed.T), np.ascontiguousarray(net.recur.T)
+        for t in range(len(inputs)):
+            past, zr, n = self.past[t], self.zr[t], self.n[t]
+            past[:] = h
             if resets[t]:
-                later = np.where(fresh[t][:, None], 0, later)
-        chosen = np.zeros((inputs.size, CLASSES), x.dtype)
-        chosen[np.arange(inputs.size), inputs.ravel()] = 1
-        d_embed = chosen.T @ to_x.reshape(inputs.size, -1)
-        d_recur = np.tensordot(np.stack(past), to_g, ([0, 1], [0, 1]))
-        return [d_embed, d_recur, d_out, wrong.sum((0, 1))], h
+                past *= keep[t]
+            np.matmul(recur, past, out=g)
+            np.take(embed, inputs[t], 1, out=x, mode="clip")
+            self.gn[t] = g[2 * HIDDEN:]
+            np.add(x[:2 * HIDDEN], g[:2 * HIDDEN], out=zr)
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            np.multiply(zr[HIDDEN:], self.gn[t], out=n)
+            n += x[2 * HIDDEN:]
+            np.tanh(n, out=n)
+            h = self.states[t]
+            np.subtract(past, n, out=h)
+            h *= zr[:HIDDEN]
+            h += n
+
+    def _outputs(self, targets: np.ndarray, weight: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the output layer; what goes back to the states is kept in ``to_state``."""
+        net, wrong = self.net, self.wrong
+        d_out, d_bias = np.zeros_like(net.out), np.zeros_like(net.bias)
+        into, bias = np.ascontiguousarray(net.out.T), net.bias[:, None]
+        scale = (weight / max(1.0, float(weight.sum()))).astype(np.float32)
+        for t in range(steps):
+            np.matmul(into, self.states[t], out=wrong)
+            wrong += bias
+            wrong -= wrong.max(0)
+            np.exp(wrong, out=wrong)
+            wrong *= scale[t] / wrong.sum(0)
+            wrong[targets[t], self.places] -= scale[t]
+            d_out += self.states[t] @ wrong.T
+            d_bias += wrong.sum(1)
+            np.matmul(net.out, wrong, out=self.to_state[t])
+        return d_out, d_bias
 
 
 def _lanes(sequences: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,11 +251,12 @@ def train(net: Net, runs: Iterable[list[np.ndarray]], rate: float) -> int:
         inputs = np.vstack([np.full((1, classes.shape[1]), END), classes[:-1]])
         inputs[first] = END
         real = (owner >= 0).astype(np.float32)
-        h = np.zeros((classes.shape[1], HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, classes.shape[1]), np.float32)
+        gradient = Backward(net, classes.shape[1])
         for low in range(0, len(classes), WINDOW):
             k += 1
             part = slice(low, low + WINDOW)
-            grads, h = net.gradient(h, inputs[part], classes[part], first[part], real[part])
+            grads, h = gradient(h, inputs[part], classes[part], first[part], real[part])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
             for x, g, m, v in zip(net.arrays(), grads, mean, square):
                 g = g * min(1.0, 1.0 / max(norm, 1e-9))
@@ -327,25 +393,30 @@ def _averaged(found: DataFrame, replicas: int) -> tuple[int, np.ndarray] | None:
     return _average(rows) if rows.num_rows else None
 
 
-def fit_network(training: DataFrame, key: str, text: str, words, rounds: int = TRAIN_ROUNDS) -> tuple[Net, int]:
-    """(network, words a round learned from): weights averaged over replicas, each trained on its share of all
-    documents, round after round."""
+def fit_network(training: DataFrame, key: str, text: str, words, rounds: int = TRAIN_ROUNDS, passes: int = 1) -> tuple[Net, int]:
+    """(network, words learned from in all rounds): weights averaged over replicas after each round.
+
+    Documents are dealt to replicas, and within each to rounds: over all rounds every document is learned from ``passes`` times,
+    at most once a round.
+    """
     spark = training.sparkSession
     mass = words.value.class_total + words.value.unseen
     net, tokens = Net.fresh(np.log(np.maximum(mass, 1) / np.maximum(mass, 1).sum())), 0
     replicas = max(REPLICAS, -(-words.value.tokens // REPLICA_TOKENS))
     dealt = cut_lineage(_coded(training, key, text, words).repartition(replicas, "deal").sortWithinPartitions("deal"))
+    turn = F.pmod(F.xxhash64("deal"), F.lit(rounds))
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(net.flat())
+        part = dealt.where(F.pmod(turn - k, F.lit(rounds)) < passes)
 
         def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = Net.from_flat(shared.value.copy())
             n = train(own, _runs(batches, 1), RATE / (1 + k))
             if n:
                 yield _weights(TaskContext.get().partitionId(), n, own.flat())
-        found = _averaged(dealt.mapInArrow(replica, _WEIGHTS), replicas)
+        found = _averaged(part.mapInArrow(replica, _WEIGHTS), replicas)
         if found:
-            tokens, net = found[0], Net.from_flat(found[1])
+            tokens, net = tokens + found[0], Net.from_flat(found[1])
     return net, tokens
 
 
@@ -391,7 +462,7 @@ def _score_rows(docs: DataFrame, key: str, text: str, words, net) -> DataFrame:
     return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text)).mapInArrow(rows, _SCORED)
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", passes: int = 1) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of each row of ``docs``: log10 probabilities of whole
     texts by word frequencies and by the network, both from ``training``."""
     spark = docs.sparkSession
@@ -399,7 +470,7 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     counted = write_out(count_words(training, text), "word-counts")
     words = _vocabulary(counted, n_docs)
     shared = spark.sparkContext.broadcast(words)
-    net = spark.sparkContext.broadcast(fit_network(training, key, text, shared)[0].flat())
+    net = spark.sparkContext.broadcast(fit_network(training, key, text, shared, passes=passes)[0].flat())
     rows = write_out(_score_rows(docs, key, text, shared, net), "scores")
     unseen = F.array(*[F.lit(float(max(x, 1))) for x in words.unseen])
     rare = rows.select("uid", F.inline("rare")).join(counted.select("h", "c"), "h", "left")

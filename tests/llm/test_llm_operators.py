@@ -357,7 +357,7 @@ def test_network_gradient():
             s = net.step(np.where(fresh[t][:, None], 0, s), inputs[t])[0]
             total -= np.take_along_axis(net.log_classes(s), targets[t][:, None], 1).sum()
         return total / 18
-    grads, _ = net.gradient(h, inputs, targets, fresh, weight)
+    grads, _ = recurrent.Backward(net, 3)(h.T, inputs, targets, fresh, weight)
     for x, g in zip(net.arrays(), grads):
         for at in rng.integers(0, x.size, 6):
             i = np.unravel_index(int(np.abs(g).argmax() if at % 2 else at), x.shape)
@@ -367,7 +367,7 @@ def test_network_gradient():
             x[i] = keep - step
             down = loss()
             x[i] = keep
-            assert abs((up - down) / (2 * step) - g[i]) < 1e-5 + 1e-3 * abs(g[i])
+            assert abs((up - down) / (2 * step) - g[i]) < 1e-4 + 1e-3 * abs(g[i])  # single precision
 
 
 def test_likelihood_does_not_depend_on_the_batch():
