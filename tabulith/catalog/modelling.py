@@ -139,10 +139,10 @@ def _boosted(fit):
     return run
 
 
-query("fit_adaboost")(_boosted(lambda t: boosting.adaboost(t, "quality", BOOST_FEATURES, rounds=5)))
-query("fit_newton_boost")(_boosted(lambda t: boosting.newton_boost(t, "quality", BOOST_FEATURES, ["doc_id"], trees=5, depth=3)))
+query("fit_adaboost")(_boosted(lambda t: boosting.adaboost(t, "quality", BOOST_FEATURES)))
+query("fit_newton_boost")(_boosted(lambda t: boosting.newton_boost(t, "quality", BOOST_FEATURES, ["doc_id"], trees=30)))
 query("fit_newton_boost_leafwise")(_boosted(lambda t: boosting.newton_boost(
-    t, "quality", BOOST_FEATURES, ["doc_id"], trees=5, depth=4, growth="leaf", leaves=7, lam=0.0, min_weight=1e-3, min_rows=20, subsample=1.0)))
+    t, "quality", BOOST_FEATURES, ["doc_id"], trees=12, growth="leaf", lam=0.0, min_weight=1e-3, min_rows=20, subsample=1.0)))
 
 
 @query("feature_importance")
@@ -154,13 +154,13 @@ def feature_importance(spark, d):
 @query("boosted_importance")
 def boosted_importance(spark, d):
     rows = boosted_rows(spark, d)
-    model = boosting.newton_boost(rows, "quality", BOOST_FEATURES, ["doc_id"], trees=4, depth=3)
+    model = boosting.newton_boost(rows, "quality", BOOST_FEATURES, ["doc_id"], trees=10)
     return rounded(model.feature_importance(rows))
 
 
 @query("run_trees")
 def run_trees(spark, d):
-    sizes = {"Random Forest": 20, "AdaBoost": 2, "Gradient Boosting": 5, "XGBoost": 1, "LightGBM": 1}
+    sizes = {"Random Forest": 20, "AdaBoost": 10, "Gradient Boosting": 5, "XGBoost": 4, "LightGBM": 3}
     return modelling.run_trees(labelled_documents(spark, d), ["doc_id"], NUMBERS + TEXTS, "quality", sizes=sizes)[0]
 
 

@@ -1,20 +1,23 @@
 """Boosted histogram trees on DataFrames: AdaBoost and second-order (Newton) boosting.
 
-Features are cut into quantile bins once. Growing one level of a tree is one aggregation
-of (node, feature, bin) over the whole table with partial sums per task. What reaches the
-driver is that histogram, whose size depends on nodes, features and bins (and is checked),
-never on the rows.
+Features are cut into quantile bins once; the rows stay cached with their bins, label and current margin or weight. Growing a tree by
+one level is one job: tasks route their rows through the tree so far and sum histograms of (feature, bin) for the
+smaller child of every split; the sums of all tasks meet by node, where the larger child's histogram is the stored one of the parent minus the
+smaller child's, and where each node's best split is chosen. Only one row per node reaches the driver. A finished tree moves
+the margins or weights in the next job that reads the rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import random
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +25,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column, sigmoid
 from ..runtime import cut_lineage, small_frame
-from .ordering import _edges, hash_uniform
+from .ordering import _edges
 from .trees import importance_table
 
-MAX_HISTOGRAM = 4_000_000  # cells per level that may reach the driver
+ROW_BLOCK = 500_000  # rows of a cached partition
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, value double, gain double"
 
 
@@ -39,6 +42,8 @@ class Node:
     gain: float = 0.0
     left: "Node | None" = None
     right: "Node | None" = None
+    a: float = 0.0  # sums over the node's rows
+    b: float = 0.0
 
     def all(self) -> Iterator["Node"]:
         yield self
@@ -47,13 +52,6 @@ class Node:
                 yield from child.all()
 
 
-def _route(node: Node, leaf) -> Column:
-    """Nested CASE over the bin columns; ``leaf(node)`` gives the value at the end of the path."""
-    if node.left is None or node.right is None:
-        return leaf(node)
-    return F.when(F.col(f"_b{node.feature}") <= node.bin, _route(node.left, leaf)).otherwise(_route(node.right, leaf))
-
-
 def _bin_features(df: DataFrame, features: Sequence[str], max_bins: int) -> tuple[DataFrame, list[list[float]]]:
     """Add small-integer columns _b0.. ; a missing value falls into the last bin and so goes right."""
     names = [f"_f{i}" for i, _ in enumerate(features)]
@@ -83,79 +81,262 @@ def gini_gain(left_a, left_b, a, b):
     return np.where((left_b > 0) & (right_b > 0), value, -np.inf)
 
 
-def _best_splits(hist: pd.DataFrame, gain, min_rows: int) -> Iterator[tuple]:
-    """Per node: (node, total a, total b, gain, feature, bin, left a, left b) of its best split."""
-    for node, rows in hist.groupby("node"):
-        best, total = None, None
-        for feature, part in rows.groupby("f"):
-            part = part.sort_values("bin")
-            la, lb, ln = (part[c].to_numpy(dtype=float).cumsum() for c in "abn")
-            total = total or (la[-1], lb[-1])
-            with np.errstate(divide="ignore", invalid="ignore"):
-                value = np.nan_to_num(gain(la, lb, la[-1], lb[-1]), nan=-np.inf)
-            # rounded, so that equal splits tie whatever order the sums were taken in
-            value = np.where((ln >= min_rows) & (ln[-1] - ln >= min_rows), np.round(value, 10), -np.inf)[:-1]
-            if len(value) and (best is None or value.max() > best[0]):
-                at = int(value.argmax())
-                best = (float(value[at]), int(feature), int(part["bin"].iloc[at]), float(la[at]), float(lb[at]))
-        yield (int(node), *total, *(best or (-np.inf, -1, -1, 0.0, 0.0)))
-
-
-def grow_tree(frame: DataFrame, a: str, b: str, features: Sequence[int], edges: list[list[float]], depth: int,
-              gain, leaf_value, min_rows: int = 1, max_leaves: int | None = None, min_gain: float = 1e-12) -> Node:
-    """Grow one tree on columns ``a`` and ``b`` (their sums decide gains and leaf values). One job per level.
-
-    ``max_leaves`` keeps the splits a best-leaf-first growth would have made: the best
-    split of a node does not depend on the order of growth, so all are found level by
-    level and then taken in order of gain.
+@dataclass
+class Trunk:
+    """A tree as arrays, for routing binned rows."""
+
+    feature: np.ndarray
+    bin: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+
+    @staticmethod
+    def of(root: Node) -> "Trunk":
+        nodes = sorted(root.all(), key=lambda n: n.id)
+        at = {n.id: i for i, n in enumerate(nodes)}
+        own = np.arange(len(nodes))
+        left, right = own.copy(), own.copy()
+        for i, n in enumerate(nodes):
+            if n.left is not None:
+                left[i], right[i] = at[n.left.id], at[n.right.id]
+        return Trunk(np.array([n.feature if n.left is not None else -1 for n in nodes]), np.array([n.bin for n in nodes]), left, right,
+                     np.array([n.value for n in nodes]))
+
+    def places(self, bins: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
+        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        while True:
+            f = self.feature[at]
+            if not (f >= 0).any():
+                return at
+            at = np.where(f < 0, at, np.where(bins[rows, np.maximum(f, 0)] <= self.bin[at], self.left[at], self.right[at]))
+
+
+@dataclass
+class Rows:
+    """The cached rows: ``bins`` array<smallint>, ``y`` double, ``key`` bigint (a hash of the row's id), ``m`` double (margin or weight)."""
+
+    frame: DataFrame
+    width: int
+    edges: list[list[float]]
+    older: list[DataFrame] = field(default_factory=list)
+
+    @staticmethod
+    def of(labelled: DataFrame, label: str, features: Sequence[str], ids: Sequence[str], max_bins: int, start: float) -> "Rows":
+        binned, edges = _bin_features(labelled, features, max_bins)
+        key = F.xxhash64(*[as_column(c) for c in ids]) if ids else F.lit(0).cast("bigint")
+        frame = binned.select(F.array(*[f"_b{i}" for i, _ in enumerate(features)]).alias("bins"),
+                              as_column(label).cast("double").alias("y"), key.alias("key"), F.lit(float(start)).alias("m"))
+        size = frame.count()
+        # blocks that a task reads in a second or so: few rows are not worth many tasks per level
+        return Rows(_settle(frame.repartition(max(1, -(-size // ROW_BLOCK)))), len(features), edges)
+
+    def move(self, change: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], settle: bool) -> None:
+        """Replace ``m`` by change(bins, y, m); the job that reads the rows next does the work, unless they are settled now."""
+        width = self.width
+
+        def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bins, y, m = _arrays(batch, width)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(change(bins, y, m), pa.float64())], batch.schema.names)
+        after = self.frame.mapInArrow(moved, self.frame.schema)
+        if settle:
+            self.older.append(self.frame)
+            self.frame = _settle(after)
+            self.release()
+        else:
+            self.older.append(self.frame)
+            self.frame = after.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def release(self) -> None:
+        """Give back the memory of states that were replaced, once a job has read the present one."""
+        _give_back(self.older)
+
+    def close(self) -> None:
+        self.release()
+        self.frame.unpersist()
+
+
+def _arrays(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bins = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+    return bins, batch.column(1).to_numpy(), batch.column(3).to_numpy()
+
+
+def _drawn(key: np.ndarray, seed: int, share: float) -> np.ndarray:
+    """Which rows a tree sees: a fresh draw per seed from the rows' hashes."""
+    with np.errstate(over="ignore"):
+        h = key.view(np.uint64) + np.uint64(seed % (1 << 31) + 1) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(31))) < np.uint64(min(share * 2.0**64, 2.0**64 - 2048))
+
+
+def best_split(hist: np.ndarray, gain, min_rows: int) -> tuple[float, int, int, float, float, float]:
+    """(gain, feature's place, bin, left a, left b, left rows) of a node's best split; ``hist`` is (a, b, rows) x feature x bin."""
+    left = hist.cumsum(2)
+    total = left[:, :, -1:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        value = np.nan_to_num(gain(left[0], left[1], total[0], total[1]), nan=-np.inf)
+    # rounded, so that equal splits tie whatever order the sums were taken in
+    enough = (left[2] >= min_rows) & (total[2] - left[2] >= min_rows)
+    value = np.where(enough, np.round(value, 10), -np.inf)[:, :-1]
+    if not value.size:
+        return -np.inf, -1, -1, 0.0, 0.0, 0.0
+    f, at = np.unravel_index(int(value.argmax()), value.shape)
+    return float(value[f, at]), int(f), int(at), *(float(left[i, f, at]) for i in range(3))
+
+
+_PARTS = "node int, sibling int, whole boolean, hist binary"
+_SPLITS = ("node int, hist binary, a double, b double, n double, gain double, feature int, bin int, left_a double, left_b double, "
+           "left_n double")
+
+
+def _level(rows: Rows, trunk: Trunk, wanted: dict[int, tuple[int, int]], before: DataFrame | None, columns: Sequence[int], gradient,
+           gain, min_rows: int, seed: int, subsample: float) -> DataFrame:
+    """Histograms and best splits of the nodes ``wanted``: place of the smaller child -> (its number, its sibling's or -1)."""
+    depth = max(len(rows.edges[f]) for f in columns)  # bins, one more for gaps
+    shape, width = (3, len(columns), depth), rows.width
+    slots = np.full(len(trunk.feature), -1)
+    slots[list(wanted)] = np.arange(len(wanted))
+    names = list(wanted.values())
+    chosen = np.array(columns)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, len(columns), len(names) * depth))
+        for batch in batches:
+            bins, y, m = _arrays(batch, width)
+            slot = slots[trunk.places(bins)]
+            inside = slot >= 0
+            if subsample < 1:
+                inside &= _drawn(batch.column(2).to_numpy(), seed, subsample)
+            some = np.flatnonzero(inside)
+            a, b = gradient(y[some], m[some])
+            cell = slot[some, None] * depth + bins[some][:, chosen]
+            for f in range(len(columns)):
+                for i, weight in enumerate((a, b, None)):
+                    sums[i, f] += np.bincount(cell[:, f], weight, len(names) * depth)
+        parts = [np.ascontiguousarray(sums[:, :, s * depth:(s + 1) * depth]) for s in range(len(names))]
+        kept = [s for s, p in enumerate(parts) if p[2].any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([names[s][0] for s in kept], pa.int32()), pa.array([names[s][1] for s in kept], pa.int32()),
+             pa.array([False] * len(kept)), pa.array([parts[s].tobytes() for s in kept], pa.binary())],
+            ["node", "sibling", "whole", "hist"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small: dict[tuple[int, int], np.ndarray] = {}
+        whole: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for node, sibling, is_whole, h in zip(*(c.to_pylist() for c in batch.columns)):
+                found = np.frombuffer(h).reshape(shape)
+                into = whole if is_whole else small
+                into[node, sibling] = into[node, sibling] + found if (node, sibling) in into else found
+        out = []
+        for node, sibling in small.keys() | whole.keys():
+            own = small.get((node, sibling), np.zeros(shape))
+            pair = [(node, own)]
+            if sibling >= 0:
+                pair.append((sibling, whole[node, sibling] - own))
+            for number, hist in pair:
+                a, b, n = hist[:, 0].sum(1)
+                out.append((number, hist.tobytes(), a, b, n, *best_split(hist, gain, min_rows)))
+        if out:
+            kinds = [pa.int32(), pa.binary(), *[pa.float64()] * 4, pa.int32(), pa.int32(), *[pa.float64()] * 3]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                             [f.split()[0] for f in _SPLITS.split(", ")])
+    parts = rows.frame.mapInArrow(partial, _PARTS)
+    if before is not None:
+        parts = parts.unionByName(before)
+    most = int(rows.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(min(most, len(wanted)), "node").mapInArrow(meet, _SPLITS)
+
+
+def _chosen(root: Node, splits: dict[int, dict], depth: int | None, leaves: int | None, min_gain: float,
+            level: dict[int, int]) -> list[Node]:
+    """Nodes to split: all worth it down to ``depth``, or those that best-leaf-first growth with ``leaves`` leaves would split,
+    of the nodes known so far."""
+    def worth(node):
+        return node.id in splits and splits[node.id]["gain"] > min_gain and (depth is None or level[node.id] < depth)
+    if leaves is None:
+        return [n for n in root.all() if worth(n)]
+    heap, taken = [(-splits[root.id]["gain"], root.id, root)] if worth(root) else [], []
+    while heap and len(taken) + 1 < leaves:
+        node = heapq.heappop(heap)[2]
+        taken.append(node)
+        for child in (node.left, node.right):
+            if child is not None and worth(child):
+                heapq.heappush(heap, (-splits[child.id]["gain"], child.id, child))
+    return taken
+
+
+def _parents(held: Sequence[DataFrame], pairs: dict[int, tuple[int, int]]) -> DataFrame:
+    """Stored histograms of the nodes that were split, under the numbers of their children."""
+    every = held[0]
+    for more in held[1:]:
+        every = every.unionByName(more)
+    small, large = (F.create_map(*[F.lit(x) for node, pair in pairs.items() for x in (node, pair[i])])[F.col("node")] for i in (0, 1))
+    return every.select(small.cast("int").alias("node"), large.cast("int").alias("sibling"), F.lit(True).alias("whole"), "hist").where(
+        F.col("node").isNotNull())
+
+
+def grow_tree(rows: Rows, columns: Sequence[int], gradient, gain, leaf_value, depth: int | None, min_rows: int = 1,
+              max_leaves: int | None = None, min_gain: float = 1e-12, seed: int = 0, subsample: float = 1.0) -> Node:
+    """Grow one tree on the sums of ``gradient(y, m)`` = (a, b), which decide gains and leaf values. One job per level.
+
+    With ``max_leaves`` splits are made as best-leaf-first growth makes them. A node's best split does not depend on the
+    order of growth, so a round evaluates the children of all splits such a growth would make as far as it is known.
     """
-    size = 2 ** (depth - 1) * sum(len(edges[i]) for i in features)
-    if size > MAX_HISTOGRAM:
-        raise ValueError(f"{size} histogram cells per level; use fewer bins or less depth")
     root = Node(0, 0.0)
-    open_nodes = {0: root}
-    for level in range(depth):
-        placed = frame.withColumn("_node", _route(root, lambda n: F.lit(n.id)))
-        if level:
-            placed = placed.where(F.col("_node").isin(*open_nodes))
-        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_b{i}").alias("bin")) for i in features]))
-        hist = (placed.select(F.col("_node").alias("node"), F.col(a).alias("a"), F.col(b).alias("b"), cells.alias("c"))
-                .groupBy("node", "c.f", "c.bin").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("n")))
-        following = {}
-        for number, ta, tb, value, feature, at, la, lb in _best_splits(hist.toPandas(), gain, min_rows):
-            node = open_nodes[number]
-            if level == 0:
-                node.value = leaf_value(ta, tb)
-            if value <= min_gain:
-                continue
-            node.feature, node.bin, node.gain = feature, at, value
-            node.threshold = edges[feature][at + 1]
-            node.left = Node(2 * node.id + 1, leaf_value(la, lb))
-            node.right = Node(2 * node.id + 2, leaf_value(ta - la, tb - lb))
-            following |= {node.left.id: node.left, node.right.id: node.right}
-        open_nodes = following
-        if not open_nodes:
-            break
+    splits, level, nodes, held, before = {}, {0: 0}, {0: root}, [], None
+    wanted = {0: (0, -1)}
+    while wanted:
+        found = _level(rows, Trunk.of(root), wanted, before, columns, gradient, gain, min_rows, seed, subsample)
+        if depth is None or max(level.values()) + 1 < depth:  # else no node below needs the histograms
+            found = found.persist(StorageLevel.MEMORY_AND_DISK)
+        for r in found.drop("hist").collect():  # one row per node
+            node = nodes[r["node"]]
+            node.a, node.b, node.value = r["a"], r["b"], leaf_value(r["a"], r["b"])
+            splits[node.id] = r
+        if max_leaves is None:  # only the level just found is split next
+            _give_back(held)
+        held.append(found)
+        fresh = [n for n in _chosen(root, splits, depth, max_leaves, min_gain, level) if n.left is None]
+        pairs = {}
+        for node in fresh:
+            r = splits[node.id]
+            node.gain, node.feature, node.bin = r["gain"], columns[r["feature"]], r["bin"]
+            node.threshold = rows.edges[node.feature][node.bin + 1]
+            la, lb = r["left_a"], r["left_b"]
+            node.left = Node(len(nodes), leaf_value(la, lb), a=la, b=lb)
+            node.right = Node(len(nodes) + 1, leaf_value(node.a - la, node.b - lb), a=node.a - la, b=node.b - lb)
+            for child in (node.left, node.right):
+                nodes[child.id], level[child.id] = child, level[node.id] + 1
+            if depth is None or level[node.id] + 1 < depth:
+                small, large = (node.left, node.right) if 2 * r["left_n"] <= r["n"] else (node.right, node.left)
+                pairs[node.id] = (small.id, large.id)
+        wanted = {small: (small, large) for small, large in pairs.values()}
+        before = _parents(held, pairs) if pairs else None
+    _give_back(held)
     if max_leaves is not None:
-        _keep_best_first(root, max_leaves)
+        kept = {n.id for n in _chosen(root, splits, depth, max_leaves, min_gain, level)}
+        for node in list(root.all()):
+            if node.left is not None and node.id not in kept:
+                node.left = node.right = None
     return root
 
 
-def _keep_best_first(root: Node, max_leaves: int) -> None:
-    """Undo every split that best-leaf-first growth with ``max_leaves`` leaves would not have made."""
-    waiting, kept, leaves = [root], set(), 1
-    while leaves < max_leaves:
-        splittable = [n for n in waiting if n.left is not None]
-        if not splittable:
-            break
-        node = max(splittable, key=lambda n: (n.gain, -n.id))
-        waiting.remove(node)
-        kept.add(node.id)
-        waiting += [node.left, node.right]
-        leaves += 1
-    for node in list(root.all()):
-        if node.left is not None and node.id not in kept:
-            node.left = node.right = None
+def _give_back(held: list[DataFrame]) -> None:
+    while held:
+        held.pop().unpersist()
+
+
+def _settle(frame: DataFrame) -> DataFrame:
+    """Write the state of the loop out, so that neither its plan nor its history grows, and keep it at hand."""
+    return cut_lineage(frame).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _depth(node: Node) -> int:
+    return 0 if node.left is None else 1 + max(_depth(node.left), _depth(node.right))
 
 
 @dataclass
@@ -178,7 +359,7 @@ class TreeEnsemble:
                         np.array([n.threshold for n in nodes]),
                         np.array([at[id(n.left)] if s else i for i, (n, s) in enumerate(zip(nodes, split))]),
                         np.array([at[id(n.right)] if s else i for i, (n, s) in enumerate(zip(nodes, split))]),
-                        np.array([n.value for n in nodes]), max(int(math.log2(n.id + 1)) for n in nodes)))
+                        np.array([n.value for n in nodes]), _depth(root)))
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -276,26 +457,23 @@ def _settle(frame: DataFrame, old: DataFrame | None = None) -> DataFrame:
 
 
 def adaboost(train: DataFrame, label: str, features: Sequence[str], rounds: int = 150, rate: float = 0.8,
-             depth: int = 1, max_bins: int = 64, checkpoint_every: int = 5) -> TreeEnsemble:
+             depth: int = 1, max_bins: int = 64, checkpoint_every: int = 10) -> TreeEnsemble:
     """Discrete AdaBoost of Gini trees on a 0/1 label.
 
     A round with weighted error e gets the weight rate * ln((1 - e) / e); rows it gets wrong
-    gain that much in log-weight. It stops at e = 0 or e >= 1/2. Two jobs per tree level and round.
+    gain that much in log-weight. It stops at e = 0 or e >= 1/2. One job per tree level and round: the error
+    follows from the sums of the leaves.
     """
-    binned, edges = _bin_features(train.where(as_column(label).isNotNull()), features, max_bins)
-    bins = [f"_b{i}" for i, _ in enumerate(features)]
-    state = _settle(binned.select(*bins, as_column(label).cast("double").alias("_y"), F.lit(1.0).alias("_w")))
-    frame = state  # the state and the rounds since it was written, as one expression
+    rows = Rows.of(train.where(as_column(label).isNotNull()), label, features, (), max_bins, 1.0)
     model = TreeEnsemble(list(features), 0.0, "vote")
     for r in range(1, rounds + 1):
-        weighted = frame.withColumn("_a", F.col("_w") * F.col("_y"))
-        tree = grow_tree(weighted, "_a", "_w", range(len(features)), edges, depth, gini_gain,
-                         lambda a, b: 1.0 if b and a / b > 0.5 else -1.0)
-        sign = _route(tree, lambda n: F.lit(n.value))
-        wrong = (sign > 0) != (F.col("_y") == 1)
-        row = frame.agg(F.sum(F.when(wrong, F.col("_w")).otherwise(0.0)).alias("e"), F.sum("_w").alias("w")).first()
-        error = row["e"] / row["w"]
-        if error <= 0:
+        tree = grow_tree(rows, range(len(features)), lambda y, w: (w * y, w), gini_gain,
+                         lambda a, b: 1.0 if b and a / b > 0.5 else -1.0, depth)
+        rows.release()
+        if not tree.b:
+            break
+        error = sum(n.b - n.a if n.value > 0 else n.a for n in tree.all() if n.left is None) / tree.b
+        if error <= 1e-12:
             model.trees.append((1.0, tree))
             break
         if error >= 0.5:
@@ -304,48 +482,49 @@ def adaboost(train: DataFrame, label: str, features: Sequence[str], rounds: int
             break
         alpha = rate * math.log((1 - error) / error)
         model.trees.append((alpha, tree))
-        scale = 1.0 / row["w"]
-        frame = frame.withColumn("_w", F.col("_w") * scale * F.when(wrong, F.lit(math.exp(alpha))).otherwise(1.0))
-        if r % checkpoint_every == 0 and r < rounds:
-            frame = state = _settle(frame, state)
-    state.unpersist()
+
+        def reweigh(bins, y, w, trunk=Trunk.of(tree), scale=1.0 / tree.b, factor=math.exp(alpha)):
+            wrong = (trunk.value[trunk.places(bins)] > 0) != (y == 1)
+            return w * scale * np.where(wrong, factor, 1.0)
+        if r < rounds:
+            rows.move(reweigh, settle=r % checkpoint_every == 0)
+    rows.close()
     return model
 
 
 def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Sequence[str], trees: int = 200,
-                 rate: float = 0.05, depth: int = 6, subsample: float = 0.8, colsample: float = 0.8, lam: float = 1.0,
+                 rate: float = 0.05, depth: int | None = None, subsample: float = 0.8, colsample: float = 0.8, lam: float = 1.0,
                  min_weight: float = 1.0, min_rows: int = 1, growth: str = "level", leaves: int = 31,
-                 max_bins: int = 64, seed: int = 42, checkpoint_every: int = 5) -> TreeEnsemble:
+                 max_bins: int = 64, seed: int = 42, checkpoint_every: int = 10) -> TreeEnsemble:
     """Second-order boosting of the logistic loss on a 0/1 label.
 
     Each tree sees a fresh ``subsample`` of the rows (drawn by row hash) and ``colsample`` of
-    the columns; a leaf's value is -sum(g) / (sum(h) + lam). ``growth="leaf"`` keeps the
-    ``leaves`` best leaves instead of the whole tree. One job per level and one per tree.
+    the columns; a leaf's value is -sum(g) / (sum(h) + lam). Level-wise trees are ``depth`` (6) deep; ``growth="leaf"`` grows the
+    ``leaves`` best leaves, at any depth unless one is given. One job per level.
     """
     labelled = train.where(as_column(label).isNotNull())
-    binned, edges = _bin_features(labelled, features, max_bins)
     share = labelled.agg(F.avg(as_column(label).cast("double")).alias("p")).first()["p"]
-    share = min(max(share, 1e-6), 1 - 1e-6)
+    share = min(max(share or 0.0, 1e-6), 1 - 1e-6)
     base = math.log(share / (1 - share))
-    bins = [f"_b{i}" for i, _ in enumerate(features)]
-    keys = [as_column(c).alias(f"_id{i}") for i, c in enumerate(ids)]
-    state = _settle(binned.select(*bins, *keys, as_column(label).cast("double").alias("_y"), F.lit(base).alias("_margin")))
-    frame = state  # the state and the trees since it was written, as one expression
+    rows = Rows.of(labelled, label, features, ids, max_bins, base)
+    depth = 6 if depth is None and growth == "level" else depth
     rng = random.Random(seed)
     model = TreeEnsemble(list(features), base, "logit")
     take = max(1, round(colsample * len(features)))
-    id_names = [f"_id{i}" for i, _ in enumerate(ids)]
+
+    def gradient(y, margin):
+        p = 1 / (1 + np.exp(-margin))
+        return p - y, p * (1 - p)
     for t in range(trees):
         columns = sorted(rng.sample(range(len(features)), take))
-        p = sigmoid("_margin")
-        drawn = frame if subsample >= 1 else frame.where(hash_uniform(id_names, seed + t) < subsample)
-        graded = drawn.select(*bins, (p - F.col("_y")).alias("_g"), (p * (1 - p)).alias("_h"))
-        tree = grow_tree(graded, "_g", "_h", columns, edges, depth, newton_gain(lam, min_weight),
-                         lambda g, h: -g / (h + lam) if h + lam > 0 else 0.0, min_rows,
-                         leaves if growth == "leaf" else None)
+        tree = grow_tree(rows, columns, gradient, newton_gain(lam, min_weight), lambda g, h: -g / (h + lam) if h + lam > 0 else 0.0,
+                         depth, min_rows, leaves if growth == "leaf" else None, seed=seed + t, subsample=subsample)
+        rows.release()
         model.trees.append((rate, tree))
-        frame = frame.withColumn("_margin", F.col("_margin") + F.lit(rate) * _route(tree, lambda n: F.lit(n.value)))
-        if (t + 1) % checkpoint_every == 0 and t + 1 < trees:
-            frame = state = _settle(frame, state)
-    state.unpersist()
+
+        def move(bins, y, margin, trunk=Trunk.of(tree)):
+            return margin + rate * trunk.value[trunk.places(bins)]
+        if t + 1 < trees:
+            rows.move(move, settle=(t + 1) % checkpoint_every == 0)
+    rows.close()
     return model
