@@ -106,7 +106,12 @@ def test_pipeline(spark):
         before = sorted(map(tuple, docs.collect()))
         after = stage(spark, docs, FOLDER)
         if name == "tokens":
-            assert after.count() == len(before)
+            library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+            want = {}
+            for r in before:
+                ids = library.encode(r[1] or "", add_special_tokens=False).ids
+                want[r[0]] = (ids, len(ids), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+            assert {r.doc_id: (r.ids, r.n_tokens, r.decoded_sha256) for r in after.collect()} == want
             break
         assert after.columns == docs.columns
         kept = sorted(map(tuple, after.collect()))
@@ -120,4 +125,4 @@ def test_pipeline(spark):
         if name == "language":
             assert len(kept) > 0.95 * len(before)
         docs = after
-    assert corpus_pipeline.run(spark, FOLDER).columns == ["doc_id", "lang", "source", "ids", "n_tokens"]
+    assert corpus_pipeline.run(spark, FOLDER).columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decoded_sha256"]
