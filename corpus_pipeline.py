@@ -4,7 +4,7 @@ toxicity       documents that the string-kernel machine calls toxic go
 language       documents without letters, or where no language has a clear lead, go
 near_dedup     of each group of near-duplicates the document with the smallest id stays
 decontaminate  documents that a benchmark item's windows contaminate go
-tokens         ids of the word vocabulary, and their number
+tokens         ids of the word vocabulary, their number, and a digest of the text they decode to
 
 All stages but the last return the columns of documents. Empty texts have no language and go in the second
 stage. Near-duplicates share 80 % of their five-word shingles.
@@ -35,9 +35,8 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Fitted on the documents with a language; the language column itself stays as it is."""
     bound_batches(spark)
     answer = mixture.predict(F.col("text"), spark.sparkContext.broadcast(mixture.fit(docs)))
-    kept = docs.withColumn("_answer", answer).where(
-        (F.col("_answer.lang_pred") != "und") & (F.col("_answer.score") >= LEAST_SHARE))
-    return kept.drop("_answer")
+    asked = docs.select(F.struct("*").alias("row"), answer.alias("answer"))
+    return asked.where((F.col("answer.lang_pred") != "und") & (F.col("answer.score") >= LEAST_SHARE)).select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +54,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def with_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, ids, n_tokens)"""
+    """(doc_id, lang, source, ids, n_tokens, decoded_sha256): the last is of the UTF-8 text that the ids decode to."""
     bound_batches(spark)
-    ids = bpe.encode(F.col("text"), public_tokenizers.path("word_bpe_49k.json"))
-    return docs.select("doc_id", "lang", "source", ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("bigint"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = docs.select("doc_id", "lang", "source", bpe.encode(F.col("text"), path).alias("ids"))
+    return coded.select("*", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(bpe.decode(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", without_toxic), ("language", with_language), ("near_dedup", one_of_each_group),
