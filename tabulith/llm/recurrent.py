@@ -270,19 +270,26 @@ def log_likelihood(net: Net, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of the class sequences, each a whole document with its end."""
     out = np.zeros(len(sequences))
     classes, first, owner = _lanes(sequences, SCORE_LANES)
+    filled = (owner >= 0).sum(0)
+    order = np.argsort(-filled, kind="stable")  # lanes that end first stand last and are left out from there on
+    classes, first, owner, filled = classes[:, order], first[:, order], owner[:, order], filled[order]
     h = np.zeros((classes.shape[1], HIDDEN), np.float32)
     before = np.full(classes.shape[1], END)
     for low in range(0, len(classes), SCORE_STEPS):
+        live = int((filled > low).sum())
+        h, before = h[:live], before[:live]
         states = []
         for t in range(low, min(low + SCORE_STEPS, len(classes))):
-            h = np.where(first[t][:, None], np.float32(0), h)
-            h = net.step(h, np.where(first[t], END, before))[0]
+            fresh = first[t, :live]
+            if fresh.any():
+                h, before = np.where(fresh[:, None], np.float32(0), h), np.where(fresh, END, before)
+            h = net.step(h, before)[0]
             states.append(h)
-            before = classes[t]
+            before = classes[t, :live]
         part = slice(low, low + len(states))
-        logs = np.take_along_axis(net.log_classes(np.stack(states)), classes[part][..., None], -1)[..., 0]
-        mine = owner[part] >= 0
-        out += np.bincount(owner[part][mine], logs[mine].astype(np.float64), minlength=len(sequences))
+        logs = np.take_along_axis(net.log_classes(np.stack(states)), classes[part, :live][..., None], -1)[..., 0]
+        mine = owner[part, :live] >= 0
+        out += np.bincount(owner[part, :live][mine], logs[mine].astype(np.float64), minlength=len(sequences))
     return out
 
 
