@@ -1,7 +1,7 @@
 """Neighbour graphs and two- or three-dimensional layouts of them.
 
-The graphs are exact. The layouts are approximate: attraction runs over every edge, while
-repulsion is estimated against a fixed-size sample of positions drawn anew each epoch.
+The graphs are exact. In the layouts attraction runs over every edge and repulsion over all rows,
+far ones gathered by space cells.
 """
 
 from __future__ import annotations
@@ -17,12 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import as_column
 from ..runtime import cut_lineage, small_frame
 from .joins import knn_join
-from .ordering import hash_key
+from .repulsion import fuzzy_force, student_force, summed_forces
 
-# The curve 1 / (1 + a d^(2b)) fitted to a minimum distance of 0.1 at spread 1.
-CURVE_A, CURVE_B = 1.576943460405378, 0.8950608781227859
 NEAREST_SCALE = 1e-3  # smallest width of a kernel relative to the mean neighbour distance
-ESTIMATE_ROWS = 256   # positions sampled per epoch for repulsion
 
 
 def _neighbor_lists(knn: DataFrame) -> DataFrame:
@@ -145,7 +142,7 @@ def start_positions(points: DataFrame, key: str, vector: str, dims: int, spread:
     return moved.select("id", F.array(*[(F.col("y")[i] - F.lit(row[f"m{i}"])) * F.lit(scale) for i in range(dims)]).alias("y"))
 
 
-def _pull(edges: DataFrame, positions: DataFrame, factor) -> DataFrame:
+def _pull(edges: DataFrame, positions: DataFrame, dims: int, factor) -> DataFrame:
     """Summed attraction per row over all its edges: (id, pull)."""
     a = positions.select(F.col("id").alias("src"), F.col("y").alias("ya"))
     b = positions.select(F.col("id").alias("dst"), F.col("y").alias("yb"))
@@ -155,63 +152,62 @@ def _pull(edges: DataFrame, positions: DataFrame, factor) -> DataFrame:
     force = F.transform("gap", lambda v: v * factor(F.col("weight"), F.col("sq")))
     both = F.inline(F.array(F.struct(F.col("src").alias("id"), force.alias("f")),
                             F.struct(F.col("dst").alias("id"), F.transform(force, lambda v: -v).alias("f"))))
-    dims = len(positions.first()["y"])
     return met.select(both).groupBy("id").agg(F.array(*[F.sum(F.col("f")[i]) for i in range(dims)]).alias("pull"))
 
 
-def _sample_positions(positions: DataFrame, epoch: int) -> np.ndarray:
-    rows = positions.orderBy(hash_key(["id"], epoch)).limit(ESTIMATE_ROWS).select("y").collect()
-    return np.array([r["y"] for r in rows])
-
-
-def _fuzzy_push(sample: np.ndarray) -> Column:
-    """Mean repulsion of each row from the sampled positions under the fuzzy-graph curve."""
-    a, b = CURVE_A, CURVE_B
-
-    @F.pandas_udf("array<double>")
-    def push(y: pd.Series) -> pd.Series:
-        gap = np.array(y.tolist())[:, None, :] - sample[None, :, :]
-        sq = (gap**2).sum(2)
-        force = np.where(sq > 0, 2.0 * b / ((0.001 + sq) * (1.0 + a * np.maximum(sq, 1e-12) ** b)), 0.0)
-        return pd.Series(list(np.clip(gap * force[:, :, None], -4, 4).mean(1)))
-
-    return push("y")
-
-
-def _student_push(sample: np.ndarray, every: float) -> Column:
-    """Estimated sum over all rows of the Student-t repulsion and of its kernel."""
-    @F.pandas_udf("struct<f array<double>, z double>")
-    def push(y: pd.Series) -> pd.DataFrame:
-        gap = np.array(y.tolist())[:, None, :] - sample[None, :, :]
-        w = 1.0 / (1.0 + (gap**2).sum(2))
-        return pd.DataFrame({"f": list((gap * (w * w)[:, :, None]).sum(1) * every), "z": w.sum(1) * every - 1.0})
-
-    return push("y")
+def layout_curve(min_dist: float = 0.1, spread: float = 1.0) -> tuple[float, float]:
+    """(a, b) of 1 / (1 + a d^(2b)) nearest to 1 up to ``min_dist`` and exp(-(d - min_dist) / spread) beyond, by least squares."""
+    d = np.linspace(0.0, 3.0 * spread, 300)[1:]
+    wanted = np.where(d < min_dist, 1.0, np.exp(-(d - min_dist) / spread))
+    log_d, at, damp = np.log(d), np.zeros(2), 1e-3  # logarithms of a and b
+
+    def miss(point):
+        return 1.0 / (1.0 + np.exp(point[0] + 2.0 * np.exp(point[1]) * log_d)) - wanted
+
+    now = miss(at)
+    for _ in range(200):  # damped Gauss-Newton steps
+        curve = now + wanted
+        slope = -curve * (1.0 - curve)
+        jacobian = np.stack([slope, slope * 2.0 * np.exp(at[1]) * log_d], 1)
+        normal = jacobian.T @ jacobian
+        step = np.linalg.solve(normal + damp * np.diag(np.diag(normal)), jacobian.T @ now)
+        trial = miss(at - step)
+        if (trial**2).sum() <= (now**2).sum():
+            at, now, damp = at - step, trial, damp / 10
+            if np.abs(step).max() < 1e-12:
+                break
+        else:
+            damp *= 10
+    return float(np.exp(at[0])), float(np.exp(at[1]))
 
 
 def umap_layout(points: DataFrame, key: str, vector: str, dims: int = 2, neighbors: int = 15, epochs: int = 50,
-                rate: float = 1.0, negatives: int = 5) -> DataFrame:
-    """Approximate layout of the fuzzy graph: (id, dim1..). Two joins and one aggregate per epoch."""
+                rate: float = 1.0, negatives: int = 5, min_dist: float = 0.1, spread: float = 1.0) -> DataFrame:
+    """Layout of the fuzzy graph in one to three dimensions: (id, dim1..).
+
+    An epoch joins the edges to their ends and sums the repulsion of all rows; ``min_dist`` and
+    ``spread`` shape the curve of both forces. Each row is pushed ``negatives`` times its degree
+    by the mean of the others.
+    """
     graph = cut_lineage(fuzzy_graph(points, key, vector, neighbors))
     positions = cut_lineage(start_positions(points, key, vector, dims, 5.0))
     degree = graph.select(F.inline(F.array(F.struct(F.col("src").alias("id"), "weight"), F.struct(F.col("dst").alias("id"), "weight"))))
     degree = cut_lineage(degree.groupBy("id").agg(F.sum("weight").alias("degree")))
-    a, b = CURVE_A, CURVE_B
+    a, b = layout_curve(min_dist, spread)
+    n = float(points.count())
 
     def attraction(w, sq):
         safe = F.greatest(sq, F.lit(1e-12))
         return F.when(sq > 0, w * (-2.0 * a * b * F.pow(safe, b - 1.0)) / (1.0 + a * F.pow(safe, b))).otherwise(0.0)
 
     for epoch in range(epochs):
-        sample = _sample_positions(positions, epoch)
-
-        pulled = (positions.join(_pull(graph, positions, attraction), "id", "left").join(degree, "id", "left")
-                  .withColumn("push", _fuzzy_push(sample)))
+        pushed = summed_forces(positions, dims, fuzzy_force(a, b))
+        pulled = pushed.join(_pull(graph, positions, dims, attraction), "id", "left").join(degree, "id", "left")
         step = rate * (1.0 - epoch / epochs)
 
         def moved(i):
             drawn = F.coalesce(F.col("pull")[i], F.lit(0.0))
-            apart = F.col("push")[i] * F.coalesce("degree", F.lit(0.0)) * negatives
+            apart = F.col("f")[i] / n * F.coalesce("degree", F.lit(0.0)) * negatives
             return F.col("y")[i] + step * F.greatest(F.lit(-4.0), F.least(F.lit(4.0), drawn + apart))
 
         positions = cut_lineage(pulled.select("id", F.array(*[moved(i) for i in range(dims)]).alias("y")))
@@ -221,7 +217,7 @@ def umap_layout(points: DataFrame, key: str, vector: str, dims: int = 2, neighbo
 def tsne_layout(points: DataFrame, key: str, vector: str, dims: int = 2, perplexity: float | None = None,
                 iterations: int = 1000, rate: float | None = None, exaggeration: float = 12.0,
                 exaggerated: int = 250) -> DataFrame:
-    """Approximate t-SNE layout: (id, dim1..). Two joins and one aggregate per iteration."""
+    """t-SNE layout in one to three dimensions: (id, dim1..), by gradient steps with momentum over all rows."""
     n = points.count()
     graph = cut_lineage(tsne_affinities(points, key, vector, perplexity))
     start = start_positions(points, key, vector, dims, 1e-4)
@@ -230,19 +226,17 @@ def tsne_layout(points: DataFrame, key: str, vector: str, dims: int = 2, perplex
     for step in range(iterations):
         early = step < exaggerated
         boost, momentum = (exaggeration, 0.5) if early else (1.0, 0.8)
-        sample = _sample_positions(state, step)
-        every = float(n) / len(sample)
-
-        pulled = state.join(_pull(graph, state.select("id", "y"), lambda p, sq: boost * p / (1.0 + sq)), "id", "left")
-        pushed = cut_lineage(pulled.withColumn("r", _student_push(sample, every)))
-        z = max(pushed.agg(F.sum("r.z").alias("z")).first()["z"], 1e-12)
+        pushed = summed_forces(state.select("id", "y"), dims, student_force)
+        pulled = _pull(graph, state.select("id", "y"), dims, lambda p, sq: boost * p / (1.0 + sq))
+        z = max(pushed.agg(F.sum("z").alias("z")).first()["z"] or 0.0, 1e-12)
+        forces = pushed.join(state.select("id", "v"), "id").join(pulled, "id", "left")
 
         def velocity(i):
-            gradient = 4.0 * (F.coalesce(F.col("pull")[i], F.lit(0.0)) - F.col("r.f")[i] / F.lit(z))
+            gradient = 4.0 * (F.coalesce(F.col("pull")[i], F.lit(0.0)) - F.col("f")[i] / F.lit(z))
             return momentum * F.col("v")[i] - rate * gradient
 
         state = cut_lineage(
-            pushed.withColumn("w", F.array(*[velocity(i) for i in range(dims)]))
+            forces.withColumn("w", F.array(*[velocity(i) for i in range(dims)]))
             .select("id", F.zip_with("y", "w", lambda p, q: p + q).alias("y"), F.col("w").alias("v")))
     return state.select("id", *[F.col("y")[i].alias(f"dim{i + 1}") for i in range(dims)])
 

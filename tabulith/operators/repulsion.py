@@ -4,12 +4,13 @@ Space is halved along every axis; cells carry their row count and centre of mass
 a cell as one body at the coarsest level at which the two are not adjacent, so it meets a
 bounded number of bodies per level and every other row exactly once. Levels are worked off in
 tiers: a tier's cell, with the cells around it, has a bounded number of cells below it, and only
-rows that share their surroundings with unresolved rows go on to the next tier.
+rows whose surroundings hold more rows than a task compares one by one go on to the next tier.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 from itertools import product
 
 import numpy as np
@@ -23,6 +24,8 @@ TIER_BITS = 12     # a tier's cell has 2^12 cells below it, in any number of dim
 TOTAL_BITS = 24    # halvings per axis; rows closer than 2^-24 of the layout's width act as one body
 BLOCK_ROWS = 8192  # rows of one cell that a task works on; more are dealt to several blocks
 CHUNK_ROWS = 2048  # rows per numpy step
+LEAF_ROWS = 4096   # up to here the rows around a cell are met one by one, without further tiers
+DIRECT_PAIRS = 1 << 17  # up to here a task's rows meet all finest cells of a tier at once, without coarser ones
 RING = {1: 2, 2: 2, 3: 1}  # cells up to this many steps apart are adjacent; a wider ring is more exact
 
 # (gaps k x d, squared distances k) to (force vectors k x d, kernel values k)
@@ -114,6 +117,27 @@ class _Surroundings:
         return f, z, unresolved
 
 
+def _direct(y, at, spots, count, total, mixed, force: Force, last: bool):
+    """As ``_Surroundings.act_on``, every row against every finest cell, some rows at a time."""
+    dims, rows = y.shape[1], max(1, DIRECT_PAIRS // max(len(spots), 1))
+    f, z, unresolved = np.zeros_like(y), np.zeros(len(y)), np.zeros(len(y), bool)
+    for lo in range(0, len(y), rows):
+        part = slice(lo, lo + rows)
+        here = y[part]
+        steps = np.abs(at[part, None, :] - spots[None, :, :]).max(2)
+        near, own = steps <= RING[dims], (steps == 0).astype(float)
+        left = np.zeros(len(here), bool) if last else (near & mixed[None, :]).any(1)
+        n = np.where(near & left[:, None], 0.0, count[None, :] - own)
+        row, col = np.nonzero(n > 0.5)
+        weight = n[row, col]
+        gap = here[row] - (total[col] - here[row] * own[row, col][:, None]) / weight[:, None]
+        vector, kernel = force(gap, (gap**2).sum(1))
+        f[part] = np.stack([np.bincount(row, vector[:, i] * weight, len(here)) for i in range(dims)], 1)
+        z[part] = np.bincount(row, kernel * weight, len(here))
+        unresolved[part] = left
+    return f, z, unresolved
+
+
 def _cell(axis: int, bits: int) -> Column:
     return F.shiftright(F.col(f"q{axis}"), TOTAL_BITS - bits)
 
@@ -132,18 +156,18 @@ def _summaries(placed: DataFrame, dims: int, bits: int) -> DataFrame:
 def summed_forces(positions: DataFrame, dims: int, force: Force) -> DataFrame:
     """Sum of ``force`` on every row from all other rows: (id, y, f, z), z being the sum of its kernel.
 
-    ``positions`` has (id, y array<double>) and should be stored, as it is read once per tier. Rows at one position exert no force on each
-    other but count in z. Null positions and ids are not expected. What reaches the driver: the range
-    of each axis, at most 4096 cells of the first tier, one count per tier.
+    ``positions`` has (id, y array<double>) and should be stored, as it is read once per tier. Rows at
+    one position exert no force on each other but count in z. Null positions and ids are not expected.
+    What reaches the driver: the range of each axis, at most 4096 cells of the first tier, one flag per tier.
     """
-    axes, step = range(dims), TIER_BITS // dims
-    box = positions.agg(*[F.min(F.col("y")[i]).alias(f"lo{i}") for i in axes],
+    axes, step, direct = range(dims), TIER_BITS // dims, DIRECT_PAIRS
+    box = positions.agg(F.count("*").alias("n"), *[F.min(F.col("y")[i]).alias(f"lo{i}") for i in axes],
                         *[F.max(F.col("y")[i]).alias(f"hi{i}") for i in axes]).first()
-    schema = (f"id {positions.schema['id'].dataType.simpleString()}, y array<double>, f array<double>, z double, "
-              "open boolean, " + ", ".join(f"q{i} long" for i in axes))
+    if not box["n"]:
+        return positions.select("id", "y", F.col("y").alias("f"), F.lit(0.0).alias("z"))
     names = [f"q{i}" for i in axes]
-    if box["lo0"] is None:
-        return positions.select("id", "y", F.col("y").alias("f"), F.lit(0.0).alias("z")).limit(0)
+    schema = (f"id {positions.schema['id'].dataType.simpleString()}, y array<double>, f array<double>, z double, "
+              "open boolean, " + ", ".join(f"{q} long" for q in names))
     width = max(box[f"hi{i}"] - box[f"lo{i}"] for i in axes) or 1.0
 
     def coordinate(i):
@@ -152,54 +176,80 @@ def summed_forces(positions: DataFrame, dims: int, force: Force) -> DataFrame:
 
     placed = positions.select("id", "y", *[coordinate(i) for i in axes])
 
-    def answer(pdf, near, corner, bits, f, z):
-        """Rows of ``pdf`` with the bodies of one tier added to (f, z)."""
+    def bodies_of(cells, corner):
+        return (cells[[f"s{i}" for i in axes]].to_numpy(np.int64) - corner, cells["n"].to_numpy(float),
+                np.array(cells["total"].tolist()), cells["mixed"].to_numpy(bool))
+
+    def answer(pdf, cells, corner, bits, grids):
+        """Rows of ``pdf`` with the bodies of one tier added to (f, z); ``grids`` makes their dense form, or is None."""
         y = np.array(pdf["y"].tolist())
         at = (pdf[names].to_numpy() >> (TOTAL_BITS - bits)) - corner
-        df, dz, left = near.act_on(y, at, force, bits + step > TOTAL_BITS)
-        return pd.DataFrame({"id": pdf["id"].to_numpy(), "y": list(y), "f": list(f + df), "z": z + dz, "open": left,
-                             **{n: pdf[n].to_numpy() for n in names}})
-
-    def surroundings(cells, corner):
-        return _Surroundings(cells[[f"s{i}" for i in axes]].to_numpy(np.int64) - corner, cells["n"].to_numpy(float),
-                             np.array(cells["total"].tolist()), cells["mixed"].to_numpy(bool), step)
-
-    top = _summaries(placed, dims, step).toPandas()  # at most 2^TIER_BITS rows
-    rim = np.full(dims, -(RING[dims] << step), np.int64)      # the first tier's cell is all of space, nothing lies around it
+        last = bits + step > TOTAL_BITS
+        if grids is None or len(y) * len(cells[0]) <= direct:
+            f, z, left = _direct(y, at, *cells, force, last)
+        else:
+            f, z, left = grids().act_on(y, at, force, last)
+        if "f" in pdf:
+            f, z = f + np.array(pdf["f"].tolist()), z + pdf["z"].to_numpy()
+        return pd.DataFrame({"id": pdf["id"].to_numpy(), "y": list(y), "f": list(f), "z": z, "open": left,
+                             **{q: pdf[q].to_numpy() for q in names}})
+
+    few = box["n"] <= LEAF_ROWS
+    start = TOTAL_BITS if few else step
+    top = _summaries(placed, dims, start).toPandas()  # at most LEAF_ROWS or 2^TIER_BITS rows
+    rim = np.full(dims, -(RING[dims] << start), np.int64)  # the first tier's cell is all of space, nothing lies around it
 
     def first_tier(batches):
-        near = None
+        cells = bodies_of(top, rim)
+        grids = None if few else cache(lambda: _Surroundings(*cells, step))
         for pdf in batches:
             if len(pdf):
-                near = near or surroundings(top, rim)
-                yield answer(pdf, near, rim, step, np.zeros((len(pdf), dims)), np.zeros(len(pdf)))
+                yield answer(pdf, cells, rim, start, grids)
 
     def tier(bits):
         def work(key, rows, cells):
-            corner = (np.array(key[:dims], np.int64) - RING[dims]) << step
             if rows.empty:
                 return pd.DataFrame({c: [] for c in ("id", "y", "f", "z", "open", *names)})
-            return answer(rows, surroundings(cells, corner), corner, bits, np.array(rows["f"].tolist()), rows["z"].to_numpy())
+            finest = TOTAL_BITS if key[-1] else bits
+            corner = (np.array(key[:dims], np.int64) - RING[dims]) << (finest - bits + step)
+            around = bodies_of(cells, corner)
+            return answer(rows, around, corner, finest, None if key[-1] else lambda: _Surroundings(*around, step))
 
         return work
 
     current = cut_lineage(placed.mapInPandas(first_tier, schema))
+    if few:
+        return current.select("id", "y", "f", "z")
     settled = [current.where(~F.col("open"))]
-    home = [f"h{i}" for i in axes]
+    home, other = [f"h{i}" for i in axes], [f"g{i}" for i in axes]
     for bits in range(2 * step, TOTAL_BITS + 1, step):
         waiting = current.where("open")
         if waiting.isEmpty():
             break
-        waiting = waiting.select("*", *[_cell(i, bits - step).alias(h) for i, h in enumerate(home)])
+        waiting = waiting.drop("open").select("*", *[_cell(i, bits - step).alias(h) for i, h in enumerate(home)])
         sizes = waiting.groupBy(*home).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
-        targets = waiting.join(sizes, home).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks", "open")
-        around = F.explode(F.array(*[F.struct(*[(F.shiftright(f"s{i}", step) + o).alias(h) for i, (h, o) in enumerate(zip(home, offset))])
-                                     for offset in product(range(-RING[dims], RING[dims] + 1), repeat=dims)]))
-        bodies = (_summaries(placed, dims, bits).select("*", around.alias("_h"))
-                  .select("n", "total", "mixed", *[f"s{i}" for i in axes], *[F.col(f"_h.{h}").alias(h) for h in home])
-                  .join(sizes, home).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks"))
-
-        current = cut_lineage(targets.groupBy(*home, "block").cogroup(bodies.groupBy(*home, "block")).applyInPandas(tier(bits), schema))
+        offsets = F.array(*[F.struct(*[F.lit(o).alias(g) for g, o in zip(other, offset)])
+                            for offset in product(range(-RING[dims], RING[dims] + 1), repeat=dims)])
+        around = sizes.select("*", F.explode(offsets).alias("o")).select(
+            *home, "blocks", *[(F.col(h) + F.col(f"o.{g}")).alias(g) for h, g in zip(home, other)])
+        held = placed.groupBy(*[_cell(i, bits - step).alias(g) for i, g in enumerate(other)]).agg(F.count("*").alias("held"))
+        # whether a cell with those around it is met row by row
+        light = around.join(held, other).groupBy(*home).agg((F.sum("held") <= LEAF_ROWS).alias("light"))
+        light = cut_lineage(sizes.join(light, home))
+        around = around.drop("blocks").join(light, home)
+
+        def bodies(finest, wanted):
+            cells = _summaries(placed, dims, finest).select(
+                "*", *[F.shiftright(f"s{i}", finest - bits + step).alias(g) for i, g in enumerate(other)])
+            return cells.join(around.where(wanted), other).select(
+                "n", "total", "mixed", *[f"s{i}" for i in axes], *home, "light",
+                F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+
+        targets = waiting.join(light, home).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
+        met = bodies(bits, ~F.col("light")).unionByName(bodies(TOTAL_BITS, F.col("light")))
+        met = met.toDF(*met.columns)  # new names for the columns that both sides take from `light`
+        keys = [*home, "block", "light"]
+        current = cut_lineage(targets.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInPandas(tier(bits), schema))
         settled.append(current.where(~F.col("open")))
     out = settled[0]
     for more in settled[1:]:

@@ -28,7 +28,9 @@ def cloud(dims, seed):
 
 
 @pytest.mark.parametrize("dims", [1, 2, 3])
-def test_student_repulsion_is_near_the_sum_over_all_pairs(spark, dims):
+def test_student_repulsion_is_near_the_sum_over_all_pairs(spark, monkeypatch, dims):
+    monkeypatch.setattr(repulsion, "DIRECT_PAIRS", 0)
+    monkeypatch.setattr(repulsion, "LEAF_ROWS", 0)
     y = cloud(dims, dims)
     got = repulsion.summed_forces(positions(spark, y), dims, repulsion.student_force).orderBy("id").collect()
     f, z = all_pairs(y, repulsion.student_force)
@@ -39,7 +41,8 @@ def test_student_repulsion_is_near_the_sum_over_all_pairs(spark, dims):
     assert np.sqrt((miss**2).mean()) < 0.01 * np.sqrt((f**2).sum(1).mean())
 
 
-def test_fuzzy_repulsion_is_near_the_sum_over_all_pairs(spark):
+def test_fuzzy_repulsion_is_near_the_sum_over_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(repulsion, "LEAF_ROWS", 100)
     rng = np.random.default_rng(7)
     y = rng.normal(size=(500, 2)) * 5
     force = repulsion.fuzzy_force(1.577, 0.895)
@@ -54,8 +57,10 @@ def test_rows_meet_every_other_row_exactly_once(spark, monkeypatch):
         return np.zeros_like(gap), np.ones(len(gap))
 
     y = cloud(2, 5)
-    for block in (8192, 16):
+    for block, direct, leaf in ((8192, 1 << 17, 4096), (16, 0, 50), (16, 1 << 17, 0)):
         monkeypatch.setattr(repulsion, "BLOCK_ROWS", block)
+        monkeypatch.setattr(repulsion, "DIRECT_PAIRS", direct)
+        monkeypatch.setattr(repulsion, "LEAF_ROWS", leaf)
         got = repulsion.summed_forces(positions(spark, y), 2, ones).collect()
         assert len(got) == len(y)
         assert {round(r.z, 6) for r in got} == {len(y) - 1}
@@ -66,5 +71,58 @@ def test_one_place_one_row_and_no_rows(spark):
     assert {tuple(r.f) for r in same} == {(0.0, 0.0)} and {r.z for r in same} == {49.0}
     one = repulsion.summed_forces(positions(spark, np.ones((1, 2))), 2, repulsion.student_force).collect()
     assert one[0].z == 0.0
+    exact = repulsion.summed_forces(positions(spark, np.array([[0.0, 0.0], [3.0, 4.0]])), 2, repulsion.student_force).orderBy("id").collect()
+    assert np.allclose([exact[0].f, exact[1].f], [[-3 / 676, -4 / 676], [3 / 676, 4 / 676]]) and exact[0].z == pytest.approx(1 / 26)
     none = positions(spark, np.ones((1, 2))).where(F.lit(False))
     assert repulsion.summed_forces(none, 2, repulsion.student_force).count() == 0
+
+
+def test_curve_follows_the_minimum_distance():
+    assert manifold.layout_curve(0.1) == pytest.approx((1.5769, 0.8951), abs=2e-3)
+    d = np.linspace(0.01, 3, 200)
+    for min_dist in (0.0, 0.5):
+        a, b = manifold.layout_curve(min_dist)
+        wanted = np.where(d < min_dist, 1.0, np.exp(-(d - min_dist)))
+        assert np.abs(1 / (1 + a * d ** (2 * b)) - wanted).mean() < 0.04
+
+
+def groups(spark):
+    """Three tight groups of 30 vectors in five dimensions."""
+    rng = np.random.default_rng(3)
+    centers = np.eye(5)[:3] * 20
+    rows = [(i, [float(v) for v in centers[i % 3] + rng.normal(size=5)]) for i in range(90)]
+    return spark.createDataFrame(rows, "id long, v array<double>")
+
+
+def separation(layout, dims):
+    """Smallest distance between group centers over the largest mean distance to the own center."""
+    rows = layout.orderBy("id").collect()
+    y = np.array([[r[f"dim{i + 1}"] for i in range(dims)] for r in rows])
+    assert len(y) == 90 and np.isfinite(y).all()
+    centers = np.array([y[g::3].mean(0) for g in range(3)])
+    inside = max(np.linalg.norm(y[g::3] - centers[g], axis=1).mean() for g in range(3))
+    return min(np.linalg.norm(centers[a] - centers[b]) for a, b in ((0, 1), (0, 2), (1, 2))) / inside
+
+
+@pytest.mark.parametrize("dims", [2, 3])
+def test_fuzzy_layout_keeps_groups_apart(spark, dims):
+    assert separation(manifold.umap_layout(groups(spark), "id", "v", dims, neighbors=8, epochs=5), dims) > 2
+
+
+def test_student_layout_takes_the_gradient_steps(spark):
+    """Three steps, the first two exaggerated, as worked out on dense matrices."""
+    points, n = groups(spark), 90
+    p = np.zeros((n, n))
+    for r in manifold.tsne_affinities(points, "id", "v", 8.0).collect():
+        p[r.src, r.dst] = p[r.dst, r.src] = r.weight
+    y = np.array([r.y for r in manifold.start_positions(points, "id", "v", 2, 1e-4).orderBy("id").collect()])
+    v = np.zeros_like(y)
+    for step in range(3):
+        boost, momentum = (12.0, 0.5) if step < 2 else (1.0, 0.8)
+        gap = y[:, None, :] - y[None, :, :]
+        w = 1 / (1 + (gap**2).sum(2))
+        np.fill_diagonal(w, 0)
+        v = momentum * v - 50.0 * 4 * (((boost * p - w / w.sum()) * w)[:, :, None] * gap).sum(1)
+        y = y + v
+    got = manifold.tsne_layout(points, "id", "v", 2, perplexity=8.0, iterations=3, exaggerated=2).orderBy("id").collect()
+    assert np.allclose([[r.dim1, r.dim2] for r in got], y, rtol=1e-6, atol=1e-10)
