@@ -27,13 +27,13 @@ def scaled_items(spark, d):
 
 @query("fit_kmeans")
 def fit_kmeans(spark, d):
-    labels, _, inertia = clustering.kmeans(scaled_items(spark, d), RATES, n_init=2, max_iter=40)
+    labels, _, inertia = clustering.kmeans(scaled_items(spark, d), RATES)
     return clustering.cluster_distribution(labels, "cluster").withColumn("inertia", F.lit(inertia))
 
 
 @query("fit_kmeans_pp")
 def fit_kmeans_pp(spark, d):
-    labels, _, inertia = clustering.kmeans_pp(scaled_items(spark, d), RATES, n_init=2, max_iter=40)
+    labels, _, inertia = clustering.kmeans_pp(scaled_items(spark, d), RATES)
     return clustering.cluster_distribution(labels, "cluster").withColumn("inertia", F.lit(inertia))
 
 
@@ -155,7 +155,7 @@ def tsne_affinities(spark, d):
 
 @query("umap_layout")
 def umap_layout(spark, d):
-    return rounded(manifold.umap_layout(table(spark, d, "embeddings"), "vec_id", "embedding", epochs=5), 4)
+    return rounded(manifold.umap_layout(table(spark, d, "embeddings"), "vec_id", "embedding"), 4)
 
 
 @query("tsne_layout")

@@ -25,31 +25,129 @@ def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="_v").transform(df)
 
 
+def _uniform(codes: np.ndarray, start: int, step: int) -> np.ndarray:
+    """Numbers in (0, 1) from 64-bit codes, other ones for every start and step (multipliers of a published bit mixer)."""
+    with np.errstate(over="ignore"):
+        x = codes.astype(np.uint64) + np.uint64((start * 1_000_003 + step + 1) & 0xFFFFFFFF) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return ((x >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+
+
+def _squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to the centers of every start: starts x rows x centers."""
+    flat = centers.reshape(-1, x.shape[1])
+    far = (x**2).sum(1)[:, None] + (flat**2).sum(1)[None, :] - 2.0 * x @ flat.T
+    return np.maximum(far, 0.0).reshape(len(x), *centers.shape[:2]).transpose(1, 0, 2)
+
+
+def _seeds(frame: DataFrame, k: int, starts: int, far_apart: bool) -> np.ndarray:
+    """First centers of all starts: starts x k x features. One pass per center; a row wins its start's draw
+    with a chance in proportion to its squared distance from the centers so far, or to 1."""
+    centers = None
+    for step in range(k):
+        known = centers
+
+        def draw(batches, known=known, step=step):
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                x, codes = np.array(pdf["v"].tolist()), pdf["code"].to_numpy()
+                near = None if known is None else _squares(x, known).min(2)
+                out = []
+                for start in range(starts):
+                    race = -np.log(_uniform(codes, start, step))
+                    if near is not None:
+                        open_ = near[start] > 1e-12 * (1.0 + (x**2).sum(1))
+                        race = np.where(open_, race / np.where(open_ & far_apart, near[start], 1.0), np.inf)
+                    i = int(race.argmin())
+                    if np.isfinite(race[i]):
+                        out.append((start, float(race[i]), x[i].tolist()))
+                if out:
+                    yield pd.DataFrame(out, columns=["start", "race", "v"])
+
+        won = frame.mapInPandas(draw, "start int, race double, v array<double>").groupBy("start").agg(
+            F.min_by("v", F.struct("race", "v")).alias("v")).collect()  # one row per start
+        if centers is None:
+            if not won:
+                return np.zeros((0, k, 0))
+            centers = np.zeros((starts, 0, len(won[0]["v"])))
+        new = {r["start"]: r["v"] for r in won}
+        # with fewer distinct rows than centers the first center is repeated and stays empty
+        centers = np.concatenate([centers, np.array([new.get(i, centers[i, :1].ravel()) for i in range(starts)])[:, None, :]], 1)
+    return centers
+
+
+def _assigned(frame: DataFrame, centers: np.ndarray) -> list:
+    """Per start and cluster: rows, sums of the features and of squared distances, all starts in one pass."""
+    starts, k, d = centers.shape
+
+    def add(batches):
+        n, total, cost = np.zeros(starts * k), np.zeros((starts * k, d)), np.zeros(starts * k)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.array(pdf["v"].tolist())
+            for start, label in enumerate(_squares(x, centers).argmin(2)):
+                slot, off = slice(start * k, (start + 1) * k), ((x - centers[start][label]) ** 2).sum(1)
+                n[slot] += np.bincount(label, minlength=k)
+                cost[slot] += np.bincount(label, off, k)
+                for i in range(d):
+                    total[slot, i] += np.bincount(label, x[:, i], k)
+        kept = np.nonzero(n)[0]
+        if len(kept):
+            yield pd.DataFrame({"slot": kept, "n": n[kept].astype(np.int64), "total": list(total[kept]), "cost": cost[kept]})
+
+    sums = frame.mapInPandas(add, "slot int, n long, total array<double>, cost double")
+    return sums.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                    F.array(*[F.sum(F.col("total")[i]) for i in range(d)]).alias("total")).collect()
+
+
 def kmeans(df: DataFrame, features: Sequence[str], k: int = 3, init: str = "random", n_init: int = 10,
            max_iter: int = 300, tol: float = 1e-4, seed: int = 42):
-    """The best of ``n_init`` runs: (rows with ``cluster``, centers, inertia).
+    """The best of ``n_init`` starts: (rows with ``cluster``, centers, inertia).
 
-    A run ends when the squared moves of all centers sum to at most ``tol`` times the mean variance.
+    All starts advance together, one pass over the stored features per round; a start ends, and
+    leaves the pass, when the squared moves of its centers sum to at most ``tol`` times the mean
+    variance. ``init`` is "random" (distinct rows) or "far apart" (chance by squared distance);
+    draws depend on the rows' values and the seed, not on their order. Rows with a missing feature take no part and
+    get a null cluster; without rows there are no centers. A batch of rows holds ``n_init * k`` distances per row.
     """
-    best = None
-    spread = F.lit(0.0)
-    for f in features:
-        spread = spread + F.var_pop(as_column(f))
-    with reused(_vectors(df, features)) as frame:
-        variance = (frame.agg(spread.alias("v")).first()["v"] or 0.0) / len(features)
-        move = math.sqrt(tol * variance / k)  # Spark bounds the move of each center
-        for run in range(n_init):
-            model = KMeans(featuresCol="_v", predictionCol="cluster", k=k, initMode=init, maxIter=max_iter, tol=move,
-                           seed=seed + run).fit(frame)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-    centers = [[float(v) for v in c] for c in best.clusterCenters()]
-    return best.transform(_vectors(df, features)).drop("_v"), centers, float(best.summary.trainingCost)
+    columns = [as_column(f).cast("double") for f in features]
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & c.isNotNull() & ~F.isnan(c)
+    coded = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    narrow = df.where(whole).select(F.xxhash64(*coded, F.lit(seed)).alias("code"), F.array(*columns).alias("v"))
+    with reused(narrow) as frame:
+        spread = frame.agg(*[F.var_pop(F.col("v")[i]) for i in range(len(features))]).first()
+        centers = _seeds(frame, k, n_init, init != "random")
+        if not len(centers):
+            return df.withColumn("cluster", F.lit(None).cast("int")), [], 0.0
+        limit, running = tol * sum(spread) / len(features), np.arange(n_init)
+        for _ in range(max_iter):
+            moved = centers[running].reshape(-1, len(features)).copy()
+            for r in _assigned(frame, centers[running]):
+                moved[r["slot"]] = np.array(r["total"]) / r["n"]
+            moved = moved.reshape(-1, k, len(features))
+            shift = ((moved - centers[running]) ** 2).sum((1, 2))
+            centers[running] = moved
+            running = running[shift > limit]
+            if not len(running):
+                break
+        cost = np.zeros(n_init)
+        for r in _assigned(frame, centers):
+            cost[r["slot"] // k] += r["cost"]
+    best = int((cost <= cost.min() * (1 + 1e-9)).argmax())  # of equal starts the first, whatever the rounding
+    listed = [[float(v) for v in c] for c in centers[best]]
+    labels = distance_join(df, features, listed).drop("distance")
+    return labels.withColumn("cluster", F.when(whole, F.col("cluster"))), listed, float(cost[best])
 
 
 def kmeans_pp(df: DataFrame, features: Sequence[str], k: int = 3, n_init: int = 10, **options):
-    """K-means seeded far apart, by the parallel form of distance-squared seeding."""
-    return kmeans(df, features, k, "k-means||", n_init, **options)
+    """K-means seeded far apart: each further center is drawn by squared distance from those before it."""
+    return kmeans(df, features, k, "far apart", n_init, **options)
 
 
 def lloyd_step(df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:

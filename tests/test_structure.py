@@ -121,6 +121,30 @@ def test_kmeans_inertia_is_that_of_its_centers(spark):
     assert sum(r.inertia for r in step) == pytest.approx(inertia, rel=1e-6)
 
 
+def test_kmeans_starts_together_equal_single_steps(spark):
+    """The start returned is a fixed point of plain Lloyd steps, and no row order matters."""
+    x = clumps(2)
+    df, names = frame(spark, x)
+    for fit in (clustering.kmeans, clustering.kmeans_pp):
+        labels, centers, inertia = fit(df, names, 3, n_init=4, tol=0.0)
+        c, rows = np.array(centers), np.array([[r[n] for n in names] + [r.cluster] for r in labels.collect()])
+        far = ((rows[:, None, :-1] - c[None]) ** 2).sum(2)
+        assert (far.argmin(1) == rows[:, -1]).all() and far.min(1).sum() == pytest.approx(inertia)
+        for g in range(3):
+            assert np.allclose(rows[rows[:, -1] == g, :-1].mean(0), c[g])
+        again = fit(df.repartition(3), names, 3, n_init=4, tol=0.0)
+        assert np.allclose(again[1], centers)
+
+
+def test_kmeans_on_missing_few_and_no_rows(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 5.0, 5.0), (4, None, 1.0)], "id int, f0 double, f1 double")
+    labels, centers, inertia = clustering.kmeans(df, ["f0", "f1"], 3, n_init=2)
+    got = {r.id: r.cluster for r in labels.collect()}
+    assert got[4] is None and got[1] == got[2] != got[3] and inertia == 0.0 and len(centers) == 3
+    empty, centers, inertia = clustering.kmeans_pp(df.where("id > 9"), ["f0", "f1"], 3)
+    assert empty.count() == 0 and centers == [] and inertia == 0.0
+
+
 def test_silhouette(spark):
     x = clumps(2)
     df, names = frame(spark, x)
