@@ -53,7 +53,7 @@ def _seeds(frame: DataFrame, k: int, starts: int, far_apart: bool) -> np.ndarray
             for pdf in batches:
                 if pdf.empty:
                     continue
-                x, codes = np.array(pdf["v"].tolist()), pdf["code"].to_numpy()
+                x, codes = pdf.drop(columns="code").to_numpy(), pdf["code"].to_numpy()
                 near = None if known is None else _squares(x, known).min(2)
                 out = []
                 for start in range(starts):
@@ -88,7 +88,7 @@ def _assigned(frame: DataFrame, centers: np.ndarray) -> list:
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.array(pdf["v"].tolist())
+            x = pdf.to_numpy()
             for start, label in enumerate(_squares(x, centers).argmin(2)):
                 slot, off = slice(start * k, (start + 1) * k), ((x - centers[start][label]) ** 2).sum(1)
                 n[slot] += np.bincount(label, minlength=k)
@@ -99,7 +99,7 @@ def _assigned(frame: DataFrame, centers: np.ndarray) -> list:
         if len(kept):
             yield pd.DataFrame({"slot": kept, "n": n[kept].astype(np.int64), "total": list(total[kept]), "cost": cost[kept]})
 
-    sums = frame.mapInPandas(add, "slot int, n long, total array<double>, cost double")
+    sums = frame.drop("code").mapInPandas(add, "slot int, n long, total array<double>, cost double")
     return sums.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
                                     F.array(*[F.sum(F.col("total")[i]) for i in range(d)]).alias("total")).collect()
 
@@ -119,9 +119,9 @@ def kmeans(df: DataFrame, features: Sequence[str], k: int = 3, init: str = "rand
     for c in columns:
         whole = whole & c.isNotNull() & ~F.isnan(c)
     coded = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    narrow = df.where(whole).select(F.xxhash64(*coded, F.lit(seed)).alias("code"), F.array(*columns).alias("v"))
+    narrow = df.where(whole).select(F.xxhash64(*coded, F.lit(seed)).alias("code"), *[c.alias(f"x{i}") for i, c in enumerate(columns)])
     with reused(narrow) as frame:
-        spread = frame.agg(*[F.var_pop(F.col("v")[i]) for i in range(len(features))]).first()
+        spread = frame.agg(*[F.var_pop(f"x{i}") for i in range(len(features))]).first()
         centers = _seeds(frame, k, n_init, init != "random")
         if not len(centers):
             return df.withColumn("cluster", F.lit(None).cast("int")), [], 0.0
