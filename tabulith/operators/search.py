@@ -27,13 +27,19 @@ from .windows import arg_best, running_max, union_results
 Fit = Callable[[DataFrame, Mapping[str, float]], object]
 
 
+FOREST_PARAMS = {"trees": 50, "depth": 5, "min_leaf": 1, "min_split": 2}
+
+
 def forest_fit(label: str, features: str = "features", seed: int = 42) -> Fit:
-    """Fit function for a random forest with parameters trees, depth and min_leaf."""
+    """Fit function for a random forest with parameters trees, depth, min_leaf and min_split.
+
+    Its ``nested`` form fits the largest forest of several parameter rows that differ in trees and depth only.
+    """
     def fit(train: DataFrame, params: Mapping[str, float]):
-        if unknown := set(params) - {"trees", "depth", "min_leaf"}:
-            raise ValueError(f"unknown parameters {sorted(unknown)}; the forest takes trees, depth and min_leaf")
-        return random_forest(train, label, features, trees=int(params.get("trees", 50)), depth=int(params.get("depth", 5)),
-                             min_leaf=int(params.get("min_leaf", 1)), seed=seed)
+        if unknown := set(params) - set(FOREST_PARAMS):
+            raise ValueError(f"unknown parameters {sorted(unknown)}; the forest takes {', '.join(FOREST_PARAMS)}")
+        return random_forest(train, label, features, seed=seed, **{n: int(params.get(n, v)) for n, v in FOREST_PARAMS.items()})
+    fit.nested = True
     return fit
 
 
@@ -60,16 +66,35 @@ def holdout_validate(df: DataFrame, ids: Sequence[str], label: str, features: st
                           "precision double, recall double, f1 double, roc_auc double")
 
 
+def _nested(trials: Sequence[Mapping[str, float]]) -> dict[tuple[int, int], list[int]]:
+    """Trials by (min_leaf, min_split): those of one group are cuts of one forest."""
+    groups: dict[tuple[int, int], list[int]] = {}
+    for t, trial in enumerate(trials):
+        groups.setdefault(tuple(int(trial.get(n, FOREST_PARAMS[n])) for n in ("min_leaf", "min_split")), []).append(t)
+    return groups
+
+
 def fold_scores(folded: DataFrame, label: str, fit: Fit, trials: Sequence[Mapping[str, float]], k: int,
                 parallelism: int = 4) -> dict[tuple[int, int], float]:
-    """Accuracy of every (trial, fold); several fits are in flight at once so that executors stay busy."""
+    """Accuracy of every (trial, fold); several fits are in flight at once so that executors stay busy.
+
+    Forests that differ in trees and depth only are cuts of one: it is fitted once per fold, and one reading of
+    the fold scores all its cuts, with the same results as separate fits.
+    """
+    groups = list(_nested(trials).values()) if getattr(fit, "nested", False) else [[t] for t, _ in enumerate(trials)]
+
     def run(task):
-        trial, fold = task
-        model = fit(folded.where(F.col("fold") != fold), trials[trial])
-        return task, accuracy(model.transform(folded.where(F.col("fold") == fold)), label)
+        group, fold = task
+        train, test = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        if not getattr(fit, "nested", False):
+            return [((group[0], fold), accuracy(fit(train, trials[group[0]]).transform(test), label))]
+        full = [{**FOREST_PARAMS, **trials[t]} for t in group]
+        model = fit(train, {**full[0], **{n: max(p[n] for p in full) for n in ("trees", "depth")}})
+        found = model.accuracies(test, label, [(int(p["trees"]), int(p["depth"])) for p in full])
+        return [((t, fold), score) for t, score in zip(group, found)]
 
     with ThreadPoolExecutor(parallelism) as pool:
-        return dict(pool.map(run, itertools.product(range(len(trials)), range(k))))
+        return dict(itertools.chain.from_iterable(pool.map(run, itertools.product(groups, range(k)))))
 
 
 def cross_validate(df: DataFrame, ids: Sequence[str], label: str, features: str = "features", k: int = 5, seed: int = 42,

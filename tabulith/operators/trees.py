@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column
 from ..runtime import ensure_checkpoints, one_row, small_frame
+from .histogram_forest import Forest, grow
 from .ordering import running_totals, with_next
 
 
 def decision_tree(train: DataFrame, label: str, features: str = "features", depth: int = 10, min_leaf: int = 5,
-                  max_bins: int = 256, weight: str | None = None, seed: int = 42):
-    """Gini tree. Two leaves of ``min_leaf`` rows need a parent of twice that, so no extra split minimum."""
-    tree = DecisionTreeClassifier(featuresCol=features, labelCol=label, impurity="gini", maxDepth=depth,
-                                  minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed,
-                                  maxMemoryInMB=512)
-    return (tree.setWeightCol(weight) if weight else tree).fit(train)
+                  max_bins: int = 256, weight: str | None = None, seed: int = 42, min_split: int = 2) -> Forest:
+    """One Gini tree on all rows and features."""
+    return grow(train, label, features, 1, depth, min_split, min_leaf, max_bins, sys.maxsize, False, weight, seed)
 
 
 def random_forest(train: DataFrame, label: str, features: str = "features", trees: int = 200, depth: int = 15,
-                  min_leaf: int = 2, max_bins: int = 64, seed: int = 42):
-    return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth,
-                                  minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", maxBins=max_bins,
-                                  seed=seed, maxMemoryInMB=1024).fit(train)
+                  min_leaf: int = 2, max_bins: int = 64, seed: int = 42, min_split: int = 2) -> Forest:
+    """Gini trees on bootstrap weights, each node on a draw of the features."""
+    return grow(train, label, features, trees, depth, min_split, min_leaf, max_bins, seed=seed)
 
 
 def gradient_boosting(train: DataFrame, label: str, features: str = "features", trees: int = 150, rate: float = 0.05,
