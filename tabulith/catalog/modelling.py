@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import boosting, linear, prep, search, splits, trees
 from ..operators.metrics import classification_metrics, regression_metrics
 from ..plans import exploration, modelling
-from ..runtime import reused, scratch_folder
+from ..runtime import reused, scratch_folder, small_frame
 from ..sources import tables
 from . import query, table
 from .shared import SCORED, rounded
@@ -104,7 +104,7 @@ def _classification(fit):
 
 
 for _name, _fit in (("fit_logistic", linear.logistic), ("fit_ridge_logistic", linear.ridge_logistic), ("fit_decision_tree", trees.decision_tree),
-                    ("fit_random_forest", lambda t, y: trees.random_forest(t, y, trees=50, depth=8)),
+                    ("fit_random_forest", trees.random_forest),
                     ("fit_gradient_boosting", lambda t, y: trees.gradient_boosting(t, y, trees=20))):
     query(_name)(_classification(_fit))
 
@@ -148,7 +148,7 @@ query("fit_newton_boost_leafwise")(_boosted(lambda t: boosting.newton_boost(
 @query("feature_importance")
 def feature_importance(spark, d):
     rows = encoded(spark, d)
-    return rounded(trees.feature_importance(trees.random_forest(rows, "label", trees=20, depth=6), rows, prep.slot_names(rows)))
+    return rounded(trees.feature_importance(trees.random_forest(rows, "label"), rows, prep.slot_names(rows)))
 
 
 @query("boosted_importance")
@@ -166,7 +166,9 @@ def run_trees(spark, d):
 
 # ---- validation and search --------------------------------------------------
 
-FOREST = {"trees": [10, 20], "depth": [3, 5], "min_leaf": [1, 5]}
+FOREST = {"trees": [10, 50, 100], "depth": [3, 5, 10], "min_split": [2, 5]}
+CHOICES = {"trees": list(range(10, 200, 10)), "depth": list(range(2, 20)), "min_split": list(range(2, 11)), "min_leaf": list(range(1, 6))}
+POOL = {"trees": [20, 50, 80, 100, 150, 200], "depth": [3, 5, 8, 10, 12, 15], "min_split": [2, 4, 6, 8, 10]}
 
 
 @query("holdout_validate")
@@ -186,17 +188,32 @@ def platt_calibrate(spark, d):
 
 @query("grid_search_cv")
 def grid_search_cv(spark, d):
-    return search.grid_search_cv(encoded(spark, d), ["doc_id"], "label", FOREST, k=3)
+    return search.grid_search_cv(encoded(spark, d), ["doc_id"], "label", FOREST)
+
+
+@query("refit_best", """WITH c AS (SELECT count(*) AS n FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
+ SELECT 18 AS trials, TRUE AS size_fits, TRUE AS limits_hold, n AS "rows" FROM c""")
+def refit_best(spark, d):
+    """The best of the grid, fitted on all rows: as many trees as its trial says, none deeper, no smaller node split."""
+    rows = encoded(spark, d)
+    trials = search.grid_search_cv(rows, ["doc_id"], "label", FOREST)
+    with reused(trials) as found:
+        best = search.best_trial(found).first()
+        model = search.refit_best(rows, found, "label", list(FOREST))
+        n = found.count()
+    fine = all(t.depth().max() <= best["depth"] and (t.rows[t.feature >= 0] >= best["min_split"]).all() for t in model.trees)
+    return small_frame(spark, [(n, len(model.trees) == best["trees"], fine)], "trials long, size_fits boolean, limits_hold boolean").withColumn(
+        "rows", F.lit(model.transform(rows).where(F.col("prediction").isin(0.0, 1.0)).count()))
 
 
 @query("random_search_cv")
 def random_search_cv(spark, d):
-    return search.random_search_cv(encoded(spark, d), ["doc_id"], "label", FOREST, n_iter=5, k=3)
+    return search.random_search_cv(encoded(spark, d), ["doc_id"], "label", CHOICES)
 
 
 @query("bayesian_search_cv")
 def bayesian_search_cv(spark, d):
-    return search.bayesian_search_cv(encoded(spark, d), ["doc_id"], "label", FOREST, n_iter=6, n_init=3, k=3)
+    return search.bayesian_search_cv(encoded(spark, d), ["doc_id"], "label", POOL, n_iter=8)
 
 
 @query("run_validation")

@@ -179,9 +179,9 @@ def _edges(rows: DataFrame, width: int, max_bins: int) -> list[np.ndarray]:
     return out
 
 
-def _level(frame: DataFrame, trees: Sequence[Tree], open_nodes: Sequence[tuple[int, int]], drawn: np.ndarray, classes: int, width: int,
-           bins: int, bootstrap: bool, min_leaf: int, seed: int) -> pd.DataFrame:
-    """The best split of every open node: (slot, feature, bin, gain, left and whole sums per class, rows)."""
+def _level(frame: DataFrame, trees: Sequence[Tree], numbers: Sequence[int], open_nodes: Sequence[tuple[int, int]], drawn: np.ndarray,
+           classes: int, width: int, bins: int, bootstrap: bool, min_leaf: Sequence[int], seed: int) -> pd.DataFrame:
+    """The best split of every open node, at least ``min_leaf[slot]`` rows on both sides: (slot, feature, bin, gain, left and whole sums per class, rows)."""
     cells = drawn.shape[1] * bins * (classes + 1)
     slots = [np.full(len(t.heap), -1) for t in trees]
     for slot, (tree, node) in enumerate(open_nodes):
@@ -196,8 +196,11 @@ def _level(frame: DataFrame, trees: Sequence[Tree], open_nodes: Sequence[tuple[i
                 continue
             code, y, w = (batch.column(i).to_numpy() for i in range(3))
             x = batch.column(3).flatten().to_numpy().reshape(batch.num_rows, width)
+            weights = {}  # trees of several forests that have one number share their draws
             for i in asked:
-                weight = w * np.searchsorted(_POISSON, _mixed(code, seed, i), side="right") if bootstrap else w
+                if numbers[i] not in weights:
+                    weights[numbers[i]] = w * np.searchsorted(_POISSON, _mixed(code, seed, numbers[i]), side="right") if bootstrap else w
+                weight = weights[numbers[i]]
                 slot = slots[i][next(trees[i].places(x))]
                 here = np.nonzero((slot >= 0) & (weight > 0))[0]
                 if not len(here):
@@ -225,7 +228,7 @@ def _level(frame: DataFrame, trees: Sequence[Tree], open_nodes: Sequence[tuple[i
                     total[slot] += row
                 else:
                     total[slot] = row.copy()
-        found = [(int(slot), *_best(h.reshape(shape[1:]), drawn[slot], min_leaf)) for slot, h in total.items()]
+        found = [(int(slot), *_best(h.reshape(shape[1:]), drawn[slot], min_leaf[slot])) for slot, h in total.items()]
         if found:
             yield pa.RecordBatch.from_pandas(pd.DataFrame(found, columns=names), schema=pa.schema(fields), preserve_index=False)
 
@@ -261,13 +264,29 @@ def _best(hist: np.ndarray, features: np.ndarray, min_leaf: int):
             int(round(whole[-1])))
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Size of a forest; ``min_split`` and ``min_leaf`` count rows."""
+
+    trees: int = 200
+    depth: int = 15
+    min_split: int = 2
+    min_leaf: int = 1
+
+
 def grow(train: DataFrame, label: str, features: str = "features", trees: int = 200, depth: int = 15, min_split: int = 2,
-         min_leaf: int = 1, max_bins: int = 64, subset: int | None = None, bootstrap: bool = True, weight: str | None = None,
-         seed: int = 42) -> Forest:
-    """Grow ``trees`` Gini trees together, each node on ``subset`` drawn slots (default: the rounded-down square root of the width).
+         min_leaf: int = 1, **options) -> Forest:
+    """Grow one forest; see ``grow_many``."""
+    return grow_many(train, label, [Limits(trees, depth, min_split, min_leaf)], features, **options)[0]
+
+
+def grow_many(train: DataFrame, label: str, limits: Sequence[Limits], features: str = "features", max_bins: int = 64,
+              subset: int | None = None, bootstrap: bool = True, weight: str | None = None, seed: int = 42) -> list[Forest]:
+    """Grow Gini forests of several limits together, each node on ``subset`` drawn slots (default: the rounded-down root of the width).
 
-    A node with fewer than ``min_split`` rows stays a leaf, and no child has fewer than ``min_leaf``. Rows without a label or vector, or
-    with a weight that is not positive, take no part; gaps in a vector lie beyond every number. Without rows it is an error.
+    A node with fewer than ``min_split`` rows stays a leaf, and no child has fewer than ``min_leaf``. Every forest is the one
+    that a call of its own would grow. Rows without a label or vector, or with a weight that is not positive, take no part;
+    gaps in a vector lie beyond every number. Without rows it is an error.
     """
     y, w = as_column(label).cast("double"), as_column(weight).cast("double") if weight else F.lit(1.0)
     plain = train.where(y.isNotNull() & as_column(features).isNotNull() & (w > 0)).select(
@@ -289,42 +308,47 @@ def grow(train: DataFrame, label: str, features: str = "features", trees: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place.astype(np.int32)), batch.column(3), short], ["code", "y", "w", "x"])
 
     coded = plain.select(F.xxhash64("x", "y", F.lit(seed)).alias("code"), "x", "y", "w")
-    forest = [Tree.root(len(classes)) for _ in range(trees)]
+    owner = [(f, i) for f, limit in enumerate(limits) for i in range(limit.trees)]
+    own, numbers = [limits[f] for f, _ in owner], [i for _, i in owner]
+    forest = [Tree.root(len(classes)) for _ in owner]
     fits = max(1, CELLS // (count * bins * (len(classes) + 1)))
     with reused(coded.mapInArrow(binned, "code long, y int, w double, x array<smallint>")) as frame:
-        waiting = [(i, 0) for i in range(trees)]
-        for step in range(depth + 1):
+        waiting = [(i, 0) for i, _ in enumerate(owner)]
+        for step in range(max(1, max(limit.depth for limit in limits))):
             grown = []
             for start in range(0, len(waiting), fits):
                 some = waiting[start:start + fits]
                 heaps = np.array([forest[t].heap[n] for t, n in some])
                 order = np.column_stack([_mixed(heaps, seed, 1_000_003 + f, 7) for f in range(width)])
-                tree_salt = _mixed(np.array([t for t, _ in some]), seed, 11)
+                tree_salt = _mixed(np.array([numbers[t] for t, _ in some]), seed, 11)
                 order = (order + tree_salt[:, None] * (1 + np.arange(width))) % 1.0
                 drawn = np.sort(np.argsort(order, axis=1)[:, :count], axis=1)
-                grown += [(some[r.slot], r) for r in _level(frame, forest, some, drawn, len(classes), width, bins, bootstrap, min_leaf,
-                                                            seed).itertuples()]
-            waiting = _extend(forest, grown, step < depth, min_split, min_leaf)
+                found = _level(frame, forest, numbers, some, drawn, len(classes), width, bins, bootstrap,
+                               [own[t].min_leaf for t, _ in some], seed)
+                grown += [(some[r.slot], r) for r in found.itertuples()]
+            waiting = _extend(forest, grown, own, step)
             if not waiting:
                 break
-    return Forest(features, classes, edges, [t for t in forest if t.counts[0].sum() > 0])
+    # a tree that drew no row at all has nothing to say
+    return [Forest(features, classes, edges, [t for t, (g, _) in zip(forest, owner) if g == f and t.counts[0].sum() > 0])
+            for f, _ in enumerate(limits)]
 
 
-def _extend(forest: list[Tree], grown: list, split: bool, min_split: int, min_leaf: int) -> list[tuple[int, int]]:
+def _extend(forest: list[Tree], grown: list, limits: Sequence[Limits], step: int) -> list[tuple[int, int]]:
     """Write the sums of the level's nodes, split those that may be, and list the children that are worth a look."""
     waiting, by_tree = [], {}
     for (tree, node), r in grown:
         by_tree.setdefault(tree, []).append((node, r))
     for i, nodes in by_tree.items():
-        t, new = forest[i], []
+        t, new, limit = forest[i], [], limits[i]
         for node, r in sorted(nodes, key=lambda e: e[0]):
             whole, lower = np.array(r.whole), np.array(r.lower)
             t.counts[node], t.rows[node] = whole, r.rows
-            if not split or r.feature < 0 or r.rows < min_split:
+            if step >= limit.depth or r.feature < 0 or r.rows < limit.min_split:
                 continue
             t.feature[node], t.bin[node], t.gain[node], t.left[node] = r.feature, r.bin, r.gain, len(t.heap) + len(new)
             for side, (sums, rows) in enumerate(((lower, r.lower_rows), (whole - lower, r.rows - r.lower_rows))):
-                if rows >= max(min_split, 2 * min_leaf) and np.count_nonzero(sums > 1e-9) > 1:
+                if step + 1 < limit.depth and rows >= max(limit.min_split, 2 * limit.min_leaf) and np.count_nonzero(sums > 1e-9) > 1:
                     waiting.append((i, len(t.heap) + len(new)))
                 new.append((2 * t.heap[node] + 1 + side, sums, rows))
         if new:

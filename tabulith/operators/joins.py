@@ -216,6 +216,32 @@ def _pivot_distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0.0))
 
 
+def collapsed(points: DataFrame, key: str, vector: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the code ``g`` of their vector, and one row per distinct vector with its k + 1 smallest ids (stored)."""
+    rows = points.select(as_column(key).alias("src"), F.transform(as_column(vector), lambda v: v.cast("double")).alias("v"))
+    rows = rows.withColumn("g", F.md5(F.to_json("v")))
+    smallest = Window.partitionBy("g").orderBy("src")
+    # row_number() <= k + 1 is applied before the shuffle too, so a huge group of copies stays small
+    first = rows.withColumn("_r", F.row_number().over(smallest)).where(F.col("_r") <= k + 1)
+    members = first.groupBy("g").agg(F.sort_array(F.collect_list("src")).alias("ids"), F.first("v").alias("v"))
+    members = cut_lineage(members.withColumn("low", F.col("ids")[0]))
+    return rows, members
+
+
+def expanded(rows: DataFrame, members: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """The k nearest other rows of every row, from the k + 1 nearest vectors ``h`` of every vector ``g`` (itself included)."""
+    # every neighbour vector offers its k + 1 smallest ids; k of them suffice for any one row
+    offered = (best.join(members.select(F.col("g").alias("h"), "ids"), "h")
+               .select("g", F.explode("ids").alias("dst"), "distance")
+               .withColumn("_o", F.row_number().over(Window.partitionBy("g").orderBy("distance", "dst")))
+               .where(F.col("_o") <= k + 1)
+               .groupBy("g").agg(F.sort_array(F.collect_list(F.struct("distance", "dst"))).alias("near")))
+    own = rows.select("src", "g").join(offered, "g")
+    picked = F.slice(F.filter("near", lambda e: e["dst"] != F.col("src")), 1, k)
+    return own.select("src", F.posexplode(picked).alias("_p", "e")).select(
+        "src", F.col("e.dst").alias("dst"), F.col("e.distance").alias("distance"), (F.col("_p") + 1).alias("rank"))
+
+
 def knn_join(points: DataFrame, key: str, vector: str, k: int, pivots: int | None = None,
              block_rows: int = 2048, seed: int = 42) -> DataFrame:
     """Exact k nearest other rows by Euclidean distance, ties by id: (src, dst, distance, rank).
@@ -225,14 +251,7 @@ def knn_join(points: DataFrame, key: str, vector: str, k: int, pivots: int | Non
     rule out, and groups are cut into bounded blocks that return k rows per vector, never
     all pairs. A few numbers per pivot pass through the driver (at most 256 pivots).
     """
-    rows = points.select(as_column(key).alias("src"), F.transform(as_column(vector), lambda v: v.cast("double")).alias("v"))
-    rows = rows.withColumn("g", F.md5(F.to_json("v")))
-    smallest = Window.partitionBy("g").orderBy("src")
-    # row_number() <= k + 1 is applied before the shuffle too, so a huge group of copies stays small
-    first = rows.withColumn("_r", F.row_number().over(smallest)).where(F.col("_r") <= k + 1)
-    members = first.groupBy("g").agg(F.sort_array(F.collect_list("src")).alias("ids"), F.first("v").alias("v"))
-    members = cut_lineage(members.withColumn("low", F.col("ids")[0]))
-
+    rows, members = collapsed(points, key, vector, k)
     n = members.count()
     wanted = pivots or int(min(256, max(1, math.sqrt(n) / 2)))
     chosen = members.orderBy(hash_key(["g"], seed)).limit(wanted).select("v").collect()
@@ -312,14 +331,4 @@ def knn_join(points: DataFrame, key: str, vector: str, k: int, pivots: int | Non
             .applyInPandas(block_best, f"g string, h string, low {id_type}, distance double"))
     order = Window.partitionBy("g").orderBy("distance", "low")
     best = best.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k + 1)
-    # every neighbour vector offers its k + 1 smallest ids; k of them suffice for any one row
-    offered = (best.join(members.select(F.col("g").alias("h"), "ids"), "h")
-               .select("g", F.explode("ids").alias("dst"), "distance")
-               .withColumn("_o", F.row_number().over(Window.partitionBy("g").orderBy("distance", "dst")))
-               .where(F.col("_o") <= k + 1)
-               .groupBy("g").agg(F.sort_array(F.collect_list(F.struct("distance", "dst"))).alias("near")))
-    own = rows.select("src", "g").join(offered, "g")
-    picked = F.slice(F.filter("near", lambda e: e["dst"] != F.col("src")), 1, k)
-    return own.select("src", F.posexplode(picked).alias("_p", "e")).select(
-        "src", F.col("e.dst").alias("dst"), F.col("e.distance").alias("distance"), (F.col("_p") + 1).alias("rank"))
-
+    return expanded(rows, members, best, k)

@@ -1,6 +1,6 @@
 """Neighbour graphs and two- or three-dimensional layouts of them.
 
-The graphs are exact. In the layouts attraction runs over every edge and repulsion over all rows,
+The graphs are exact unless asked otherwise. In the layouts attraction runs over every edge and repulsion over all rows,
 far ones gathered by space cells.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import as_column
 from ..runtime import cut_lineage, small_frame
 from .joins import knn_join
+from .neighbor_forest import approximate_knn
 from .repulsion import fuzzy_force, student_force, summed_forces
 
 NEAREST_SCALE = 1e-3  # smallest width of a kernel relative to the mean neighbour distance
@@ -61,17 +62,20 @@ def _fuzzy_kernel(neighbors: int) -> Column:
     return solve(F.col("far"))
 
 
-def knn_graph(points: DataFrame, key: str, vector: str, k: int = 15) -> DataFrame:
-    return knn_join(points, key, vector, k)
+def knn_graph(points: DataFrame, key: str, vector: str, k: int = 15, mode: str = "exact") -> DataFrame:
+    """k nearest other rows, ``exact`` or ``approximate`` (a forest of projections with measured recall)."""
+    if mode not in ("exact", "approximate"):
+        raise ValueError(f"unknown mode {mode}")
+    return knn_join(points, key, vector, k) if mode == "exact" else approximate_knn(points, key, vector, k)[0]
 
 
-def fuzzy_graph(points: DataFrame, key: str, vector: str, neighbors: int = 15) -> DataFrame:
+def fuzzy_graph(points: DataFrame, key: str, vector: str, neighbors: int = 15, mode: str = "exact") -> DataFrame:
     """Undirected weighted graph (src < dst, weight). ``neighbors`` counts the row itself.
 
     Each row's kernel starts at its nearest distinct neighbour and is as wide as makes its
     weights sum to log2(neighbors); the two directions a, b of a pair become a + b - ab.
     """
-    kernels = _neighbor_lists(knn_join(points, key, vector, neighbors - 1)).withColumn("k", _fuzzy_kernel(neighbors))
+    kernels = _neighbor_lists(knn_graph(points, key, vector, neighbors - 1, mode)).withColumn("k", _fuzzy_kernel(neighbors))
     edges = kernels.select("src", "k", F.explode("near").alias("e"))
     beyond = F.greatest(F.col("e.distance") - F.col("k.rho"), F.lit(0.0))
     weight = F.when(beyond > 0, F.exp(-beyond / F.col("k.sigma"))).otherwise(1.0)
@@ -116,12 +120,13 @@ def _entropy_kernel(perplexity: float) -> Column:
     return solve(F.col("far"))
 
 
-def tsne_affinities(points: DataFrame, key: str, vector: str, perplexity: float | None = None) -> DataFrame:
+def tsne_affinities(points: DataFrame, key: str, vector: str, perplexity: float | None = None,
+                    mode: str = "exact") -> DataFrame:
     """Symmetric joint probabilities (src < dst, weight); twice their sum is 1. Counts the rows."""
     n = points.count()
     perplexity = perplexity or perplexity_for(n)
     k = min(n - 1, int(3 * perplexity + 1))
-    lists = _neighbor_lists(knn_join(points, key, vector, k)).withColumn("p", _entropy_kernel(perplexity))
+    lists = _neighbor_lists(knn_graph(points, key, vector, k, mode)).withColumn("p", _entropy_kernel(perplexity))
     edges = lists.select("src", F.explode(F.arrays_zip("near", "p")).alias("e"))
     directed = edges.select(F.least("src", "e.near.dst").alias("a"), F.greatest("src", "e.near.dst").alias("b"),
                             F.col("e.p").alias("p"))

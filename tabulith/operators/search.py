@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column, expected_improvement
 from ..runtime import reused, small_frame
+from .histogram_forest import Limits, grow_many
 from .joins import cross_grid
 from .linear import predict
 from .metrics import brier_score, classification_metrics
@@ -33,13 +34,31 @@ FOREST_PARAMS = {"trees": 50, "depth": 5, "min_leaf": 1, "min_split": 2}
 def forest_fit(label: str, features: str = "features", seed: int = 42) -> Fit:
     """Fit function for a random forest with parameters trees, depth, min_leaf and min_split.
 
-    Its ``nested`` form fits the largest forest of several parameter rows that differ in trees and depth only.
+    Its ``many`` scores several parameter rows at once: forests that differ in trees and depth only are cuts of one, the
+    rest grow together, and one reading of the test rows scores all of a forest's cuts. Same results as separate fits.
     """
-    def fit(train: DataFrame, params: Mapping[str, float]):
+    def full(params: Mapping[str, float]) -> dict[str, int]:
         if unknown := set(params) - set(FOREST_PARAMS):
             raise ValueError(f"unknown parameters {sorted(unknown)}; the forest takes {', '.join(FOREST_PARAMS)}")
-        return random_forest(train, label, features, seed=seed, **{n: int(params.get(n, v)) for n, v in FOREST_PARAMS.items()})
-    fit.nested = True
+        return {n: int(params.get(n, v)) for n, v in FOREST_PARAMS.items()}
+
+    def fit(train: DataFrame, params: Mapping[str, float]):
+        return random_forest(train, label, features, seed=seed, **full(params))
+
+    def many(train: DataFrame, test: DataFrame, trials: Sequence[Mapping[str, float]]) -> list[float]:
+        rows = [full(t) for t in trials]
+        groups: dict[tuple[int, int], list[int]] = {}
+        for i, r in enumerate(rows):
+            groups.setdefault((r["min_split"], r["min_leaf"]), []).append(i)
+        limits = [Limits(max(rows[i]["trees"] for i in g), max(rows[i]["depth"] for i in g), *k) for k, g in groups.items()]
+        scores = [0.0] * len(rows)
+        for model, group in zip(grow_many(train, label, limits, features, seed=seed), groups.values()):
+            found = model.accuracies(test, label, [(rows[i]["trees"], rows[i]["depth"]) for i in group])
+            for i, score in zip(group, found):
+                scores[i] = score
+        return scores
+
+    fit.many = many
     return fit
 
 
@@ -66,35 +85,21 @@ def holdout_validate(df: DataFrame, ids: Sequence[str], label: str, features: st
                           "precision double, recall double, f1 double, roc_auc double")
 
 
-def _nested(trials: Sequence[Mapping[str, float]]) -> dict[tuple[int, int], list[int]]:
-    """Trials by (min_leaf, min_split): those of one group are cuts of one forest."""
-    groups: dict[tuple[int, int], list[int]] = {}
-    for t, trial in enumerate(trials):
-        groups.setdefault(tuple(int(trial.get(n, FOREST_PARAMS[n])) for n in ("min_leaf", "min_split")), []).append(t)
-    return groups
-
-
 def fold_scores(folded: DataFrame, label: str, fit: Fit, trials: Sequence[Mapping[str, float]], k: int,
                 parallelism: int = 4) -> dict[tuple[int, int], float]:
-    """Accuracy of every (trial, fold); several fits are in flight at once so that executors stay busy.
-
-    Forests that differ in trees and depth only are cuts of one: it is fitted once per fold, and one reading of
-    the fold scores all its cuts, with the same results as separate fits.
-    """
-    groups = list(_nested(trials).values()) if getattr(fit, "nested", False) else [[t] for t, _ in enumerate(trials)]
+    """Accuracy of every (trial, fold); several fits are in flight at once so that executors stay busy."""
+    many = getattr(fit, "many", None)
 
     def run(task):
-        group, fold = task
+        batch, fold = task
         train, test = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        if not getattr(fit, "nested", False):
-            return [((group[0], fold), accuracy(fit(train, trials[group[0]]).transform(test), label))]
-        full = [{**FOREST_PARAMS, **trials[t]} for t in group]
-        model = fit(train, {**full[0], **{n: max(p[n] for p in full) for n in ("trees", "depth")}})
-        found = model.accuracies(test, label, [(int(p["trees"]), int(p["depth"])) for p in full])
-        return [((t, fold), score) for t, score in zip(group, found)]
+        found = (many(train, test, [trials[t] for t in batch]) if many else
+                 [accuracy(fit(train, trials[t]).transform(test), label) for t in batch])
+        return [((t, fold), score) for t, score in zip(batch, found)]
 
+    batches = [range(len(trials))] if many else [[t] for t, _ in enumerate(trials)]
     with ThreadPoolExecutor(parallelism) as pool:
-        return dict(itertools.chain.from_iterable(pool.map(run, itertools.product(groups, range(k)))))
+        return dict(itertools.chain.from_iterable(pool.map(run, itertools.product(batches, range(k)))))
 
 
 def cross_validate(df: DataFrame, ids: Sequence[str], label: str, features: str = "features", k: int = 5, seed: int = 42,

@@ -18,13 +18,14 @@ from .ordering import running_totals, with_next
 def decision_tree(train: DataFrame, label: str, features: str = "features", depth: int = 10, min_leaf: int = 5,
                   max_bins: int = 256, weight: str | None = None, seed: int = 42, min_split: int = 2) -> Forest:
     """One Gini tree on all rows and features."""
-    return grow(train, label, features, 1, depth, min_split, min_leaf, max_bins, sys.maxsize, False, weight, seed)
+    return grow(train, label, features, 1, depth, min_split, min_leaf, max_bins=max_bins, subset=sys.maxsize,
+                bootstrap=False, weight=weight, seed=seed)
 
 
 def random_forest(train: DataFrame, label: str, features: str = "features", trees: int = 200, depth: int = 15,
                   min_leaf: int = 2, max_bins: int = 64, seed: int = 42, min_split: int = 2) -> Forest:
     """Gini trees on bootstrap weights, each node on a draw of the features."""
-    return grow(train, label, features, trees, depth, min_split, min_leaf, max_bins, seed=seed)
+    return grow(train, label, features, trees, depth, min_split, min_leaf, max_bins=max_bins, seed=seed)
 
 
 def gradient_boosting(train: DataFrame, label: str, features: str = "features", trees: int = 150, rate: float = 0.05,
