@@ -202,8 +202,8 @@ def refit_best(spark, d):
         model = search.refit_best(rows, found, "label", list(FOREST))
         n = found.count()
     fine = all(t.depth().max() <= best["depth"] and (t.rows[t.feature >= 0] >= best["min_split"]).all() for t in model.trees)
-    return small_frame(spark, [(n, len(model.trees) == best["trees"], fine)], "trials long, size_fits boolean, limits_hold boolean").withColumn(
-        "rows", F.lit(model.transform(rows).where(F.col("prediction").isin(0.0, 1.0)).count()))
+    return small_frame(spark, [(n, len(model.trees) == best["trees"], fine)], "trials int, size_fits boolean, limits_hold boolean").withColumn(
+        "rows", F.lit(model.transform(rows).where(F.col("prediction").isin(0.0, 1.0)).count()).cast("long"))
 
 
 @query("random_search_cv")
