@@ -70,6 +70,15 @@ def test_radius_join(spark):
     assert {(r.src, r.dst) for r in joins.radius_join(df, "id", names, 0.5).collect()} == want
 
 
+def test_radius_join_is_never_broadcast(spark, tmp_path):
+    # equal rows compress to almost nothing, so Spark takes the table for a small one
+    path = str(tmp_path / "rows")
+    spark.range(20_000).selectExpr("id", "cast(id % 7000 as double) AS x").write.parquet(path)
+    found = joins.radius_join(spark.read.parquet(path), "id", ["x"], 0.5)
+    assert found.count() == 6000 * 3 + 1000 * 1
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("pivots,block", [(None, 2048), (6, 16)])
 def test_nearest_neighbours_with_copies(spark, pivots, block):
     x = clumps(3)
