@@ -291,7 +291,9 @@ def grow_tree(rows: Rows, columns: Sequence[int], gradient, gain, leaf_value, de
     wanted = {0: (0, -1)}
     while wanted:
         found = _level(rows, Trunk.of(root), wanted, before, columns, gradient, gain, min_rows, seed, subsample)
-        if depth is None or max(level.values()) + 1 < depth:  # else no node below needs the histograms
+        if max_leaves is not None:  # each round reads all rounds before it, so their plans would double every round
+            found = cut_lineage(found)
+        elif depth is None or max(level.values()) + 1 < depth:  # else no node below needs the histograms
             found = found.persist(StorageLevel.MEMORY_AND_DISK)
         for r in found.drop("hist").collect():  # one row per node
             node = nodes[r["node"]]

@@ -130,6 +130,21 @@ def test_leafwise_growth_keeps_the_best_leaves(data):
     assert sum(n.left is None for n in nodes) == 5
 
 
+def test_leafwise_rounds_do_not_pile_up_plans(spark, monkeypatch):
+    # labels that alternate ever faster to the right: a tree takes many rounds
+    df = spark.createDataFrame([(i, float(i), int(i / 8) % 2 if i < 48 else i % 2) for i in range(64)], "id long, a double, label int")
+    sizes, level = [], boosting._level
+
+    def measured(rows, trunk, wanted, before, *rest):
+        if before is not None:
+            sizes.append(before._jdf.queryExecution().logical().toString().count("\n"))
+        return level(rows, trunk, wanted, before, *rest)
+    monkeypatch.setattr(boosting, "_level", measured)
+    boosting.newton_boost(df, "label", ["a"], ["id"], trees=1, growth="leaf", leaves=12, subsample=1.0, lam=0.0, min_weight=0.0)
+    assert len(sizes) >= 4, sizes
+    assert max(sizes) < sizes[0] + 4 * len(sizes), sizes
+
+
 def test_platt_sigmoid_matches_newton(data, spark):
     df, x, _, label = data
     s = 1 / (1 + np.exp(-x[:, 0]))
