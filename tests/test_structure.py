@@ -92,6 +92,37 @@ def test_nearest_neighbours_with_copies(spark, pivots, block):
         assert [got[i][k] for k in (1, 2, 3, 4)] == [j for _, j in order]
 
 
+def test_vectors_are_sent_a_bounded_number_of_times(spark, monkeypatch):
+    # no structure: every pivot's cell reaches every vector, which went out once per pivot
+    x = np.random.default_rng(4).normal(size=(2000, 16))
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, v array<double>")
+    sent, dealt = [], joins._dealt
+
+    def counted(*args):
+        out = dealt(*args)
+        sent.append(sum(side.count() for side in out))
+        return out
+    monkeypatch.setattr(joins, "_dealt", counted)
+    got = {(r["src"], r["rank"]): r["dst"] for r in joins.knn_join(df, "id", "v", 3, pivots=200).collect()}
+    assert sent[0] <= 2 * (joins.QUERY_GROUPS + 1) * 2000
+    gap = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(gap, np.inf)
+    near = np.argsort(gap, 1)[:, :3]
+    assert got == {(i, j + 1): near[i, j] for i in range(2000) for j in range(3)}
+
+
+def test_steps_of_the_nearest_search_agree_with_brute_force(monkeypatch):
+    monkeypatch.setattr(joins, "QUERY_STEP", 7)
+    monkeypatch.setattr(joins, "CANDIDATE_STEP", 11)
+    x = np.round(np.random.default_rng(6).normal(size=(150, 2)), 1)  # many ties
+    gap = np.sqrt(((x[:40, None] - x[None]) ** 2).sum(2))
+    for take in (1, 9, 30, 500):
+        places, distances = joins._nearest(x[:40], x, take)
+        want = np.argsort(gap, 1, kind="stable")[:, :take]
+        assert all((p == w).all() for p, w in zip(places, want))
+        assert np.allclose(np.array(distances), np.take_along_axis(gap, want, 1))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (300, 100)]
     ids = sorted({i for e in chain for i in e} | {999})
