@@ -92,6 +92,16 @@ def test_nearest_neighbours_with_copies(spark, pivots, block):
         assert [got[i][k] for k in (1, 2, 3, 4)] == [j for _, j in order]
 
 
+@pytest.mark.parametrize("ids", ["long", "string"])
+def test_nearest_neighbours_of_few_rows_in_tiny_blocks(spark, ids):
+    x = [0.0, 1.0, 3.0, 7.0, 8.5, 20.0]
+    df = spark.createDataFrame([(i, [v]) for i, v in enumerate(x)], "id long, v array<double>").withColumn("id", F.col("id").cast(ids))
+    got = {(str(r["src"]), r["rank"]): str(r["dst"]) for r in joins.knn_join(df, "id", "v", 2, pivots=3, block_rows=1).collect()}
+    want = {(str(i), j + 1): str(n) for i, v in enumerate(x)
+            for j, n in enumerate(sorted((k for k in range(6) if k != i), key=lambda k: (abs(x[k] - v), k))[:2])}
+    assert got == want
+
+
 def test_vectors_are_sent_a_bounded_number_of_times(spark, monkeypatch):
     # no structure: every pivot's cell reaches every vector, which went out once per pivot
     x = np.random.default_rng(4).normal(size=(2000, 16))
