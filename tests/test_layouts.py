@@ -126,3 +126,22 @@ def test_student_layout_takes_the_gradient_steps(spark):
         y = y + v
     got = manifold.tsne_layout(points, "id", "v", 2, perplexity=8.0, iterations=3, exaggerated=2).orderBy("id").collect()
     assert np.allclose([[r.dim1, r.dim2] for r in got], y, rtol=1e-6, atol=1e-10)
+
+
+@pytest.mark.parametrize("layout", ["umap", "tsne"])
+def test_rounds_do_not_pile_up_size_guesses(spark, monkeypatch, layout):
+    """Spark guesses the size of a join as the product of its sides: kept from round to round its digits would multiply."""
+    x = np.random.default_rng(8).normal(size=(40, 3))
+    points = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, v array<double>")
+    digits, forces = [], manifold.summed_forces
+
+    def watched(positions, *rest):
+        digits.append(len(positions._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().__str__()))
+        return forces(positions, *rest)
+    monkeypatch.setattr(manifold, "summed_forces", watched)
+    if layout == "umap":
+        out = manifold.umap_layout(points, "id", "v", neighbors=5, epochs=4)
+    else:
+        out = manifold.tsne_layout(points, "id", "v", perplexity=5.0, iterations=4, exaggerated=2)
+    assert out.count() == 40
+    assert len(digits) == 4 and max(digits) <= 10, digits
