@@ -107,3 +107,37 @@ def test_a_table_of_one_class_is_one_leaf(spark):
     model = trees.random_forest(df.withColumn("y", F.lit(3)), "y", trees=3)
     assert all(len(t.heap) == 1 for t in model.trees)
     assert {r["prediction"] for r in model.transform(df).collect()} == {3.0}
+
+
+@pytest.mark.parametrize("local", [0, 50, 10_000])
+def test_growing_below_small_nodes_in_a_task_changes_nothing(rows, monkeypatch, local):
+    df, x, y = rows
+    monkeypatch.setattr(histogram_forest, "LOCAL_ROWS", local)
+    found = trees.random_forest(df, "y", trees=5, depth=9, min_leaf=2, min_split=6)
+    monkeypatch.setattr(histogram_forest, "LOCAL_ROWS", 0)
+    plain = trees.random_forest(df, "y", trees=5, depth=9, min_leaf=2, min_split=6)
+    for a, b in zip(found.trees, plain.trees):
+        at = np.argsort(b.heap)
+        for name in ("heap", "feature", "bin", "counts", "rows", "gain"):
+            assert np.array_equal(getattr(a, name)[np.argsort(a.heap)], getattr(b, name)[at])
+    bins = histogram_forest._bins(x, found.edges)
+    assert np.allclose(found.shares(bins), plain.shares(bins))
+
+
+def test_a_cut_by_rows_is_the_forest_of_that_min_split(rows):
+    df, x, y = rows
+    bins = histogram_forest._bins(x, trees.random_forest(df, "y", trees=1, depth=1).edges)
+    large = trees.random_forest(df, "y", trees=6, depth=8, min_split=2)
+    small = trees.random_forest(df, "y", trees=4, depth=6, min_split=40)
+    assert np.allclose(large.cut(4, 6, 40).shares(bins), small.shares(bins))
+    right = (np.array(small.classes)[small.shares(bins).argmax(1)] == y).mean()
+    assert large.accuracies(df, "y", [(6, 8, 2), (4, 6, 40)])[1] == pytest.approx(right)
+
+
+def test_a_search_grows_one_forest_per_fold_and_min_leaf(rows, monkeypatch):
+    df, *_ = rows
+    grown = []
+    plain = histogram_forest.grow_many
+    monkeypatch.setattr(search, "grow_many", lambda *a, **o: grown.append(a[2]) or plain(*a, **o))
+    search.grid_search_cv(df, ["id"], "y", {"trees": [2, 4], "depth": [2, 3], "min_split": [2, 9], "min_leaf": [1, 3]}, k=2)
+    assert len(grown) == 4 and all(len(limits) == 1 for limits in grown)
