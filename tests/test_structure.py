@@ -249,3 +249,31 @@ def test_layouts_keep_neighbours(spark):
     gap = np.sqrt(((y[:, None] - y[None]) ** 2).sum(2))
     np.fill_diagonal(gap, np.inf)
     assert np.mean((gap.argmin(1) < 25) == (np.arange(50) < 25)) > 0.9
+
+
+@pytest.mark.parametrize("k", [3, 40])
+def test_a_round_of_kmeans_over_stored_blocks_equals_plain_sums(spark, monkeypatch, k):
+    monkeypatch.setattr(clustering, "BLOCK_ROWS", 70)
+    x = np.random.default_rng(3).normal(size=(500, 2))
+    rows = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "code long, x0 double, x1 double").repartition(3)
+    centers = np.random.default_rng(4).normal(size=(2, k, 2))
+    found = {r["slot"]: r for r in clustering._assigned(clustering._blocks(rows), centers, costs=True)}
+    for start in range(2):
+        square = ((x[:, None] - centers[start][None]) ** 2).sum(2)
+        for c in range(k):
+            mine = square.argmin(1) == c
+            r = found.get(start * k + c)
+            assert (r["n"] if r else 0) == mine.sum()
+            if r:
+                assert np.allclose(r["total"], x[mine].sum(0)) and r["cost"] == pytest.approx(square[mine, c].sum())
+
+
+def test_condensed_ward_gives_rows_with_gaps_no_cluster(spark):
+    rows = [(i, float(i % 5), float(i % 3)) for i in range(60)] + [(60, None, 1.0), (61, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    labels, steps = clustering.hierarchical(df, ["a", "b"], k=3, micro=15)
+    found = {r["id"]: r["cluster"] for r in labels.collect()}
+    assert found[60] is None and found[61] is None and {found[i] for i in range(60)} == {0, 1, 2}
+    assert steps.count() == 14
+    for i in range(60):
+        assert found[i] == found[i % 15]
