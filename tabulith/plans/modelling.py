@@ -13,7 +13,7 @@ from ..operators.metrics import classification_metrics, regression_metrics
 from ..operators.prep import fit_preprocessor, slot_names, transform_data
 from ..operators.splits import part_of, stratified_split, train_test_split
 from ..operators.windows import union_results
-from ..runtime import reused
+from ..runtime import reused, write_out
 
 
 def _encoded_parts(df: DataFrame, ids: Sequence[str], label: str, features: Sequence[str], stratify: bool,
@@ -21,6 +21,7 @@ def _encoded_parts(df: DataFrame, ids: Sequence[str], label: str, features: Sequ
     """Split rows with a label, fit the encoder on the training part, encode both: ids, label, features, part."""
     rows = filter_not_null(df, [label])
     parts = stratified_split(rows, label, ids, test_size, seed) if stratify else train_test_split(rows, ids, test_size, seed)
+    parts = write_out(parts, "parts")  # each statistic of the encoder reads them
     model = fit_preprocessor(part_of(parts, "train"), features)
     kept = parts if label not in features else parts.withColumn("_label", F.col(label))
     encoded = transform_data(model, kept, features)

@@ -174,3 +174,10 @@ def test_forest_importances_sum_to_one(data):
     model = trees.random_forest(df, "label", trees=5, depth=3)
     assert sum(r.importance for r in trees.feature_importance(model, df, ["a", "b", "c"]).collect()) == pytest.approx(1.0)
     assert trees.feature_importance(model, df, ["a"]).first()["feature"].startswith("Feature_")
+
+
+def test_inputs_that_encoders_read_often_are_stored(spark):
+    from tabulith.catalog import modelling
+    folder = "/root/testdata/sf0.001"
+    for rows, name in ((modelling.order_features(spark, folder), "order-features"), (modelling.labelled_documents(spark, folder), "labelled")):
+        assert rows.count() > 0 and all(f"/{name}-" in f for f in rows.inputFiles())
