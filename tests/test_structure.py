@@ -277,3 +277,20 @@ def test_condensed_ward_gives_rows_with_gaps_no_cluster(spark):
     assert steps.count() == 14
     for i in range(60):
         assert found[i] == found[i % 15]
+
+
+def test_numbers_of_four_bytes_travel_in_four(spark, monkeypatch):
+    x = np.random.default_rng(9).normal(size=(60, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, v array<float>")
+    sizes, dealt = set(), joins._dealt
+
+    def counted(*args):
+        out = dealt(*args)
+        sizes.update(r["n"] for side in out for r in side.select(F.length("v").alias("n")).collect())
+        return out
+    monkeypatch.setattr(joins, "_dealt", counted)
+    got = {(r["src"], r["rank"]): r["distance"] for r in joins.knn_join(df, "id", "v", 2).collect()}
+    assert sizes == {32}
+    gap = np.sqrt(((x[:, None].astype(float) - x[None]) ** 2).sum(2))
+    np.fill_diagonal(gap, np.inf)
+    assert all(got[i, j + 1] == pytest.approx(np.sort(gap[i])[j], abs=1e-12) for i in range(60) for j in range(2))
