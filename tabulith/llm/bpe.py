@@ -26,7 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .words import SPACE, claim_memory, hash_spans, separator_table, text_runs
+from .words import SPACE, claim_memory, hash_spans, release_memory, separator_table, text_runs
 
 KEPT_WORDS = 1_500_000  # encoded words a worker remembers by hash (some 60 bytes each); beyond, it begins again
 CHUNK_BYTES = 2 << 20  # bytes of text encoded together
@@ -330,21 +330,31 @@ def load(path: str) -> WordBpe:
 
 
 def encode(text: Column, path: str) -> Column:
-    """Token ids of a text column, array<int>."""
-    @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
+    """Token ids of a text column, array<int>. A worker forgets the words it met at the end of its task."""
+    def listed(texts: pa.Array) -> pa.Array:
         parts, begins = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
         for own, at in load(path).encode_array(texts):
             parts.append(own)
             begins.append(begins[-1][-1] + at[1:])
         return pa.ListArray.from_arrays(pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(parts)))
+
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            yield from map(listed, batches)
+        finally:
+            release_memory()
     return ids(text)
 
 
 def decode(ids: Column, path: str) -> Column:
     """Text of a column of token ids; null for null."""
     @F.arrow_udf("string")
-    def texts(lists: pa.Array) -> pa.Array:
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
-        return pa.array([bpe.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], pa.string())
+        try:
+            for lists in batches:
+                yield pa.array([bpe.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], pa.string())
+        finally:
+            release_memory()
     return texts(ids)

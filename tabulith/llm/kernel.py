@@ -39,7 +39,7 @@ WINDOWS = {6: 1, 12: 2}  # longer words are compared in windows of so many lette
 CHUNK = 8192  # windows of words compared at once
 CLOSE_ROWS = 16  # close sentences of a document used in training
 ROUNDS = 4
-KEPT_WORDS = 400_000  # words whose features a worker remembers; beyond, it begins again
+KEPT_WORDS = 200_000  # words whose features a worker remembers; beyond, it begins again
 BATCH_CHARS = 2_000_000
 SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
@@ -216,6 +216,7 @@ class Machine:
         self.known: dict[str, int] = {}  # what is known of a white-space separated word, as in ``learn``
         self.rows: dict[str, int] = {}  # a cleaned word's row in ``table``, -1 if it is alike to no landmark
         self.table = np.zeros((0, len(self.landmarks)), np.float32)
+        _own_values.clear()
 
     def learn(self, raw: Iterable[str]) -> None:
         """Kernel values of new words. ``known`` packs the row in ``table`` plus one, whether the word ends a sentence, and how many
@@ -472,6 +473,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         root = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
         first = np.ones(m)
         with reused(_sentences(sample, docs.sparkSession.sparkContext.broadcast(machine))) as bags:
+            bags.count()  # stored first: else each task of the first round has two workers, which stay with what they remember
             for _ in range(ROUNDS):
                 x, y, share = _instances(bags, first)
                 if len(set(y.tolist())) < 2:

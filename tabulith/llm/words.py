@@ -6,6 +6,8 @@ byte values times powers gives every word a 64-bit hash without making a Python
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -52,11 +54,21 @@ _holder: list = []
 def claim_memory(owner) -> None:
     """Let one object of a worker process remember words: when another begins, the one before forgets what it kept."""
     if not _holder or _holder[0] is not owner:
-        if _holder:
-            _holder[0].forget()
+        release_memory()
         _holder[:] = [owner]
 
 
+def release_memory() -> None:
+    """Forget what this worker process remembers and return the memory to the system: idle workers live on beside busy ones."""
+    if _holder:
+        _holder.pop().forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed pages otherwise
+    if trim:
+        trim(0)
+
+
 def separator_table(separators: list[int]) -> np.ndarray:
     table = np.zeros(256, bool)
     table[separators] = True

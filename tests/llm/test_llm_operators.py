@@ -422,3 +422,24 @@ def test_shares_of_a_class_sum_to_one(spark):
         mass[own] = mass.get(own, 0) + c
     for cls, total in mass.items():
         assert total == known.class_total[cls]
+
+
+def test_a_worker_forgets_at_the_end_of_a_task(monkeypatch):
+    from tabulith.llm import kernel, words
+
+    class Owner:
+        kept = [1]
+
+        def forget(self):
+            self.kept = []
+    a, b = Owner(), Owner()
+    words.claim_memory(a)
+    words.claim_memory(b)
+    assert a.kept == [] and b.kept == [1] and words._holder == [b]
+    words.release_memory()
+    assert b.kept == [] and words._holder == []
+    machine = kernel.Machine(["^abcdef"])
+    machine.learn(["abcdef", "abcdeg"])
+    assert kernel._own_values
+    machine.forget()
+    assert not kernel._own_values and not machine.known
