@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabulith.runtime import reused
 
-from .words import bound_batches, claim_memory
+from .words import bound_batches, claim_memory, release_memory
 
 TRAIN_DOCS = 4000  # expected number of labelled documents per class that the machine is fitted on
 LANDMARKS = 64
@@ -39,7 +39,7 @@ WINDOWS = {6: 1, 12: 2}  # longer words are compared in windows of so many lette
 CHUNK = 8192  # windows of words compared at once
 CLOSE_ROWS = 16  # close sentences of a document used in training
 ROUNDS = 4
-KEPT_WORDS = 200_000  # words whose features a worker remembers; beyond, it begins again
+KEPT_WORDS = 400_000  # words whose features a worker remembers; beyond, it begins again
 BATCH_CHARS = 2_000_000
 SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
@@ -487,9 +487,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return machine
 
 
-def score(text: Column, machine: Broadcast) -> Column:
-    """Chance that a text is toxic, 0 to 1."""
+def score(text: Column, machine: Broadcast, release: bool = False) -> Column:
+    """Chance that a text is toxic, 0 to 1. With ``release`` a worker forgets its words at the end of a task, for the sake of
+    later stages, and a task learns them anew."""
     @F.arrow_udf("double")
-    def chance(texts: pa.Array) -> pa.Array:
-        return pa.array(machine.value.score(map(pa.StringScalar.as_py, texts)), pa.float64())
+    def chance(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                yield pa.array(machine.value.score(map(pa.StringScalar.as_py, texts)), pa.float64())
+        finally:
+            if release:
+                release_memory()
     return chance(text)

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import bound_batches, claim_memory
+from .words import bound_batches, claim_memory, release_memory
 
 TRAIN_DOCS = 3000  # expected number of labelled documents learned from, per language
 BUCKETS = 1 << 17  # trigrams are hashed into so many cells per language
@@ -199,6 +199,10 @@ def predict(text: Column, model: Broadcast) -> Column:
         pa.struct([("lang", pa.string()), ("share", pa.float64())])))])
 
     @F.arrow_udf("struct<lang_pred:string,score:double,languages:array<struct<lang:string,share:double>>>")
-    def answer(texts: pa.Array) -> pa.Array:
-        return pa.array(_answers(model.value, map(pa.StringScalar.as_py, texts)), kind)
+    def answer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                yield pa.array(_answers(model.value, map(pa.StringScalar.as_py, texts)), kind)
+        finally:
+            release_memory()  # a worker that idles in later stages keeps nothing
     return answer(text)
