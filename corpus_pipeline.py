@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tabulith.catalog import table
 from tabulith.llm import bpe, forest, kernel, mixture, winnowing
-from tabulith.llm.words import bound_batches
+from tabulith.llm.words import SMALL_BATCH, bound_batches
 from tabulith.runtime import write_out
 
 LEAST_SHARE = 0.4  # a document whose best language scores less goes
@@ -26,15 +26,15 @@ LEAST_SHARE = 0.4  # a document whose best language scores less goes
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fitted on the labelled documents of the stage's input."""
-    bound_batches(spark)
-    machine = spark.sparkContext.broadcast(kernel.fit(docs, table(spark, sf_dir, "labels")))
+    machine = spark.sparkContext.broadcast(kernel.fit(docs, table(spark, sf_dir, "labels"), release=True))
+    bound_batches(spark, SMALL_BATCH)
     return docs.where(kernel.score(F.col("text"), machine, release=True) < 0.5)
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fitted on the documents with a language; the language column itself stays as it is."""
-    bound_batches(spark)
     answer = mixture.predict(F.col("text"), spark.sparkContext.broadcast(mixture.fit(docs)))
+    bound_batches(spark, SMALL_BATCH)
     asked = docs.select(F.struct("*").alias("row"), answer.alias("answer"))
     return asked.where((F.col("answer.lang_pred") != "und") & (F.col("answer.score") >= LEAST_SHARE)).select("row.*")
 
@@ -48,6 +48,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = winnowing.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    bound_batches(spark, SMALL_BATCH)
     n_hit = winnowing.contaminated_words(F.col("spans"))
     gone = found.where(winnowing.is_contaminated(n_hit, F.col("n_words"))).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -55,11 +56,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def with_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, ids, n_tokens, decoded_sha256): the last is of the UTF-8 text that the ids decode to."""
-    bound_batches(spark)
+    bound_batches(spark, SMALL_BATCH)
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = docs.select("doc_id", "lang", "source", bpe.encode(F.col("text"), path).alias("ids"))
-    return coded.select("*", F.size("ids").cast("bigint").alias("n_tokens"),
-                        F.sha2(bpe.decode(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", "lang", "source", bpe.round_trip(F.col("text"), path).alias("coded"))
+    return coded.select("doc_id", "lang", "source", "coded.ids", F.size("coded.ids").cast("bigint").alias("n_tokens"),
+                        "coded.decoded_sha256")
 
 
 STAGES = [("toxicity", without_toxic), ("language", with_language), ("near_dedup", one_of_each_group),

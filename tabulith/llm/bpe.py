@@ -13,6 +13,7 @@ library's default.
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import re
 import unicodedata
@@ -329,24 +330,44 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def _listed(bpe: WordBpe, texts: pa.Array) -> pa.Array:
+    parts, begins = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for own, at in bpe.encode_array(texts):
+        parts.append(own)
+        begins.append(begins[-1][-1] + at[1:])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(parts)))
+
+
 def encode(text: Column, path: str) -> Column:
     """Token ids of a text column, array<int>. A worker forgets the words it met at the end of its task."""
-    def listed(texts: pa.Array) -> pa.Array:
-        parts, begins = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-        for own, at in load(path).encode_array(texts):
-            parts.append(own)
-            begins.append(begins[-1][-1] + at[1:])
-        return pa.ListArray.from_arrays(pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(parts)))
-
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         try:
-            yield from map(listed, batches)
+            for texts in batches:
+                yield _listed(load(path), texts)
         finally:
             release_memory()
     return ids(text)
 
 
+def round_trip(text: Column, path: str) -> Column:
+    """struct<ids: array<int>, decoded_sha256: string>: ``encode``, and the digest of the UTF-8 text that ``decode`` makes of the ids, by
+    one worker a task instead of two."""
+    kind = "struct<ids:array<int>,decoded_sha256:string>"
+
+    @F.arrow_udf(kind)
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = load(path)
+        try:
+            for texts in batches:
+                lists = _listed(bpe, texts)
+                digests = [hashlib.sha256(bpe.decode(x.values.to_numpy().tolist()).encode()).hexdigest() for x in lists]
+                yield pa.StructArray.from_arrays([lists, pa.array(digests, pa.string())], names=["ids", "decoded_sha256"])
+        finally:
+            release_memory()
+    return both(text)
+
+
 def decode(ids: Column, path: str) -> Column:
     """Text of a column of token ids; null for null."""
     @F.arrow_udf("string")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabulith.operators.clustering import connected_components
 from tabulith.runtime import write_out
 
-from .words import SPACE, bound_batches, hash_words, mix, separator_table, shingles
+from .words import SMALL_BATCH, SPACE, bound_batches, hash_words, mix, release_memory, separator_table, shingles
 
 HASHES = 120
 DEPTH = 6  # values that define a region
@@ -70,16 +70,20 @@ def _sets(texts: pa.Array, size: int, separators: list[int]) -> Iterator[np.ndar
 def shingle_classes(docs: DataFrame, key: str, text: str, size: int, separators: list[int]) -> DataFrame:
     """(key, n, h1, h2, low): size, 128-bit fingerprint and signature of each text's shingle set."""
     @F.arrow_udf("struct<n:bigint,h1:bigint,h2:bigint,low:binary>")
-    def digest(texts: pa.Array) -> pa.Array:
-        n, h1, h2, low = [], [], [], []
-        for s in _sets(texts, size, separators):
-            n.append(len(s))
-            h1.append(int(np.bitwise_xor.reduce(s).astype(np.int64)) if len(s) else 0)
-            h2.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
-            low.append(signature(s).tobytes() if len(s) else None)
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                                           pa.array(low, pa.binary())], names=["n", "h1", "h2", "low"])
-    bound_batches(docs.sparkSession)
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                n, h1, h2, low = [], [], [], []
+                for s in _sets(texts, size, separators):
+                    n.append(len(s))
+                    h1.append(int(np.bitwise_xor.reduce(s).astype(np.int64)) if len(s) else 0)
+                    h2.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
+                    low.append(signature(s).tobytes() if len(s) else None)
+                yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                                                  pa.array(low, pa.binary())], names=["n", "h1", "h2", "low"])
+        finally:
+            release_memory()
+    bound_batches(docs.sparkSession, SMALL_BATCH)
     return docs.select(F.col(key).cast("bigint").alias("key"), digest(F.col(text)).alias("d")).select("key", "d.*")
 
 

@@ -36,10 +36,11 @@ CLOSE = 0.5  # a sentence with such a feature is an instance of its own in train
 LENGTH, DECAY = 3, 0.75  # letters of a subsequence, weight per position it spans
 ACTIVE = 0.2  # kernel values below count as 0; three letters inserted into a word of six leave about 0.3
 WINDOWS = {6: 1, 12: 2}  # longer words are compared in windows of so many letters, one every so many, and whole up to the longest
-CHUNK = 8192  # windows of words compared at once
+CHUNK = 2048  # windows of words compared at once
 CLOSE_ROWS = 16  # close sentences of a document used in training
 ROUNDS = 4
 KEPT_WORDS = 400_000  # words whose features a worker remembers; beyond, it begins again
+FEW_WORDS = 150_000  # the same where memory counts more than time
 BATCH_CHARS = 2_000_000
 SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
@@ -207,6 +208,7 @@ class Machine:
     bias: float = 0.0
     slope: float = 1.0
     shift: float = -2.0
+    kept: int = KEPT_WORDS
 
     def __post_init__(self):
         self.marks = Landmarks(self.landmarks)
@@ -245,7 +247,7 @@ class Machine:
                 if size > BATCH_CHARS:
                     more = True
                     break
-            if len(self.known) > KEPT_WORDS:
+            if len(self.known) > self.kept:
                 self.forget()
             yield from self._batch(batch)
 
@@ -401,15 +403,19 @@ def _spread(words: list[str], n: int, apart: float = 0.6) -> list[str]:
     return [words[at] for at in chosen]
 
 
-def _sentences(sample: DataFrame, machine: Broadcast) -> DataFrame:
+def _sentences(sample: DataFrame, machine: Broadcast, release: bool = False) -> DataFrame:
     """(y, x): per document its distinct sentences as rows of features, the last one without any match."""
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(machine.value.landmarks)
-        for batch in batches:
-            found = [np.vstack([np.unique(np.round(r, 4), axis=0), np.zeros((1, width), np.float32)]) for r in
-                     machine.value.features(map(pa.StringScalar.as_py, batch.column(0)))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.astype(np.float32).tobytes() for x in found], pa.binary())],
-                                             ["y", "x"])
+        try:
+            for batch in batches:
+                found = [np.vstack([np.unique(np.round(r, 4), axis=0), np.zeros((1, width), np.float32)]) for r in
+                         machine.value.features(map(pa.StringScalar.as_py, batch.column(0)))]
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.astype(np.float32).tobytes() for x in found], pa.binary())],
+                                                 ["y", "x"])
+        finally:
+            if release:
+                release_memory()
     return sample.mapInArrow(bags, "y int, x binary")
 
 
@@ -452,18 +458,19 @@ def _margins(bags: DataFrame, machine: Machine) -> tuple[np.ndarray, np.ndarray]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARKS) -> Machine:
+        train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARKS, release: bool = False) -> Machine:
     """Landmarks and machine from a bounded sample of the labelled documents.
 
     The sample's sentences stay on the executors; what comes to the driver are the instances of a round, at most
-    CLOSE_ROWS + 1 of a document.
+    CLOSE_ROWS + 1 of a document. With ``release`` workers remember FEW_WORDS, here and in ``score``, and forget them at the end of a task.
     """
+    kept = FEW_WORDS if release else KEPT_WORDS
     bound_batches(docs.sparkSession)
     sample, true_weight = _draw(docs, labels, key, text, label, train_docs)
     with reused(sample) as sample:
         marks = _spread(_candidates(sample, CANDIDATES), landmarks)
         # without START they are found inside other words
-        machine = Machine(marks + [w for w in dict.fromkeys(m[1:] for m in marks) if len(w) > LENGTH])
+        machine = Machine(marks + [w for w in dict.fromkeys(m[1:] for m in marks) if len(w) > LENGTH], kept=kept)
         if not machine.landmarks:
             return Machine([])
         m = len(machine.landmarks)
@@ -472,7 +479,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         value, vector = np.linalg.eigh(close)
         root = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
         first = np.ones(m)
-        with reused(_sentences(sample, docs.sparkSession.sparkContext.broadcast(machine))) as bags:
+        with reused(_sentences(sample, docs.sparkSession.sparkContext.broadcast(machine), release)) as bags:
             bags.count()  # stored first: else each task of the first round has two workers, which stay with what they remember
             for _ in range(ROUNDS):
                 x, y, share = _instances(bags, first)

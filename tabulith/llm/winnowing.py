@@ -171,7 +171,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     own = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text_hash"),
                       _hits_udf(spark.sparkContext.broadcast(bits), sorted(short), window, gram, separators)(F.col(text)).alias("h"))
     # every row of docs has one marker (a window of size 0), so that rows without hits stay and repeats are counted
-    marked = own.select("key", "text_hash", F.col("h.n_words").alias("n_words"), F.inline(F.concat(
+    # never null: a test that it isn't would be pushed below the texts' own pass, which would then run twice
+    n_words = F.coalesce(F.col("h.n_words"), F.lit(0)).alias("n_words")
+    marked = own.select("key", "text_hash", n_words, F.inline(F.concat(
         F.array(F.struct(F.lit(0).cast("bigint").alias("win"), F.lit(0).alias("start"), F.lit(0).alias("size"))),
         F.col("h.windows"))))
     met = marked.join(ids, ["win", "size"], "left").where((F.col("size") == 0) | F.col("items").isNotNull())

@@ -19,6 +19,7 @@ BLOCK = 1 << 19  # bytes hashed at once: keeps the temporary arrays near 20 MB
 SPACE = [0x20, *range(0x09, 0x0E)]
 NOT_ALNUM = [*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
 BATCH_BYTES = 16 << 20
+SMALL_BATCH = 4 << 20  # where a task's work doesn't gain from more: each batch is held in the executor and in its worker
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240501)
@@ -211,5 +212,5 @@ def map_batches(docs: DataFrame, function: Callable[[Iterator[pa.RecordBatch]],
     return docs.mapInArrow(function, schema)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

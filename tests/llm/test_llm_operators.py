@@ -443,3 +443,31 @@ def test_a_worker_forgets_at_the_end_of_a_task(monkeypatch):
     assert kernel._own_values
     machine.forget()
     assert not kernel._own_values and not machine.known
+
+
+def test_one_worker_codes_and_decodes(odd):
+    """The pipeline's last stage: ids and the digest of their text by one Python step, equal to the two steps."""
+    both = odd.select("doc_id", bpe.round_trip(F.col("text"), WORD_BPE).alias("c")).select("doc_id", "c.ids", "c.decoded_sha256", F.size("c.ids"))
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    ids = odd.select("doc_id", bpe.encode(F.col("text"), WORD_BPE).alias("ids"))
+    plain = ids.select("doc_id", "ids", F.sha2(bpe.decode(F.col("ids"), WORD_BPE).cast("binary"), 256), F.size("ids"))
+    assert ordered(map(tuple, both.collect())) == ordered(map(tuple, plain.collect()))
+
+
+def test_kept_words_of_a_releasing_machine_are_few(odd):
+    rows = [(i, f"{w} zebra{i}") for i, w in enumerate(["hatefulness", "kindness"] * 20)]
+    docs = odd.sparkSession.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (1 - F.col("doc_id") % 2).cast("int").alias("toxic"))
+    few, many = kernel.fit(docs, labels, release=True), kernel.fit(docs, labels)
+    assert few.landmarks == many.landmarks != [] and few.bias == many.bias
+    assert few.kept == kernel.FEW_WORDS < many.kept == kernel.KEPT_WORDS
+    few.kept = 1
+    texts = [t for _, t in rows] * 3
+    assert list(few.score(texts)) == list(many.score(texts))
+
+
+def test_contaminated_documents_are_read_by_one_python_step(spark, odd):
+    items = spark.createDataFrame([("a", "one two three")], "item_id string, text string")
+    found = winnowing.contamination(odd.select("doc_id", "text"), items)
+    gone = found.where(winnowing.is_contaminated(winnowing.contaminated_words(F.col("spans")), F.col("n_words")))
+    assert gone._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
