@@ -29,7 +29,7 @@ from .words import SPACE, bound_batches, hash_spans, separator_table, text_runs
 
 REPLICAS = 6  # at least; a replica learns from about REPLICA_TOKENS words
 REPLICA_TOKENS = 4_000_000
-RUN_TOKENS = 1 << 20  # words laid out in lanes at once in training
+RUN_TOKENS = 1 << 21  # words laid out in lanes at once in training
 FAN_IN = 32  # replicas' weights averaged in one task
 TRAIN_ROUNDS = 3
 OWN_CLASS = 40  # words with a class of their own
@@ -39,8 +39,9 @@ CLASSES = END + 1
 HIDDEN = 24
 HEAD_WORDS = 400_000  # words whose counts travel to every task, 18 bytes each
 WINDOW, LANES, RATE = 24, 96, 0.01
+OUT_STEPS = 4  # steps whose output layer is computed at once in training
 SCORE_LANES = 256
-SCORE_STEPS = 16
+SCORE_STEPS = 8
 SCORE_BYTES = 8 << 20  # text scored at once
 
 
@@ -98,20 +99,30 @@ class Net:
         return Net(*[x.reshape(s).astype(np.float32) for x, s in zip(np.split(flat, cuts), shapes)])
 
     def step(self, h: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
-        return self.move(h, self.embed[classes])
-
-    def move(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
-        g = h @ self.recur
+        x, g = self.embed[classes], h @ self.recur
         gates = 1 / (1 + np.exp(-(x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN])))
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         n = np.tanh(x[:, 2 * HIDDEN:] + r * g[:, 2 * HIDDEN:])
         return n + z * (h - n), z, r, n, g[:, 2 * HIDDEN:]
 
+    def small_logits(self) -> bool:
+        """No state, whose numbers lie between -1 and 1, can give a logit whose exponential leaves the range of floats."""
+        return float((np.abs(self.out).sum(0) + np.abs(self.bias)).max()) < 60
+
     def log_classes(self, h: np.ndarray) -> np.ndarray:
         logits = h @ self.out + self.bias
         logits -= logits.max(-1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
 
+    def log_class(self, states: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Natural log-probability of one class after each state; states are time x hidden x lane, classes time x lane."""
+        logits = np.matmul(self.out.T, states)
+        logits += self.bias[:, None]
+        if not self.small_logits():
+            logits -= logits.max(1, keepdims=True)
+        own = np.take_along_axis(logits, classes[:, None], 1)[:, 0]
+        return own - np.log(np.exp(logits, out=logits).sum(1))
+
 
 class Backward:
     """Gradients of one network over windows of time x lane arrays, in buffers that are made once.
@@ -122,12 +133,12 @@ class Backward:
     def __init__(self, net: Net, lanes: int):
         self.net, self.lanes = net, lanes
         shape = (WINDOW, HIDDEN, lanes)
-        self.past, self.n, self.gn, self.states, self.to_state = (np.empty(shape, np.float32) for _ in range(5))
-        self.zr = np.empty((WINDOW, 2 * HIDDEN, lanes), np.float32)
-        self.to_x = np.empty((3 * HIDDEN, WINDOW, lanes), np.float32)
-        self.x, self.g, self.dg = (np.empty((3 * HIDDEN, lanes), np.float32) for _ in range(3))
-        self.later, self.work = (np.empty((HIDDEN, lanes), np.float32) for _ in range(2))
-        self.wrong, self.places = np.empty((CLASSES, lanes), np.float32), np.arange(lanes)
+        self.past, self.n, self.gn, self.states, self.to_state, self.work, self.gate = (np.empty(shape, np.float32) for _ in range(7))
+        self.zr, self.slopes = (np.empty((WINDOW, 2 * HIDDEN, lanes), np.float32) for _ in range(2))
+        self.to_x, self.to_g = (np.empty((WINDOW, 3 * HIDDEN, lanes), np.float32) for _ in range(2))
+        self.x, self.g = (np.empty((3 * HIDDEN, lanes), np.float32) for _ in range(2))
+        self.later, self.back = (np.empty((HIDDEN, lanes), np.float32) for _ in range(2))
+        self.wrong = np.empty((OUT_STEPS, CLASSES, lanes), np.float32)
 
     def __call__(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, weight: np.ndarray):
         """(gradients, last state) of one window of time x lane arrays; the state before it, hidden x lane, is taken as given."""
@@ -135,38 +146,41 @@ class Backward:
         resets, keep = fresh.any(1), (~fresh).astype(np.float32)
         self._forward(h, inputs, keep, resets)
         d_out, d_bias = self._outputs(targets, weight, steps)
-        d_recur = np.zeros_like(net.recur)
-        later, work, dg, one = self.later, self.work, self.dg, np.float32(1)
+        past, n, gn, work = (x[:steps] for x in (self.past, self.n, self.gn, self.work))
+        z, r = self.zr[:steps, :HIDDEN], self.zr[:steps, HIDDEN:]
+        # what the gradients of update, candidate and reset are per unit of the state's: the same for all steps at once
+        to_z, to_r, to_n = self.slopes[:steps, :HIDDEN], self.slopes[:steps, HIDDEN:], np.multiply(n, n, out=self.gate[:steps])
+        np.subtract(1, z, out=work)
+        np.subtract(past, n, out=to_z)
+        to_z *= z
+        to_z *= work
+        np.subtract(1, to_n, out=to_n)
+        to_n *= work
+        np.subtract(1, r, out=to_r)
+        to_r *= r
+        to_r *= gn
+        later, back, recur = self.later, self.back, net.recur
         later[:] = 0
         for t in range(steps - 1, -1, -1):
-            z, r, n = self.zr[t, :HIDDEN], self.zr[t, HIDDEN:], self.n[t]
             later += self.to_state[t]
-            dz, dr, dn = dg[:HIDDEN], dg[HIDDEN:2 * HIDDEN], dg[2 * HIDDEN:]
-            np.subtract(one, z, out=work)
-            np.subtract(self.past[t], n, out=dz)
-            dz *= z
-            dz *= work
-            dz *= later
-            np.multiply(n, n, out=dn)
-            np.subtract(one, dn, out=dn)
-            dn *= work
-            dn *= later
-            np.subtract(one, r, out=dr)
-            dr *= r
-            dr *= self.gn[t]
-            dr *= dn
-            self.to_x[:, t] = dg
-            dn *= r
-            later *= z
-            np.matmul(net.recur, dg, out=work)
-            later += work
+            dx, dg = self.to_x[t], self.to_g[t]
+            dn = dx[2 * HIDDEN:]
+            np.multiply(to_z[t], later, out=dx[:HIDDEN])
+            np.multiply(to_n[t], later, out=dn)
+            np.multiply(to_r[t], dn, out=dx[HIDDEN:2 * HIDDEN])
+            dg[:2 * HIDDEN] = dx[:2 * HIDDEN]
+            np.multiply(dn, r[t], out=dg[2 * HIDDEN:])
+            later *= z[t]
+            np.matmul(recur, dg, out=back)
+            later += back
             if resets[t]:
                 later *= keep[t]
-            d_recur += self.past[t] @ dg.T
-        order = np.argsort(inputs, axis=None, kind="stable")
+        d_recur = np.matmul(past, self.to_g[:steps].transpose(0, 2, 1)).sum(0)
+        order = np.argsort(inputs.astype(np.uint8), axis=None, kind="stable")
         classes, first = np.unique(inputs.ravel()[order], return_index=True)
+        flat = self.to_x[:steps].transpose(1, 0, 2).reshape(3 * HIDDEN, -1)
         d_embed = np.zeros_like(net.embed)
-        d_embed[classes] = np.add.reduceat(np.take(self.to_x[:, :steps].reshape(3 * HIDDEN, -1), order, 1), first, axis=1).T
+        d_embed[classes] = np.add.reduceat(np.take(flat, order, 1), first, axis=1).T
         return [d_embed, d_recur, d_out, d_bias], self.states[steps - 1].copy()
 
     def _forward(self, h: np.ndarray, inputs: np.ndarray, keep: np.ndarray, resets: np.ndarray) -> None:
@@ -195,20 +209,25 @@ class Backward:
 
     def _outputs(self, targets: np.ndarray, weight: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of the output layer; what goes back to the states is kept in ``to_state``."""
-        net, wrong = self.net, self.wrong
+        net = self.net
         d_out, d_bias = np.zeros_like(net.out), np.zeros_like(net.bias)
         into, bias = np.ascontiguousarray(net.out.T), net.bias[:, None]
+        small = net.small_logits()
         scale = (weight / max(1.0, float(weight.sum()))).astype(np.float32)
-        for t in range(steps):
-            np.matmul(into, self.states[t], out=wrong)
+        for low in range(0, steps, OUT_STEPS):
+            part = slice(low, min(low + OUT_STEPS, steps))
+            states, share = self.states[part], scale[part]
+            wrong = np.matmul(into, states, out=self.wrong[:len(states)])
             wrong += bias
-            wrong -= wrong.max(0)
+            if not small:
+                wrong -= wrong.max(1, keepdims=True)
             np.exp(wrong, out=wrong)
-            wrong *= scale[t] / wrong.sum(0)
-            wrong[targets[t], self.places] -= scale[t]
-            d_out += self.states[t] @ wrong.T
-            d_bias += wrong.sum(1)
-            np.matmul(net.out, wrong, out=self.to_state[t])
+            wrong *= (share / wrong.sum(1))[:, None]
+            right = targets[part][:, None]
+            np.put_along_axis(wrong, right, np.take_along_axis(wrong, right, 1) - share[:, None], 1)
+            d_out += np.matmul(states, wrong.transpose(0, 2, 1)).sum(0)
+            d_bias += wrong.sum(2).sum(0)
+            np.matmul(net.out, wrong, out=self.to_state[part])
         return d_out, d_bias
 
 
@@ -273,21 +292,36 @@ def log_likelihood(net: Net, sequences: list[np.ndarray]) -> np.ndarray:
     filled = (owner >= 0).sum(0)
     order = np.argsort(-filled, kind="stable")  # lanes that end first stand last and are left out from there on
     classes, first, owner, filled = classes[:, order], first[:, order], owner[:, order], filled[order]
-    h = np.zeros((classes.shape[1], HIDDEN), np.float32)
+    embed, recur = np.ascontiguousarray(net.embed.T), np.ascontiguousarray(net.recur.T)
+    # hidden x lane, as in ``Backward``
+    h = np.zeros((HIDDEN, classes.shape[1]), np.float32)
     before = np.full(classes.shape[1], END)
     for low in range(0, len(classes), SCORE_STEPS):
         live = int((filled > low).sum())
-        h, before = h[:live], before[:live]
-        states = []
-        for t in range(low, min(low + SCORE_STEPS, len(classes))):
+        part = slice(low, min(low + SCORE_STEPS, len(classes)))
+        states = np.empty((part.stop - low, HIDDEN, live), np.float32)
+        x, g = np.empty((3 * HIDDEN, live), np.float32), np.empty((3 * HIDDEN, live), np.float32)
+        gates, n = x[:2 * HIDDEN], g[2 * HIDDEN:]
+        h, before = h[:, :live], before[:live]
+        for t, new in enumerate(states, low):
             fresh = first[t, :live]
             if fresh.any():
-                h, before = np.where(fresh[:, None], np.float32(0), h), np.where(fresh, END, before)
-            h = net.step(h, before)[0]
-            states.append(h)
-            before = classes[t, :live]
-        part = slice(low, low + len(states))
-        logs = np.take_along_axis(net.log_classes(np.stack(states)), classes[part, :live][..., None], -1)[..., 0]
+                h, before = h * ~fresh, np.where(fresh, END, before)
+            np.matmul(recur, h, out=g)
+            np.take(embed, before, 1, out=x, mode="clip")
+            gates += g[:2 * HIDDEN]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            n *= gates[HIDDEN:]
+            n += x[2 * HIDDEN:]
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=new)
+            new *= gates[:HIDDEN]
+            new += n
+            h, before = new, classes[t, :live]
+        logs = net.log_class(states, classes[part, :live])
         mine = owner[part, :live] >= 0
         out += np.bincount(owner[part, :live][mine], logs[mine].astype(np.float64), minlength=len(sequences))
     return out

@@ -471,3 +471,25 @@ def test_contaminated_documents_are_read_by_one_python_step(spark, odd):
     found = winnowing.contamination(odd.select("doc_id", "text"), items)
     gone = found.where(winnowing.is_contaminated(winnowing.contaminated_words(F.col("spans")), F.col("n_words")))
     assert gone._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_scores_stay_exact_where_logits_are_large_and_lanes_end_apart():
+    rng = np.random.default_rng(3)
+    for scale in (0.3, 30.0):
+        net = recurrent.Net(*[(scale * rng.normal(size=x.shape)).astype(np.float32) for x in recurrent.Net.fresh(np.zeros(recurrent.CLASSES)).arrays()])
+        texts = [rng.integers(0, recurrent.CLASSES, n) for n in (1, 7, 300, 2, 40)]
+        plain = []
+        for text in texts:
+            h, before, total = np.zeros((1, recurrent.HIDDEN), np.float32), recurrent.END, 0.0
+            for c in text:
+                h = net.step(h, np.array([before]))[0]
+                total, before = total + float(net.log_classes(h)[0, c]), c
+            plain.append(total)
+        np.testing.assert_allclose(recurrent.log_likelihood(net, texts), plain, rtol=2e-3)
+    assert recurrent.Net.fresh(np.zeros(recurrent.CLASSES)).small_logits() and not net.small_logits()
+
+
+def test_a_round_of_a_replica_is_one_run():
+    """A short second run costs as many steps as its longest document has words."""
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes(5000)] * 270, pa.binary())], ["classes"])
+    assert [len(r) for r in recurrent._runs([batch], 0)] == [270]
