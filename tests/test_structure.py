@@ -1,6 +1,7 @@
 """Neighbours, clusters and layouts against brute force, with copies and hot spots."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,6 +63,27 @@ def test_rows_without_a_position_are_noise(spark):
     assert got == {1: (0, "core"), 2: (0, "core"), 3: (-1, "noise"), 4: (-1, "noise")}
 
 
+@pytest.mark.parametrize("few,direct", [(100_000, 20_000_000), (0, 0)])
+def test_rows_that_share_an_id_are_told_apart_by_position(spark, few, direct, monkeypatch):
+    monkeypatch.setattr(clustering, "LISTED_CELLS", few)
+    monkeypatch.setattr(clustering, "DIRECT_PAIRS", direct)
+    x = clumps(2)
+    _, label, kind = brute_dbscan(x, 0.3, 6)
+    df = spark.createDataFrame([(7, *map(float, p)) for p in x], "id long, f0 double, f1 double")
+    got = Counter((r.f0, r.f1, r.kind) for r in clustering.dbscan(df, "id", ["f0", "f1"], 0.3, 6).collect())
+    assert got == Counter((a, b, k) for (a, b), k in zip(x.tolist(), kind))
+
+
+def test_dense_rows_are_not_shuffled(spark):
+    """Rows of cells that are full of core points stay in their task: a shuffle carries cells."""
+    rng = np.random.default_rng(3)
+    df, names = frame(spark, np.round(rng.uniform(0, 2, size=(20_000, 2)), 4))
+    plan = clustering.dbscan(df.repartition(4), "id", names, 0.5, 10)
+    found = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in found and found.count("Exchange") <= 2  # the repartition, and the short table of cells
+    assert {(r.cluster, r.kind, r["count"]) for r in plan.groupBy("cluster", "kind").count().collect()} == {(0, "core", 20_000)}
+
+
 def test_radius_join(spark):
     x = clumps(4)[:120]
     df, names = frame(spark, x)
