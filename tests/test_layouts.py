@@ -145,3 +145,52 @@ def test_rounds_do_not_pile_up_size_guesses(spark, monkeypatch, layout):
         out = manifold.tsne_layout(points, "id", "v", perplexity=5.0, iterations=4, exaggerated=2)
     assert out.count() == 40
     assert len(digits) == 4 and max(digits) <= 10, digits
+
+
+@pytest.mark.parametrize("dims", [1, 2, 3])
+def test_held_repulsion_is_near_the_sum_over_all_pairs(monkeypatch, dims):
+    """The walk through the cells in two shares, down to cells whose rows cannot be told apart."""
+    monkeypatch.setattr(repulsion, "NEAR_ROWS", 100)
+    y = cloud(dims, dims)
+    y[-60:-2] = y[-60]
+    cells = repulsion.Cells(y)
+    shares = [cells.forces(a, b, repulsion.student_force) for a, b in ((0, 250), (250, len(y)))]
+    f, z = all_pairs(y[cells.order], repulsion.student_force)
+    assert np.abs(np.concatenate([s[1] for s in shares]) / z - 1).max() < 0.03
+    miss = np.linalg.norm(np.concatenate([s[0] for s in shares]) - f, axis=1)
+    assert np.sqrt((miss**2).mean()) < 0.01 * np.sqrt((f**2).sum(1).mean())
+    monkeypatch.setattr(repulsion, "NEAR_ROWS", 10)
+    met = cells.forces(0, len(y), lambda gap, square: (np.zeros_like(gap), np.ones(len(gap))))[1]
+    assert set(np.round(met, 6)) == {len(y) - 1}
+
+
+@pytest.mark.parametrize("layout", ["umap", "tsne"])
+def test_held_and_stored_positions_give_one_layout(spark, monkeypatch, layout):
+    """Also with more rows than are met pair by pair, with an id that comes twice and with rows without edges."""
+    x = np.random.default_rng(4).normal(size=(60, 3))
+    rows = [(i, [float(v) for v in p]) for i, p in enumerate(x)] + ([(7, [0.5, 0.5, 0.5])] if layout == "umap" else [])
+    points = spark.createDataFrame(rows, "id long, v array<double>")
+
+    def placed(leaf, held):
+        monkeypatch.setattr(repulsion, "LEAF_ROWS", leaf)
+        monkeypatch.setattr(manifold, "HELD_ROWS", held)
+        out = (manifold.umap_layout(points, "id", "v", neighbors=4, epochs=3) if layout == "umap" else
+               manifold.tsne_layout(points, "id", "v", perplexity=5.0, iterations=3, exaggerated=2))
+        return np.array(sorted([r.id, r.dim1, r.dim2] for r in out.collect()))
+
+    stored = placed(4096, 0)
+    assert len(stored) == len(rows)
+    for leaf in (4096, 20):
+        assert np.allclose(placed(leaf, 1000), stored, rtol=1e-4, atol=1e-7)
+
+
+def test_a_round_of_a_layout_is_one_job(spark):
+    points = groups(spark).cache()
+
+    def jobs(epochs):
+        spark.sparkContext.setJobGroup(f"layout-{epochs}", "")
+        manifold.umap_layout(points, "id", "v", neighbors=8, epochs=epochs).count()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"layout-{epochs}"))
+
+    assert jobs(6) - jobs(2) < 10  # four rounds; adaptive plans add a job now and then
