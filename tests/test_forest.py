@@ -1,10 +1,14 @@
 """Histogram forests: splits against a plain search, limits on rows, and cuts against separate fits."""
 
+import inspect
+from importlib import import_module
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from tabulith import catalog
 from tabulith.operators import histogram_forest, search, trees
 
 
@@ -141,3 +145,42 @@ def test_a_search_grows_one_forest_per_fold_and_min_leaf(rows, monkeypatch):
     monkeypatch.setattr(search, "grow_many", lambda *a, **o: grown.append(a[2]) or plain(*a, **o))
     search.grid_search_cv(df, ["id"], "y", {"trees": [2, 4], "depth": [2, 3], "min_split": [2, 9], "min_leaf": [1, 3]}, k=2)
     assert len(grown) == 4 and all(len(limits) == 1 for limits in grown)
+
+
+def test_kept_forests_cover_the_trials_before(rows, monkeypatch):
+    """A forest that is grown anew takes in what was asked before, so that going back grows nothing."""
+    df, *_ = rows
+    grown, plain, fit, kept = [], histogram_forest.grow_many, search.forest_fit("y"), {}
+    trials = [{"trees": 6, "depth": 2}, {"trees": 2, "depth": 5}, {"trees": 6, "depth": 2}, {"trees": 3, "depth": 4, "min_split": 9}]
+    alone = [fit.many(df, df, [t])[0] for t in trials]
+    monkeypatch.setattr(search, "grow_many", lambda *a, **o: grown.append(a[2]) or plain(*a, **o))
+    assert [fit.many(df, df, [t], kept)[0] for t in trials] == pytest.approx(alone)
+    assert len(grown) == 2
+
+
+def test_a_tree_is_grown_as_far_as_its_cuts_need(rows):
+    df, *_ = rows
+    cuts = [(5, 3, 30), (2, 7, 2), (4, 3, 8)]
+    whole = trees.random_forest(df, "y", trees=5, depth=7, min_leaf=1)
+    cut = histogram_forest.grow_many(df, "y", [histogram_forest.Limits(5, 7, 2, 1)], cuts=[cuts])[0]
+    assert cut.accuracies(df, "y", cuts) == pytest.approx(whole.accuracies(df, "y", cuts))
+    assert [t.depth().max() for t in cut.trees] <= [7, 7, 3, 3, 3] and len(cut.trees[4].heap) < len(whole.trees[4].heap)
+
+
+@pytest.mark.parametrize("name, module, parameters", [
+    ("tsne_layout", "manifold", {"iterations": 1000, "exaggerated": 250}), ("bayesian_search_cv", "search", {"n_iter": 20, "n_init": 5, "k": 5}),
+    ("run_trees", "modelling", {"sizes": None})])
+def test_queries_run_at_the_full_size(spark, monkeypatch, name, module, parameters):
+    """As the operators have it by default, not fewer rounds, trials or trees."""
+    catalog.load()
+    held = getattr(import_module(catalog.QUERIES[name].__module__), module)
+    plain, seen = inspect.signature(getattr(held, name)), {}
+
+    def called(*args, **options):
+        bound = plain.bind(*args, **options)
+        bound.apply_defaults()
+        seen.update(bound.arguments)
+        return (spark.range(1), {}) if name == "run_trees" else spark.range(1)
+    monkeypatch.setattr(held, name, called)
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert {p: seen[p] for p in parameters} == parameters
