@@ -5,12 +5,16 @@ one level is one job: tasks route their rows through the tree so far and sum his
 smaller child of every split; the sums of all tasks meet by node, where the larger child's histogram is the stored one of the parent minus the
 smaller child's, and where each node's best split is chosen. Only one row per node reaches the driver. A finished tree moves
 the margins or weights in the next job that reads the rows.
+
+Rows of one block (``ROW_BLOCK``) are read by one task anyway. There all trees are grown in one job, by the same steps, and only the
+trees reach the driver (``Block``).
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import pickle
 import random
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -120,6 +124,7 @@ class Rows:
     frame: DataFrame
     width: int
     edges: list[list[float]]
+    blocks: int = 1
     older: list[DataFrame] = field(default_factory=list)
 
     @staticmethod
@@ -130,7 +135,22 @@ class Rows:
                               as_column(label).cast("double").alias("y"), key.alias("key"), F.lit(float(start)).alias("m"))
         size = frame.count()
         # blocks that a task reads in a second or so: few rows are not worth many tasks per level
-        return Rows(_settle(frame.repartition(max(1, -(-size // ROW_BLOCK)))), len(features), edges)
+        blocks = max(1, -(-size // ROW_BLOCK))
+        return Rows(_settle(frame.repartition(blocks)), len(features), edges, blocks)
+
+    def boosted(self, rounds: int, grow: "Callable[[Rows | Block], list[tuple[float, Node]]]") -> list[tuple[float, Node]]:
+        """The weighted trees that ``grow`` makes of the rows; several rounds on one block are one task."""
+        if self.blocks > 1 or rounds < 2:
+            return grow(self)
+        width, edges = self.width, self.edges
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = [(*_arrays(b, width), b.column(2).to_numpy()) for b in batches if b.num_rows]
+            none = (np.zeros((0, width), np.int16), np.zeros(0), np.zeros(0), np.zeros(0, np.int64))
+            trees = grow(Block(*(np.concatenate(c) for c in zip(*parts or [none])), edges))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(trees)], pa.binary())], ["trees"])
+
+        return pickle.loads(self.frame.coalesce(1).mapInArrow(whole, "trees binary").first()["trees"])
 
     def move(self, change: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], settle: bool) -> None:
         """Replace ``m`` by change(bins, y, m); the job that reads the rows next does the work, unless they are settled now."""
@@ -158,6 +178,62 @@ class Rows:
         self.frame.unpersist()
 
 
+@dataclass
+class Block:
+    """The rows of a single block, in the task that grows all trees on them. It does what ``Rows`` and ``_level`` do with jobs."""
+
+    bins: np.ndarray
+    y: np.ndarray
+    m: np.ndarray
+    key: np.ndarray
+    edges: list[list[float]]
+    draw: tuple[int, np.ndarray] | None = None  # seed of the present tree, and the rows that it sees
+
+    def move(self, change: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], settle: bool) -> None:
+        self.m = change(self.bins, self.y, self.m)
+
+    def release(self) -> None:
+        pass
+
+    close = release
+
+    def level(self, trunk: Trunk, wanted: dict[int, tuple[int, int]], before: dict[int, np.ndarray], columns: Sequence[int], gradient, gain,
+              min_rows: int, seed: int, subsample: float) -> tuple[dict[int, np.ndarray], list[dict]]:
+        """Histograms by node, and rows as ``_level`` returns them; ``before`` has the parent's histogram by smaller child."""
+        depth = max(len(self.edges[f]) for f in columns)
+        slots = np.full(len(trunk.feature), -1)
+        slots[list(wanted)] = np.arange(len(wanted))
+        slot = slots[trunk.places(self.bins)]
+        inside = slot >= 0
+        if subsample < 1:
+            if self.draw is None or self.draw[0] != seed:
+                self.draw = seed, _drawn(self.key, seed, subsample)
+            inside &= self.draw[1]
+        some = np.flatnonzero(inside)
+        sums = _histograms(self.bins[some], slot[some], *gradient(self.y[some], self.m[some]), columns, len(wanted), depth)
+        held, found = {}, []
+        for s, (node, sibling) in enumerate(wanted.values()):
+            own = np.ascontiguousarray(sums[:, :, s * depth:(s + 1) * depth])
+            if sibling >= 0:
+                held[node], held[sibling] = own, before[node] - own
+            elif own[2].any():
+                held[node] = own
+        for node, hist in held.items():
+            a, b, n = hist[:, 0].sum(1)
+            found.append(dict(zip(_SPLIT_NAMES, (node, None, a, b, n, *best_split(hist, gain, min_rows)))))
+        return held, found
+
+
+def _histograms(bins: np.ndarray, slot: np.ndarray, a: np.ndarray, b: np.ndarray, columns: Sequence[int], nodes: int, depth: int) -> np.ndarray:
+    """Sums of (a, b, rows) by column and, side by side, the bins of every node."""
+    sums = np.empty((3, len(columns), nodes * depth))
+    for f, column in enumerate(columns):
+        cell = slot * depth + bins[:, column]
+        for i, weight in enumerate((a, b, None)):
+            sums[i, f] = np.bincount(cell, weight, nodes * depth)
+    return sums
+
+
 def _arrays(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bins = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
     return bins, batch.column(1).to_numpy(), batch.column(3).to_numpy()
@@ -190,6 +266,7 @@ def best_split(hist: np.ndarray, gain, min_rows: int) -> tuple[float, int, int,
 _PARTS = "node int, sibling int, whole boolean, hist binary"
 _SPLITS = ("node int, hist binary, a double, b double, n double, gain double, feature int, bin int, left_a double, left_b double, "
            "left_n double")
+_SPLIT_NAMES = [f.split()[0] for f in _SPLITS.split(", ")]
 
 
 def _level(rows: Rows, trunk: Trunk, wanted: dict[int, tuple[int, int]], before: DataFrame | None, columns: Sequence[int], gradient,
@@ -200,7 +277,6 @@ def _level(rows: Rows, trunk: Trunk, wanted: dict[int, tuple[int, int]], before:
     slots = np.full(len(trunk.feature), -1)
     slots[list(wanted)] = np.arange(len(wanted))
     names = list(wanted.values())
-    chosen = np.array(columns)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, len(columns), len(names) * depth))
@@ -211,11 +287,7 @@ def _level(rows: Rows, trunk: Trunk, wanted: dict[int, tuple[int, int]], before:
             if subsample < 1:
                 inside &= _drawn(batch.column(2).to_numpy(), seed, subsample)
             some = np.flatnonzero(inside)
-            a, b = gradient(y[some], m[some])
-            cell = slot[some, None] * depth + bins[some][:, chosen]
-            for f in range(len(columns)):
-                for i, weight in enumerate((a, b, None)):
-                    sums[i, f] += np.bincount(cell[:, f], weight, len(names) * depth)
+            sums += _histograms(bins[some], slot[some], *gradient(y[some], m[some]), columns, len(names), depth)
         parts = [np.ascontiguousarray(sums[:, :, s * depth:(s + 1) * depth]) for s in range(len(names))]
         kept = [s for s, p in enumerate(parts) if p[2].any()]
         yield pa.RecordBatch.from_arrays(
@@ -243,7 +315,7 @@ def _level(rows: Rows, trunk: Trunk, wanted: dict[int, tuple[int, int]], before:
         if out:
             kinds = [pa.int32(), pa.binary(), *[pa.float64()] * 4, pa.int32(), pa.int32(), *[pa.float64()] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                             [f.split()[0] for f in _SPLITS.split(", ")])
+                                             _SPLIT_NAMES)
     parts = rows.frame.mapInArrow(partial, _PARTS)
     if before is not None:
         parts = parts.unionByName(before)
@@ -279,29 +351,35 @@ def _parents(held: Sequence[DataFrame], pairs: dict[int, tuple[int, int]]) -> Da
         F.col("node").isNotNull())
 
 
-def grow_tree(rows: Rows, columns: Sequence[int], gradient, gain, leaf_value, depth: int | None, min_rows: int = 1,
+def grow_tree(rows: Rows | Block, columns: Sequence[int], gradient, gain, leaf_value, depth: int | None, min_rows: int = 1,
               max_leaves: int | None = None, min_gain: float = 1e-12, seed: int = 0, subsample: float = 1.0) -> Node:
-    """Grow one tree on the sums of ``gradient(y, m)`` = (a, b), which decide gains and leaf values. One job per level.
+    """Grow one tree on the sums of ``gradient(y, m)`` = (a, b), which decide gains and leaf values. One job per level, none on a ``Block``.
 
     With ``max_leaves`` splits are made as best-leaf-first growth makes them. A node's best split does not depend on the
     order of growth, so a round evaluates the children of all splits such a growth would make as far as it is known.
     """
     root = Node(0, 0.0)
     splits, level, nodes, held, before = {}, {0: 0}, {0: root}, [], None
+    here, kept = isinstance(rows, Block), {}
     wanted = {0: (0, -1)}
     while wanted:
-        found = _level(rows, Trunk.of(root), wanted, before, columns, gradient, gain, min_rows, seed, subsample)
-        if max_leaves is not None:  # each round reads all rounds before it, so their plans would double every round
-            found = cut_lineage(found)
-        elif depth is None or max(level.values()) + 1 < depth:  # else no node below needs the histograms
-            found = found.persist(StorageLevel.MEMORY_AND_DISK)
-        for r in found.drop("hist").collect():  # one row per node
+        if here:
+            found, every = rows.level(Trunk.of(root), wanted, before, columns, gradient, gain, min_rows, seed, subsample)
+            kept = {**kept, **found} if max_leaves is not None else found
+        else:
+            found = _level(rows, Trunk.of(root), wanted, before, columns, gradient, gain, min_rows, seed, subsample)
+            if max_leaves is not None:  # each round reads all rounds before it, so their plans would double every round
+                found = cut_lineage(found)
+            elif depth is None or max(level.values()) + 1 < depth:  # else no node below needs the histograms
+                found = found.persist(StorageLevel.MEMORY_AND_DISK)
+            every = found.drop("hist").collect()  # one row per node
+            if max_leaves is None:  # only the level just found is split next
+                _give_back(held)
+            held.append(found)
+        for r in every:
             node = nodes[r["node"]]
             node.a, node.b, node.value = r["a"], r["b"], leaf_value(r["a"], r["b"])
             splits[node.id] = r
-        if max_leaves is None:  # only the level just found is split next
-            _give_back(held)
-        held.append(found)
         fresh = [n for n in _chosen(root, splits, depth, max_leaves, min_gain, level) if n.left is None]
         pairs = {}
         for node in fresh:
@@ -317,12 +395,12 @@ def grow_tree(rows: Rows, columns: Sequence[int], gradient, gain, leaf_value, de
                 small, large = (node.left, node.right) if 2 * r["left_n"] <= r["n"] else (node.right, node.left)
                 pairs[node.id] = (small.id, large.id)
         wanted = {small: (small, large) for small, large in pairs.values()}
-        before = _parents(held, pairs) if pairs else None
+        before = {small: kept[node] for node, (small, _) in pairs.items()} if here else _parents(held, pairs) if pairs else None
     _give_back(held)
     if max_leaves is not None:
-        kept = {n.id for n in _chosen(root, splits, depth, max_leaves, min_gain, level)}
+        chosen = {n.id for n in _chosen(root, splits, depth, max_leaves, min_gain, level)}
         for node in list(root.all()):
-            if node.left is not None and node.id not in kept:
+            if node.left is not None and node.id not in chosen:
                 node.left = node.right = None
     return root
 
@@ -463,37 +541,45 @@ def adaboost(train: DataFrame, label: str, features: Sequence[str], rounds: int
     """Discrete AdaBoost of Gini trees on a 0/1 label.
 
     A round with weighted error e gets the weight rate * ln((1 - e) / e); rows it gets wrong
-    gain that much in log-weight. It stops at e = 0 or e >= 1/2. One job per tree level and round: the error
-    follows from the sums of the leaves.
+    gain that much in log-weight. It stops at e = 0 or e >= 1/2. One job per tree level and round, one in all
+    on a single block: the error follows from the sums of the leaves.
     """
     rows = Rows.of(train.where(as_column(label).isNotNull()), label, features, (), max_bins, 1.0)
-    model = TreeEnsemble(list(features), 0.0, "vote")
-    for r in range(1, rounds + 1):
-        tree = grow_tree(rows, range(len(features)), lambda y, w: (w * y, w), gini_gain,
-                         lambda a, b: 1.0 if b and a / b > 0.5 else -1.0, depth)
-        rows.release()
-        if not tree.b:
-            break
-        error = sum(n.b - n.a if n.value > 0 else n.a for n in tree.all() if n.left is None) / tree.b
-        if error <= 1e-12:
-            model.trees.append((1.0, tree))
-            break
-        if error >= 0.5:
-            if not model.trees:
-                model.trees.append((1.0, tree))
-            break
-        alpha = rate * math.log((1 - error) / error)
-        model.trees.append((alpha, tree))
-
-        def reweigh(bins, y, w, trunk=Trunk.of(tree), scale=1.0 / tree.b, factor=math.exp(alpha)):
-            wrong = (trunk.value[trunk.places(bins)] > 0) != (y == 1)
-            return w * scale * np.where(wrong, factor, 1.0)
-        if r < rounds:
-            rows.move(reweigh, settle=r % checkpoint_every == 0)
+    model = TreeEnsemble(list(features), 0.0, "vote", rows.boosted(rounds, _reweighed(len(features), rounds, rate, depth, checkpoint_every)))
     rows.close()
     return model
 
 
+def _reweighed(width: int, rounds: int, rate: float, depth: int, checkpoint_every: int) -> Callable[[Rows | Block], list[tuple[float, Node]]]:
+    """The rounds of ``adaboost``, on given rows."""
+    def grow(rows: Rows | Block) -> list[tuple[float, Node]]:
+        trees = []
+        for r in range(1, rounds + 1):
+            tree = grow_tree(rows, range(width), lambda y, w: (w * y, w), gini_gain, lambda a, b: 1.0 if b and a / b > 0.5 else -1.0, depth)
+            rows.release()
+            if not tree.b:
+                break
+            error = sum(n.b - n.a if n.value > 0 else n.a for n in tree.all() if n.left is None) / tree.b
+            if error <= 1e-12:
+                trees.append((1.0, tree))
+                break
+            if error >= 0.5:
+                if not trees:
+                    trees.append((1.0, tree))
+                break
+            alpha = rate * math.log((1 - error) / error)
+            trees.append((alpha, tree))
+
+            def reweigh(bins, y, w, trunk=Trunk.of(tree), scale=1.0 / tree.b, factor=math.exp(alpha)):
+                wrong = (trunk.value[trunk.places(bins)] > 0) != (y == 1)
+                return w * scale * np.where(wrong, factor, 1.0)
+            if r < rounds:
+                rows.move(reweigh, settle=r % checkpoint_every == 0)
+        return trees
+
+    return grow
+
+
 def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Sequence[str], trees: int = 200,
                  rate: float = 0.05, depth: int | None = None, subsample: float = 0.8, colsample: float = 0.8, lam: float = 1.0,
                  min_weight: float = 1.0, min_rows: int = 1, growth: str = "level", leaves: int = 31,
@@ -502,7 +588,7 @@ def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Seq
 
     Each tree sees a fresh ``subsample`` of the rows (drawn by row hash) and ``colsample`` of
     the columns; a leaf's value is -sum(g) / (sum(h) + lam). Level-wise trees are ``depth`` (6) deep; ``growth="leaf"`` grows the
-    ``leaves`` best leaves, at any depth unless one is given. One job per level.
+    ``leaves`` best leaves, at any depth unless one is given. One job per level, one in all on a single block.
     """
     labelled = train.where(as_column(label).isNotNull())
     share = labelled.agg(F.avg(as_column(label).cast("double")).alias("p")).first()["p"]
@@ -510,23 +596,27 @@ def newton_boost(train: DataFrame, label: str, features: Sequence[str], ids: Seq
     base = math.log(share / (1 - share))
     rows = Rows.of(labelled, label, features, ids, max_bins, base)
     depth = 6 if depth is None and growth == "level" else depth
-    rng = random.Random(seed)
-    model = TreeEnsemble(list(features), base, "logit")
     take = max(1, round(colsample * len(features)))
 
     def gradient(y, margin):
         p = 1 / (1 + np.exp(-margin))
         return p - y, p * (1 - p)
-    for t in range(trees):
-        columns = sorted(rng.sample(range(len(features)), take))
-        tree = grow_tree(rows, columns, gradient, newton_gain(lam, min_weight), lambda g, h: -g / (h + lam) if h + lam > 0 else 0.0,
-                         depth, min_rows, leaves if growth == "leaf" else None, seed=seed + t, subsample=subsample)
-        rows.release()
-        model.trees.append((rate, tree))
-
-        def move(bins, y, margin, trunk=Trunk.of(tree)):
-            return margin + rate * trunk.value[trunk.places(bins)]
-        if t + 1 < trees:
-            rows.move(move, settle=(t + 1) % checkpoint_every == 0)
+
+    def grow(rows: Rows | Block) -> list[tuple[float, Node]]:
+        rng, grown = random.Random(seed), []
+        for t in range(trees):
+            columns = sorted(rng.sample(range(len(rows.edges)), take))
+            tree = grow_tree(rows, columns, gradient, newton_gain(lam, min_weight), lambda g, h: -g / (h + lam) if h + lam > 0 else 0.0,
+                             depth, min_rows, leaves if growth == "leaf" else None, seed=seed + t, subsample=subsample)
+            rows.release()
+            grown.append((rate, tree))
+
+            def move(bins, y, margin, trunk=Trunk.of(tree)):
+                return margin + rate * trunk.value[trunk.places(bins)]
+            if t + 1 < trees:
+                rows.move(move, settle=(t + 1) % checkpoint_every == 0)
+        return grown
+
+    model = TreeEnsemble(list(features), base, "logit", rows.boosted(trees, grow))
     rows.close()
     return model

@@ -181,3 +181,24 @@ def test_inputs_that_encoders_read_often_are_stored(spark):
     folder = "/root/testdata/sf0.001"
     for rows, name in ((modelling.order_features(spark, folder), "order-features"), (modelling.labelled_documents(spark, folder), "labelled")):
         assert rows.count() > 0 and all(f"/{name}-" in f for f in rows.inputFiles())
+
+
+@pytest.mark.parametrize("fit", [
+    lambda df: boosting.adaboost(df, "label", ["a", "b", "c"], rounds=3),
+    lambda df: boosting.newton_boost(df, "label", ["a", "b", "c"], ["id"], trees=2, depth=3),
+    lambda df: boosting.newton_boost(df, "label", ["a", "b", "c"], ["id"], trees=2, growth="leaf", leaves=6, min_rows=5)])
+def test_trees_of_one_block_are_those_of_many(data, monkeypatch, fit):
+    """One block is boosted in one task, several by a job per level."""
+    df, *_ = data
+    levels, plain = [], boosting._level
+    monkeypatch.setattr(boosting, "_level", lambda *a: levels.append(1) or plain(*a))
+    here = fit(df)
+    assert not levels
+    monkeypatch.setattr(boosting, "ROW_BLOCK", 150)
+    spread = fit(df)
+    assert levels
+
+    def nodes(model):
+        return [(n.id, n.feature, n.bin, n.left is None) for _, t in model.trees for n in t.all()]
+    assert nodes(here) == nodes(spread)
+    assert np.allclose([[w, n.value, n.gain] for w, t in here.trees for n in t.all()], [[w, n.value, n.gain] for w, t in spread.trees for n in t.all()])
